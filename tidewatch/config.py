@@ -8,13 +8,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-# The type names a schema document may use.
+# The type names a schema document may use (timestamp_ntz: internal log tables).
 TYPE_NAMES = {
     "double": T.DoubleType(),
     "string": T.StringType(),
     "boolean": T.BooleanType(),
     "int": T.IntegerType(),
     "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
 }
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidewatch.config import FeatureSchema, spark_type
 from tidewatch.operators.verdict import VERDICT_SCHEMA
-from tidewatch.sources.writers import LOG_COLUMNS
+from tidewatch.sources.writers import LOG_SCHEMA
 
 
 def _fields(*pairs: tuple[str, str]) -> list[T.StructField]:
@@ -27,7 +27,7 @@ def table_definitions(schema: FeatureSchema) -> dict[str, tuple[T.StructType, li
     stamps = _fields(("data_version", "string"), ("created_at", "timestamp"), ("updated_at", "timestamp"))
     day = lambda name: [T.StructField(name, T.DateType())]
     labelled = T.StructType(ident + features + aux + target + stamps)
-    log = [T.StructField(n, T._parse_datatype_string(t)) for n, t in LOG_COLUMNS]
+    log = list(LOG_SCHEMA.fields)
     return {
         "training_data": (labelled, []),
         "evaluation_data": (labelled, []),

@@ -7,7 +7,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidewatch.config import spark_type
 from tidewatch.functions.columns import half_open
 from tidewatch.operators.prep import NON_FEATURES, training_projection
 from tidewatch.operators.verdict import conform_verdicts
@@ -104,6 +106,7 @@ LOG_COLUMNS = (
     ("prediction_bucket", "string"), ("request_id", "string"), ("response_time", "timestamp_ntz"),
     ("error_message", "string"), ("inference_mode", "string"), ("monitoring_run_id", "string"),
 )
+LOG_SCHEMA = T.StructType([T.StructField(n, spark_type(t)) for n, t in LOG_COLUMNS])
 
 
 def conform_log(df: DataFrame) -> DataFrame:

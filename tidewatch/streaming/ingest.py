@@ -8,9 +8,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.operators.verdict import VERDICT_SCHEMA
-from tidewatch.sources.writers import LOG_COLUMNS
+from tidewatch.sources.writers import LOG_SCHEMA
 
-LOG_SCHEMA = T.StructType([T.StructField(n, T._parse_datatype_string(t)) for n, t in LOG_COLUMNS])
 MICRO_BATCH = "30 seconds"
 
 
