@@ -80,7 +80,10 @@ def ranking_metrics(df: DataFrame, truth: str, score: str, groups: Sequence[str]
     NULL where a class is missing.
     """
     pre = score_prefix(df, truth, score, groups)
-    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    pos = F.col("pos").cast("double")
+    # Pairs ranked right, doubled so that ties count one: exact integers, whatever the summation order.
+    wide = lambda c: c.cast("decimal(19,0)")
+    doubled_wins = F.sum(wide(F.col("pos")) * wide(2 * F.col("neg_below") + F.col("neg"))).cast("double")
     positives, negatives = F.nullif(F.col("pos_total").cast("double"), F.lit(0.0)), F.nullif(
         F.col("neg_total").cast("double"), F.lit(0.0)
     )
@@ -89,10 +92,11 @@ def ranking_metrics(df: DataFrame, truth: str, score: str, groups: Sequence[str]
     here = tp / (tp + fp)
     above = F.coalesce(tp_next / F.nullif(tp_next + fp_next, F.lit(0)), F.lit(1.0))
     both = positives.isNotNull() & negatives.isNotNull()
+    pairs = F.max(positives) * F.max(negatives)
     return pre.groupBy(*groups).agg(
         F.max("pos_total").alias("positive_samples"),
         F.max("neg_total").alias("negative_samples"),
-        F.sum(F.when(both, pos / positives * ((F.col("neg_below") + neg / 2) / negatives))).alias("roc_auc"),
+        (doubled_wins / (2.0 * pairs)).alias("roc_auc"),
         F.sum(F.when(both, pos / positives * (here + above) / 2)).alias("pr_auc"),
         F.sum(F.when(both, pos / positives * here)).alias("average_precision"),
     )

@@ -98,7 +98,7 @@ def confusion_over_time(rows: DataFrame) -> DataFrame:
         "True Positive": "true_positive", "True Negative": "true_negative",
         "False Positive": "false_positive", "False Negative": "false_negative",
     }
-    wide = rows.groupBy(F.col("inference_date").alias(DAY)).pivot("prediction_category", list(names)).agg(F.count("*"))
+    wide = rows.groupBy(F.col("inference_date").alias(DAY)).pivot("prediction_category", list(names)).agg(F.count(F.lit(1)))
     return wide.withColumnsRenamed(names).fillna(0, list(names.values()))
 
 

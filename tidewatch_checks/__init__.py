@@ -1,6 +1,14 @@
 """Registered queries: every operator run over the given tables, next to the same result in plain SQL."""
 
-MODULES = ("drift_queries", "quality_queries")
+MODULES = (
+    "drift_queries",
+    "quality_queries",
+    "label_queries",
+    "ops_queries",
+    "prep_queries",
+    "source_queries",
+    "trend_queries",
+)
 
 
 def load_all() -> None:

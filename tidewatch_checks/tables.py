@@ -531,4 +531,6 @@ def with_tables(body: str) -> str:
         return body
     order = [n for n in SQL_TABLES if n in needed]
     ctes = ",\n".join(f"{n} AS ({SQL_TABLES[n].strip()})" for n in order)
+    if body.startswith("WITH "):
+        return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
