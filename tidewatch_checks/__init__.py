@@ -7,6 +7,7 @@ MODULES = (
     "ops_queries",
     "prep_queries",
     "source_queries",
+    "stream_queries",
     "trend_queries",
 )
 
