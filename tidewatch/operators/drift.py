@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.stats import chi_square_sf, ks_p_value
-from tidewatch.operators.kernel import collapse, exact_quantiles, join_on, ordered_prefix, weighted_quantiles
+from tidewatch.operators.kernel import collapse, exact_quantiles, join_on, ordered_prefix
 
 # Method names as they appear in stored verdicts.
 KS = "K-S p_value"
@@ -26,16 +26,21 @@ MAX_MAGNITUDE = 1e9
 # -- long form ------------------------------------------------------------------------------------
 
 
+def _fresh(keep: Sequence[str]) -> list[Column]:
+    """Kept columns under new identities, so that two uses of one melt plan the same shuffle."""
+    return [F.col(k).alias(k) for k in keep]
+
+
 def melt_numeric(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., feature, value): all numeric features in one long frame, so one shuffle serves all."""
     cast = df.select(*keep, *[F.col(f).cast("double").alias(f) for f in features])
-    return cast.unpivot(list(keep), list(features), "feature", "value")
+    return cast.unpivot(_fresh(keep), list(features), "feature", "value")
 
 
 def melt_text(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., feature, category), lower-cased."""
     cast = df.select(*keep, *[F.lower(F.col(f).cast("string")).alias(f) for f in features])
-    return cast.unpivot(list(keep), list(features), "feature", "category")
+    return cast.unpivot(_fresh(keep), list(features), "feature", "category")
 
 
 def stack_sides(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -109,9 +114,26 @@ def decile_edges(baseline_long: DataFrame, groups: Sequence[str] = ("feature",),
     )
 
 
-def bin_index(value: Column, edges: Column) -> Column:
-    """0-based bin of a left-closed histogram with open outer bins."""
-    return F.size(F.filter(edges, lambda e: value >= e))
+def bin_index(value: Column, edges: Column, bins: int = 10) -> Column:
+    """0-based bin of a left-closed histogram with open outer bins; ``edges`` holds bins - 1 values.
+
+    Spelled out per edge, so it stays inside generated code.
+    """
+    return sum(((value >= edges[i]).cast("int") for i in range(bins - 1)), F.lit(0))
+
+
+def bin_counts(sides: DataFrame, bins: int = 10) -> DataFrame:
+    """(feature, bin, a, b): side counts per baseline quantile bin.
+
+    Only the baseline is shuffled by value, for its exact quantiles.  The rows themselves meet the
+    edges (one short array per feature, broadcast) where they are read and leave as bin counts.
+    """
+    edges = decile_edges(sides.where(F.col("is_current") == 0), ["feature"], bins)
+    v = F.col("value")
+    rows = sides.where(v.isNotNull() & ~F.isnan(v)).join(F.broadcast(edges), "feature")
+    return rows.groupBy("feature", bin_index(v, F.col("edges"), bins).alias("bin")).agg(
+        F.sum((1 - F.col("is_current")).cast("long")).alias("a"), F.sum(F.col("is_current").cast("long")).alias("b")
+    )
 
 
 def floored_shares(counts: DataFrame, groups: Sequence[str], floor: float = 1e-4) -> DataFrame:
@@ -141,22 +163,6 @@ def divergences(shares: DataFrame, groups: Sequence[str]) -> DataFrame:
     )
 
 
-def bin_counts(sides: DataFrame, bins: int = 10) -> DataFrame:
-    """(feature, bin, a, b): side counts per baseline quantile bin.
-
-    Edges and counts come from the same collapsed rows.  The edge table holds one short array per
-    feature, so it is broadcast.
-    """
-    collapsed = _sides(sides, ["feature"])
-    # Reading b here keeps both uses of the collapsed rows on one shuffle.
-    baseline = collapsed.where((F.col("a") > 0) & (F.col("b") >= 0))
-    edges = weighted_quantiles(baseline, ["feature"], "a", _inner_probabilities(bins), bounded=True)
-    binned = collapsed.where(F.col("a") + F.col("b") > 0).join(F.broadcast(edges), "feature")
-    return binned.groupBy("feature", bin_index(F.col("value"), F.col("quantiles")).alias("bin")).agg(
-        F.sum("a").alias("a"), F.sum("b").alias("b")
-    )
-
-
 def binned_divergences(sides: DataFrame, bins: int = 10) -> DataFrame:
     """PSI, KL and Jensen-Shannon per numeric feature over baseline quantile bins."""
     return divergences(floored_shares(bin_counts(sides, bins), ["feature"]), ["feature"])
@@ -357,26 +363,33 @@ def period_psi(
     depend on the number of periods times the baseline size.
     """
     base_long = melt_numeric(baseline, features)
-    edges = decile_edges(base_long, ["feature"], bins)
+    edges = F.broadcast(decile_edges(base_long, ["feature"], bins))
     v = F.col("value")
     valid = v.isNotNull() & ~F.isnan(v)
-    binned = lambda long, keep: (
-        long.where(valid).groupBy(*keep, "feature", "value").agg(F.count("*").alias("n")).join(F.broadcast(edges), "feature")
-        .groupBy(*keep, "feature", bin_index(v, F.col("edges")).alias("bin"))
-        .agg(F.sum("n").alias("n"))
-    )
+
+    def bin_map(long: DataFrame, keys: list[str], counts: str, total: str) -> DataFrame:
+        """One row per key: bin -> count (a map of at most ``bins`` entries) and the total."""
+        binned = (
+            long.where(valid)
+            .join(edges, "feature")
+            .groupBy(*keys, bin_index(v, F.col("edges"), bins).alias("bin"))
+            .agg(F.count("*").alias("n"))
+        )
+        return binned.groupBy(*keys).agg(
+            F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias(counts), F.sum("n").alias(total)
+        )
+
     periods = list(period_columns)
-    base = binned(base_long, []).withColumnRenamed("n", "a")
-    cur = binned(melt_numeric(current, features, periods), periods).withColumnRenamed("n", "b")
-    every = cur.select(*periods, "feature").distinct()
-    zero = F.lit(0).cast("long")
-    counts = (
-        every.join(F.broadcast(base), "feature")
-        .select(*periods, "feature", "bin", "a", zero.alias("b"))
-        .unionByName(cur.select(*periods, "feature", "bin", zero.alias("a"), "b"))
-        .groupBy(*periods, "feature", "bin")
-        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    )
-    keys = [*periods, "feature"]
-    totals = cur.groupBy(*keys).agg(F.sum("b").alias("n_current"))
-    return join_on(divergences(floored_shares(counts, keys), keys), totals, keys).select(*keys, "psi", "n_current")
+    base = bin_map(base_long, ["feature"], "__base", "n_baseline")
+    current = bin_map(melt_numeric(current, features, periods), [*periods, "feature"], "__cur", "n_current")
+    joined = current.join(F.broadcast(base), "feature")
+
+    def share(counts: str, total: str, i: int) -> Column:
+        n = F.coalesce(F.element_at(counts, F.lit(i)), F.lit(0))
+        return F.when(n == 0, F.lit(1e-4)).otherwise(n / F.col(total))
+
+    index = F.lit(0.0)
+    for i in range(bins):
+        p, q = share("__base", "n_baseline", i), share("__cur", "n_current", i)
+        index = index + (q - p) * F.log(q / p)
+    return joined.select(*periods, "feature", index.alias("psi"), "n_current")

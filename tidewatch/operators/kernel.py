@@ -44,9 +44,14 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
 
 
 def _cell(value: Column) -> Column:
-    """Order-preserving coarse cell: sign and binary magnitude of the value."""
+    """Order-preserving coarse cell: sign and binary magnitude of the value.
+
+    Never NULL, and declared so: a join on it then adds no filter of its own, and all branches below
+    read one and the same shuffle.
+    """
     magnitude = F.floor(F.log2(F.abs(value)) * _CELLS_PER_OCTAVE) + _CELL_SHIFT
-    return F.when(value > 0, magnitude).when(value < 0, -magnitude).otherwise(F.lit(0)).cast("long")
+    cell = F.when(value > 0, magnitude).when(value < 0, -magnitude).otherwise(F.lit(0)).cast("long")
+    return F.coalesce(cell, F.lit(0).cast("long"))
 
 
 def collapse(
