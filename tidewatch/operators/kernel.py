@@ -162,7 +162,12 @@ def weighted_quantiles(
         wanted,
         lambda q: (F.floor((total - 1) * q["p"]) >= below) & (F.floor((total - 1) * q["p"]) < upto),
     )
-    picked = pre.where(F.size(hits) > 0).select(
+    # The cheap test first: almost no row holds a wanted rank, and only those build arrays.
+    any_hit = F.lit(False)
+    for p in probabilities:
+        place = F.floor((total - 1) * float(p))
+        any_hit = any_hit | ((place >= below) & (place < upto))
+    picked = pre.where(any_hit).select(
         *groups, "value", "next_value", total.alias("__total"), upto.alias("__upto"), F.explode(hits).alias("q")
     )
     rank = (F.col("__total") - 1) * F.col("q.p")

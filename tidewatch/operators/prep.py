@@ -19,6 +19,7 @@ NON_FEATURES = (
     "fraud_probability",
 )
 MAX_CATEGORIES = 10
+PROBE_ROWS = 1000
 
 
 def typed_table(staged: DataFrame, schema: FeatureSchema, strict: bool = True) -> DataFrame:
@@ -103,7 +104,10 @@ def fit_encoders(df: DataFrame, columns: Sequence[str] | None = None, max_catego
     names = list(columns) if columns is not None else [c for c, t in df.dtypes if t == "string"]
     if not names:
         return Encoders()
-    rows = category_profile(df, names, max_categories).collect()
+    # A column with too many values among a few rows has too many in the table: no need to shuffle it.
+    few = df.limit(PROBE_ROWS).agg(*[F.countDistinct(F.lower(F.col(n))).alias(n) for n in names]).first()
+    kept = [n for n in names if few[n] <= max_categories]
+    rows = category_profile(df, kept, max_categories).collect() if kept else []
     found = {r["column"]: r for r in rows}
     return Encoders(
         booleans=tuple(c for c in names if c in found and found[c]["kind"] == "boolean"),

@@ -79,7 +79,10 @@ def ranking_metrics(df: DataFrame, truth: str, score: str, groups: Sequence[str]
 
     NULL where a class is missing.
     """
-    pre = score_prefix(df, truth, score, groups)
+    return _ranking(score_prefix(df, truth, score, groups), groups)
+
+
+def _ranking(pre: DataFrame, groups: Sequence[str]) -> DataFrame:
     pos = F.col("pos").cast("double")
     # Pairs ranked right, doubled so that ties count one: exact integers, whatever the summation order.
     wide = lambda c: c.cast("decimal(19,0)")
@@ -124,6 +127,9 @@ def pr_curve(df: DataFrame, truth: str, score: str, groups: Sequence[str] = ())
     )
 
 
+_COUNTS = ("true_positives", "true_negatives", "false_positives", "false_negatives")
+
+
 def performance_metrics(
     df: DataFrame,
     truth: str = "ground_truth",
@@ -131,13 +137,54 @@ def performance_metrics(
     score: str = "probability_fraud",
     groups: Sequence[str] = (),
     min_samples: int = 0,
+    ts: str | None = None,
 ) -> DataFrame:
-    """Confusion, rates and ranking metrics per group; groups below ``min_samples`` are left out."""
-    counts = with_rates(confusion(df, truth, prediction, groups)).where(F.col("sample_count") >= min_samples)
-    ranks = ranking_metrics(df, truth, score, groups).select(*groups, "roc_auc", "pr_auc", "average_precision")
+    """Confusion, rates and ranking metrics per group; groups below ``min_samples`` are left out.
+
+    Labelled rows are read and shuffled once, as counts per (group, score); confusion and ranking are
+    both derived from those counts.  With ``ts`` the first and last event time of the group are added.
+    """
+    groups = list(groups)
+    t, p, v = F.col(truth).cast("int"), F.col(prediction).cast("int"), F.col(score).cast("double")
+    rows = df.where(F.col(truth).isNotNull()).select(
+        *groups, t.alias("__t"), p.alias("__p"), F.when(~F.isnan(v), v).alias("value"),
+        *([F.col(ts).alias("__ts")] if ts else []),
+    )
+    t, p = F.col("__t"), F.col("__p")
+    weights = {
+        # Rows without a score count in the confusion only; the prefix leaves out values without weight.
+        "pos": (t == 1) & F.col("value").isNotNull(), "neg": (t == 0) & F.col("value").isNotNull(), "true_positives": (p == 1) & (t == 1), "true_negatives": (p == 0) & (t == 0),
+        "false_positives": (p == 1) & (t == 0), "false_negatives": (p == 0) & (t == 1),
+    }
+    counted = rows.groupBy(*groups, "value").agg(
+        F.count("*").alias("sample_count"),
+        *[_count(w).alias(n) for n, w in weights.items()],
+        *([F.min("__ts").alias("period_start"), F.max("__ts").alias("period_end")] if ts else []),
+    )
+    # Always true; reading every column in both branches lets them share one shuffle.
+    used = sum((F.col(n) for n in weights), F.col("sample_count")) >= 0
+    if ts:
+        used = used & (F.col("period_start") <= F.col("period_end"))
+    counted = counted.where(used)
+    totals = counted.groupBy(*groups).agg(
+        F.sum("sample_count").alias("sample_count"),
+        *[_total(n).alias(n) for n in _COUNTS],
+        *([F.min("period_start").alias("period_start"), F.max("period_end").alias("period_end")] if ts else []),
+    )
     if not groups:
-        return counts.join(ranks, how="left")
-    return join_on(counts, ranks, groups, "left")
+        totals = totals.withColumn("sample_count", F.coalesce("sample_count", F.lit(0)))
+    order = [*groups, "sample_count", *_COUNTS, *(["period_start", "period_end"] if ts else [])]
+    measured = with_rates(totals.select(*order)).where(F.col("sample_count") >= min_samples)
+    ranks = _ranking(ordered_prefix(counted, groups, ["pos", "neg"]), groups).select(
+        *groups, "roc_auc", "pr_auc", "average_precision"
+    )
+    if not groups:
+        return measured.join(ranks, how="left")
+    return join_on(measured, ranks, groups, "left")
+
+
+def _total(name: str) -> Column:
+    return F.coalesce(F.sum(name), F.lit(0))
 
 
 def windowed_metrics(
@@ -151,11 +198,8 @@ def windowed_metrics(
     groups: Sequence[str] = (),
 ) -> DataFrame:
     """Metrics per day or week with the first and last event time of each period."""
-    rows = df.where(F.col(truth).isNotNull()).withColumn("period", bucket_start(unit, ts))
-    keys = [*groups, "period"]
-    metrics = performance_metrics(rows, truth, prediction, score, keys, min_samples)
-    spans = rows.groupBy(*keys).agg(F.min(ts).alias("period_start"), F.max(ts).alias("period_end"))
-    return join_on(metrics, spans, keys)
+    rows = df.where(F.col(truth).isNotNull() & F.col(ts).isNotNull()).withColumn("period", bucket_start(unit, ts))
+    return performance_metrics(rows, truth, prediction, score, [*groups, "period"], min_samples, ts)
 
 
 def degradation_alerts(
