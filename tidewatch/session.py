@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_FALLBACK: dict[str, str] = {}
 
 
 def build_session(app_name: str = "tidewatch", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,13 +36,15 @@ def build_session(app_name: str = "tidewatch", master: str | None = None, **conf
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's checkpoint folder.
 
-    Only where the session names none (tests, a laptop) is a local folder chosen and recorded.
+    Only where the session names none (tests, a laptop) is a local folder chosen, once per application.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidewatch-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-    return root
+    if root:
+        return root
+    application = spark.sparkContext.applicationId
+    if application not in _FALLBACK:
+        _FALLBACK[application] = tempfile.mkdtemp(prefix="tidewatch-")
+    return _FALLBACK[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

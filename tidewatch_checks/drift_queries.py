@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import drift, kernel, prep, verdict
 from tidewatch.plans import drift_check
+from tidewatch_checks.quality_queries import ranking_sql
 from tidewatch_checks.registry import check
 from tidewatch_checks.tables import AS_OF, CATEGORICAL, NUMERIC, PAYLOAD_SCHEMA, Tables
 
@@ -85,7 +86,13 @@ def chi_square(t: Tables):
     return drift.categorical_distances(t.text_sides).select("feature", "chi_square", "dof")
 
 
-@check("p4_chi_square_p_value")
+@check(
+    "p4_chi_square_p_value",
+    f"""SELECT feature, 1 - list_sum(list_transform(range(0, 300),
+               lambda i: exp((dof / 2.0::DOUBLE + i) * ln(chi_square / 2) - chi_square / 2 - lgamma(dof / 2.0::DOUBLE + i + 1)))) AS chi_square_p_value
+        FROM ({CHI_SQL})""",
+    "chi_square_p_value",
+)
 def chi_square_p(t: Tables):
     return drift.categorical_distances(t.text_sides).select("feature", "chi_square_p_value")
 
@@ -255,6 +262,10 @@ CHECK_VERDICTS = f"""
     FROM (SELECT *, {KS_P_SQL} AS p FROM ({CHECK_SQL}))"""
 
 
+RUN_ROWS = f"""(SELECT * FROM labelled WHERE request_timestamp > TIMESTAMP '{AS_OF}' - INTERVAL 30 DAY AND request_timestamp <= TIMESTAMP '{AS_OF}'
+                  AND endpoint_name = 'ep-a')"""
+
+
 def _encoders(t: Tables) -> prep.Encoders:
     return prep.fit_encoders(t.training, ["channel"])
 
@@ -302,12 +313,31 @@ def monitoring_record(t: Tables):
     return t.runs.drop("per_feature_drift_scores")
 
 
-@check("p11_monitoring_run")
+@check(
+    "p11_monitoring_run",
+    f"""SELECT 'drift-20240131-000000' AS monitoring_run_id, 'ep-a' AS endpoint_name, 'v2' AS model_version, 'train-v2' AS training_snapshot_id,
+               d.drifted::INTEGER AS drifted_columns_count, d.drifted / d.features AS drifted_columns_share, d.features::INTEGER AS features_analyzed,
+               d.n::INTEGER AS data_sample_size, d.drifted / d.features >= 0.5 AND d.n >= 100 AS data_drift_detected,
+               CAST(0.92 AS DOUBLE) AS baseline_roc_auc, m.roc_auc AS current_roc_auc, (0.92 - m.roc_auc) / 0.92 * 100 AS roc_auc_degradation_pct,
+               (0.92 - m.roc_auc) / 0.92 * 100 >= 5 AND m.samples >= 100 AS model_drift_detected, m.samples::INTEGER AS model_sample_size,
+               (d.drifted / d.features >= 0.5 AND d.n >= 100) OR ((0.92 - m.roc_auc) / 0.92 * 100 >= 5 AND m.samples >= 100) AS alert_sent
+        FROM (SELECT count(*) AS features, sum(CASE WHEN drifted THEN 1 ELSE 0 END) AS drifted, any_value(n) AS n
+              FROM (WITH sides AS ({CHECK_SIDES}) {CHECK_VERDICTS})
+              CROSS JOIN (SELECT count(*) AS n FROM pred WHERE endpoint_name = 'ep-a' AND request_timestamp > TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY
+                          AND request_timestamp <= TIMESTAMP '{AS_OF}')) d
+        CROSS JOIN (SELECT roc_auc, positive_samples + negative_samples AS samples FROM ({ranking_sql(RUN_ROWS)})) m""",
+    "drifted_columns_share baseline_roc_auc current_roc_auc roc_auc_degradation_pct",
+)
 def monitoring_run(t: Tables):
-    return drift_check.monitoring_run(
+    run = drift_check.monitoring_run(
         t.pred, t.labelled, t.training, PAYLOAD_SCHEMA, _encoders(t), AS_OF, "ep-a", "v2",
         {"training_snapshot_id": "train-v2"}, baseline_auc=0.92,
     )
+    return run.select(
+        "monitoring_run_id", "endpoint_name", "model_version", "training_snapshot_id", "drifted_columns_count", "drifted_columns_share",
+        "features_analyzed", "data_sample_size", "data_drift_detected", "baseline_roc_auc", "current_roc_auc", "roc_auc_degradation_pct",
+        "model_drift_detected", "model_sample_size", "alert_sent",
+    )
 
 
 @check(

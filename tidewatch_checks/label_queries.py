@@ -174,6 +174,7 @@ RUN_COLUMNS = ", ".join(f'"{x}"' for x in lineage.RUN_COLUMNS)
     "c4_runs_with_predictions",
     f"SELECT {RUN_COLUMNS}, endpoint_name, inference_count, avg_fraud_prob, gt_count, window_start, window_end FROM joined",
     "drifted_columns_share baseline_roc_auc current_roc_auc accuracy precision recall f1_score avg_fraud_prob",
+    digits=8,
 )
 def runs_with_predictions(t: Tables):
     return t.joined

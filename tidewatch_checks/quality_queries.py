@@ -394,7 +394,23 @@ def baseline_fallback(t: Tables):
     return baselines.resolve_baselines(unknown, records, AS_OF).drop("created_at", "approval_status")
 
 
-@check("d30_baseline_record")
+@check(
+    "d30_baseline_record",
+    f"""SELECT 2 AS schema_version, TIMESTAMP '{AS_OF}' AS created_at, 'v1' AS model_version, 'training_data' AS training_table, 'evaluation_data' AS evaluation_table,
+               'l_quantity:double,l_extendedprice:double,l_discount:double,l_tax:double,l_linestatus:string' AS feature_schema,
+               roc_auc, pr_auc, coalesce(true_positives / nullif(true_positives + false_positives, 0), 0) AS "precision",
+               coalesce(true_positives / nullif(true_positives + false_negatives, 0), 0) AS recall, (true_positives + true_negatives) / sample_count AS accuracy,
+               sample_count AS sample_size, true_positives + false_negatives AS positive_samples, true_negatives + false_positives AS negative_samples
+        FROM ({confusion_sql('labelled')}) CROSS JOIN (SELECT roc_auc, pr_auc FROM ({ranking_sql('labelled')}))""",
+    "roc_auc pr_auc precision recall accuracy",
+)
 def baseline_record(t: Tables):
+    """The nested record, flattened for comparison."""
     metrics = quality.performance_metrics(t.labelled)
-    return baselines.baseline_record(metrics, LINE_SCHEMA, "v1", AS_OF, "training_data", "evaluation_data")
+    record = baselines.baseline_record(metrics, LINE_SCHEMA, "v1", AS_OF, "training_data", "evaluation_data")
+    listed = F.array_join(F.transform("feature_schema", lambda f: F.concat(f["name"], F.lit(":"), f["dtype"])), ",")
+    return record.select(
+        "schema_version", "created_at", "model_version", "training_table", "evaluation_table", listed.alias("feature_schema"),
+        *[F.col(f"metrics.{m}").alias(m) for m in ("roc_auc", "pr_auc", "precision", "recall", "accuracy")],
+        "sample_size", "positive_samples", "negative_samples",
+    )
