@@ -107,3 +107,14 @@ def test_dataset_share(spark):
 def test_unknown_test_is_an_error():
     with pytest.raises(ValueError, match="unknown drift test"):
         drift.drift_test("nope")
+
+
+def test_constant_share_has_no_correlation(spark):
+    from tidewatch.operators import trends
+
+    rows = [(f"2024-01-0{i}", 10 * i, 0.0) for i in range(1, 5)]
+    df = spark.createDataFrame(rows, "d string, inference_count long, drifted_columns_share double").withColumn(
+        "monitoring_timestamp", F.to_timestamp_ntz("d")
+    )
+    out = trends.volume_drift_outliers(df).collect()
+    assert len(out) == 4 and all(r["correlation"] is None and r["outlier"] is None for r in out)

@@ -347,7 +347,8 @@ def volume_drift_outliers(joined: DataFrame, z: float = 2.0) -> DataFrame:
     fit = daily.agg(
         F.regr_slope(y, x).alias("slope"),
         F.regr_intercept(y, x).alias("intercept"),
-        F.corr(x, y).alias("correlation"),
+        # NULL, not an error, where volume or share does not vary.
+        (F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))).alias("correlation"),
         F.avg(x).alias("mean_volume"),
         F.stddev(y).alias("std_share"),
     )

@@ -72,12 +72,12 @@ def report_sql(unit: str) -> str:
     FROM pred GROUP BY ALL"""
 
 
-@check("d13_daily_version_report", report_sql("day"), "avg_fraud_probability avg_latency_ms")
+@check("d13_daily_version_report", report_sql("day"), "avg_fraud_probability avg_latency_ms", digits=8)
 def daily_report(t: Tables):
     return ops.version_report(t.pred, "day")
 
 
-@check("d14_hourly_version_transitions", report_sql("hour"), "avg_fraud_probability avg_latency_ms")
+@check("d14_hourly_version_transitions", report_sql("hour"), "avg_fraud_probability avg_latency_ms", digits=8)
 def hourly_transitions(t: Tables):
     return ops.version_report(t.pred, "hour")
 
@@ -120,17 +120,17 @@ def volume_sql(unit: str) -> str:
            avg(probability_fraud) AS avg_fraud_probability, avg(confidence_score) AS avg_confidence FROM pred GROUP BY 1"""
 
 
-@check("d17_volume_hourly", volume_sql("hour"), "avg_fraud_probability avg_confidence")
+@check("d17_volume_hourly", volume_sql("hour"), "avg_fraud_probability avg_confidence", digits=8)
 def volume_hourly(t: Tables):
     return ops.prediction_volume(t.pred, "hour")
 
 
-@check("d17_volume_daily", volume_sql("day"), "avg_fraud_probability avg_confidence")
+@check("d17_volume_daily", volume_sql("day"), "avg_fraud_probability avg_confidence", digits=8)
 def volume_daily(t: Tables):
     return ops.prediction_volume(t.pred, "day")
 
 
-@check("d17_volume_weekly", volume_sql("week"), "avg_fraud_probability avg_confidence")
+@check("d17_volume_weekly", volume_sql("week"), "avg_fraud_probability avg_confidence", digits=8)
 def volume_weekly(t: Tables):
     return ops.prediction_volume(t.pred, "week")
 
@@ -140,6 +140,7 @@ def volume_weekly(t: Tables):
     """SELECT CAST(request_timestamp AS DATE) AS day, CAST(hour(request_timestamp) AS INTEGER) AS hour, avg(inference_latency_ms) AS avg_latency_ms,
               stddev_samp(inference_latency_ms) AS std_latency_ms, count(*) AS request_count FROM pred GROUP BY ALL""",
     "avg_latency_ms std_latency_ms",
+    digits=8,
 )
 def latency_heatmap(t: Tables):
     return ops.latency_heatmap(t.pred)
@@ -151,6 +152,7 @@ def latency_heatmap(t: Tables):
     + ", ".join(f"avg(inference_latency_ms) FILTER (hour(request_timestamp) = {h}) AS h{h}" for h in range(24))
     + " FROM pred GROUP BY 1",
     " ".join(f"h{h}" for h in range(24)),
+    digits=8,
 )
 def latency_heatmap_wide(t: Tables):
     return ops.latency_heatmap_wide(t.pred)

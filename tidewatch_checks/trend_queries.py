@@ -393,7 +393,7 @@ def n9(t: Tables):
                CASE WHEN abs(avg_share - (slope * inference_count + intercept)) > 2 * std_share
                     THEN CASE WHEN inference_count < mean_volume THEN 'low_volume_drift' ELSE 'high_volume_drift' END END AS outlier
         FROM ({VOLUME}) CROSS JOIN (SELECT regr_slope(avg_share, inference_count) AS slope, regr_intercept(avg_share, inference_count) AS intercept,
-             corr(inference_count, avg_share) AS correlation, avg(inference_count) AS mean_volume, stddev_samp(avg_share) AS std_share FROM ({VOLUME}))""",
+             covar_pop(inference_count, avg_share) / nullif(stddev_pop(inference_count) * stddev_pop(avg_share), 0) AS correlation, avg(inference_count) AS mean_volume, stddev_samp(avg_share) AS std_share FROM ({VOLUME}))""",
     "avg_share slope intercept correlation residual",
 )
 def n10(t: Tables):
