@@ -116,19 +116,17 @@ def vacuum(spark: SparkSession, root: str, table: str) -> list[str]:
     return orphans
 
 
-def compact(spark: SparkSession, path: str, partition_by: Sequence[str], where: str | None = None, files: int | None = None) -> None:
+def compact(spark: SparkSession, path: str, partition_by: Sequence[str], where: str | None = None) -> None:
     """Rewrite the chosen partitions into fewer files.
 
-    The new content is staged first: a path is never read and overwritten by one job.
+    Rows are rebalanced by partition value: small partitions end as one file, large ones as files of
+    the size set by ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.  The new content is staged
+    first: a path is never read and overwritten by one job.
     """
     rows = spark.read.parquet(path)
     if where:
         rows = rows.where(where)
-    staged = cut_lineage(rows, "compact")
-    if files is not None:
-        staged.repartition(files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-    else:
-        write_table(staged, path, "overwrite", partition_by)
+    write_table(cut_lineage(rows, "compact"), path, "overwrite", partition_by)
 
 
 # -- label merge and run tags ---------------------------------------------------------------------
