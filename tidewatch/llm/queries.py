@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import mixing, secrets, sharding, url_filter
-from tidewatch.llm.common import read_table, scratch_path, words
+from tidewatch.llm import mixing, secrets, sharding, simhash, url_filter
+from tidewatch.llm.common import cut_lineage, read_table, scratch_path, words
+from tidewatch.llm.components import components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +129,18 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("mix_target").alias("target"),
         (F.col("mix_size") * F.col("mix_copies")).alias("taken"),
     )
+
+# 8 -------------------------------------------------------------------------------------------------
+
+
+@query
+def op8_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of 3-word shingles and component at two bits or fewer, for every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    prints = cut_lineage(simhash.with_fingerprints(docs, 3), "fingerprints")
+    roots = components(simhash.links_within(prints))
+    own = prints.groupBy("fp0").agg(F.min("doc_id").alias("least"))
+    placed = own.join(roots.withColumnRenamed("node", "fp0"), "fp0", "left").withColumn("root", F.coalesce("root", "fp0"))
+    reached = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = placed.join(reached, "root").select("fp0", "component_id")
+    return prints.join(named, "fp0").select("doc_id", F.lpad(F.lower(F.hex("fp0")), 16, "0").alias("fingerprint"), "component_id")
