@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import mixing, secrets, sharding, simhash, url_filter
+from tidewatch.llm import extraction, mixing, quality, secrets, sharding, simhash, url_filter
 from tidewatch.llm.common import cut_lineage, read_table, scratch_path, words
 from tidewatch.llm.components import components
 
@@ -144,3 +144,28 @@ def op8_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     reached = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     named = placed.join(reached, "root").select("fp0", "component_id")
     return prints.join(named, "fp0").select("doc_id", F.lpad(F.lower(F.hex("fp0")), 16, "0").alias("fingerprint"), "component_id")
+
+# 3 -------------------------------------------------------------------------------------------------
+
+
+@query
+def op3_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by trees that were fitted on labels outside the held-out third."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    forest = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.with_score(docs, forest).select(
+        "doc_id",
+        quality.is_held_out(F.col("doc_id")).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+# 4 -------------------------------------------------------------------------------------------------
+
+
+@query
+def op4_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extraction.with_text(pages).select("page_id", "url", "text", "n_chars")
