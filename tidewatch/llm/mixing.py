@@ -25,7 +25,7 @@ from tidewatch.llm.common import attach, cut_lineage
 
 WEIGHTS = (5, 2, 1)
 SHARE, CEILING = 1.5, 2.0
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 2_000
 FAN_IN = 256
 
 
