@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.session import cut_lineage, scratch_path
 
-__all__ = ["attach", "cut_lineage", "read_table", "scratch_path", "text_or_empty", "words", "WORD"]
+__all__ = ["attach", "bitmap", "cut_lineage", "in_bitmap", "read_table", "scratch_path", "ship", "text_or_empty", "words", "WORD"]
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,6 +27,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, as ``--py-files`` would; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="package-"), f"{os.path.basename(root)}.zip")
+    with zipfile.ZipFile(path, "w") as held:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    held.write(full := os.path.join(folder, name), os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
@@ -47,3 +70,28 @@ def attach(rows: DataFrame, small: DataFrame, keys: Sequence[str], spread: Colum
     left = rows.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
     right = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return left.join(right, [*on, F.col("__salt") == F.col("__salt_r")], how).drop(*names, "__salt", "__salt_r")
+
+
+#: Bits of a ``bitmap``; its size does not depend on the rows.
+BITMAP_BITS = 24
+
+
+def bitmap(rows: DataFrame, column: str) -> bytes:
+    """Bit array of ``2 ** BITMAP_BITS`` bits (2 MB) with the bits of the hashes in ``column`` (long) set.
+
+    A filter in front of an exact join: what is not in it is in no row; how full it gets decides only how many rows it spares.
+    """
+    slot = F.col(column).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    word = F.shiftright(slot, 5).cast("int")
+    bit = F.expr(f"shiftleft(1L, cast({column} & 31L as int))")
+    words = rows.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
+    held = np.zeros(1 << (BITMAP_BITS - 5), np.uint32)
+    held[[r["word"] for r in words]] = [r["bits"] for r in words]
+    return held.tobytes()
+
+
+def in_bitmap(bits: bytes, hashes: np.ndarray) -> np.ndarray:
+    """Which of ``hashes`` (uint64) may be in the bitmap."""
+    h = hashes.astype(np.uint64)
+    words = np.frombuffer(bits, np.uint32)[((h & np.uint64((1 << BITMAP_BITS) - 1)) >> np.uint64(5)).astype(np.int64)]
+    return (words >> (h & np.uint64(31)).astype(np.uint32)) & np.uint32(1) > 0

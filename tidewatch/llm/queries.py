@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import extraction, mixing, quality, secrets, sharding, simhash, url_filter
-from tidewatch.llm.common import cut_lineage, read_table, scratch_path, words
+from tidewatch.llm import bytededup, extraction, mixing, quality, secrets, sharding, simhash, url_filter
+from tidewatch.llm.common import cut_lineage, read_table, scratch_path, ship, words
 from tidewatch.llm.components import components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,7 +16,11 @@ ORACLES: dict[str, str] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[fn.__name__] = fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 
@@ -169,3 +173,11 @@ def op4_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extraction.with_text(pages).select("page_id", "url", "text", "n_chars")
+
+# 5 -------------------------------------------------------------------------------------------------
+
+
+@query
+def op5_bucket_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated strings of 200 bytes cover in every document."""
+    return bytededup.removed_bytes(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
