@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bytededup, extraction, mixing, quality, secrets, sharding, simhash, url_filter
+from tidewatch.llm import bytededup, decontaminate, extraction, mixing, quality, secrets, sharding, simhash, url_filter
 from tidewatch.llm.common import cut_lineage, read_table, scratch_path, ship, words
 from tidewatch.llm.components import components
 
@@ -181,3 +181,15 @@ def op4_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_bucket_pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeated strings of 200 bytes cover in every document."""
     return bytededup.removed_bytes(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+# 2 -------------------------------------------------------------------------------------------------
+
+
+@query
+def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contaminated documents with the benchmark items they hold."""
+    docs = decontaminate.with_digest(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    items = decontaminate.with_digest(read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    found = decontaminate.contaminated(docs, items)
+    held = found.join(items.select("item_id", F.col("digest").alias("item")), "item").drop("item")
+    return docs.select("doc_id", "digest").join(held, "digest").select("doc_id", "item_id", "n_tokens", "covered", "tiles", "coverage")
