@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bytededup, decontaminate, extraction, mixing, quality, secrets, sharding, simhash, url_filter
+from tidewatch.llm import bytededup, decontaminate, extraction, mixing, neighbours, quality, secrets, sharding, simhash, url_filter
 from tidewatch.llm.common import cut_lineage, read_table, scratch_path, ship, words
 from tidewatch.llm.components import components
 
@@ -193,3 +193,11 @@ def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(docs, items)
     held = found.join(items.select("item_id", F.col("digest").alias("item")), "item").drop("item")
     return docs.select("doc_id", "digest").join(held, "digest").select("doc_id", "item_id", "n_tokens", "covered", "tiles", "coverage")
+
+# 1 -------------------------------------------------------------------------------------------------
+
+
+@query
+def op1_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest found for every hundredth vector."""
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
