@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import bitmap, cut_lineage, in_bitmap, text_or_empty
+from tidewatch.llm.common import cut_lineage, text_or_empty, texts_of
 from tidewatch.llm.rolling import PIECE, between, mix, prefix, sliding_min, windows
 
 LENGTH, GRAM = 200, 64
@@ -70,24 +70,6 @@ def _all_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out(found)
 
 
-def _known(bits):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = in_bitmap(bits.value, batch.column("tid").to_numpy().view(np.uint64))
-            if keep.any():
-                yield batch.filter(pa.array(keep))
-
-    return run
-
-
-def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``wanted`` (one row per ``tid``, with ``at`` as the row that holds the text) plus ``text``."""
-    bits = texts.sparkSession.sparkContext.broadcast(bitmap(wanted, "tid"))
-    near = texts.mapInArrow(_known(bits), texts.schema)
-    wanted = wanted.withColumnRenamed("tid", "wanted").hint("shuffle_hash")
-    return near.join(wanted, (F.col("tid") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("at"))).drop("wanted", "doc_id", "at")
-
-
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of each listed run."""
     for batch in batches:
@@ -228,8 +210,9 @@ def removed_bytes(docs: DataFrame) -> DataFrame:
     texts = marks.groupBy("digest", "tid", "n_bytes", "sha_all").agg(F.count("*").alias("copies"), F.min("doc_id").alias("at"))
     long_texts = held.where(F.octet_length("text") >= LENGTH)
     runs = cut_lineage(long_texts.select("tid", "text").mapInArrow(_all_runs, "bucket long, part long, tid long, first long, last long"), "runs")
-    more = runs.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    open_runs = cut_lineage(runs.join(more, "bucket").distinct(), "open-runs")
+    # Both sides of this join are stored tables, and so is its result: Spark can cut a bucket that copies have filled.
+    more = cut_lineage(runs.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "open-buckets")
+    open_runs = cut_lineage(cut_lineage(runs.join(more, "bucket"), "open-runs").distinct(), "open-runs")
     parts = open_runs.groupBy("bucket", "part").agg(F.count("*").alias("members"), F.min(F.struct("tid", "first", "last")).alias("one"))
     per_bucket = parts.groupBy("bucket").agg(F.count("*").alias("parts"))
     together = (
@@ -242,7 +225,7 @@ def removed_bytes(docs: DataFrame) -> DataFrame:
     holders = marks.groupBy("tid").agg(F.min("doc_id").alias("at"))
     wanted = cut_lineage(split.groupBy("tid").agg(F.collect_list("run").alias("runs")).join(holders, "tid"), "split-runs")
     schema = "bucket long, tid long, first long, alone boolean, hot boolean, bytes binary"
-    cut = cut_lineage(_texts_of(long_texts, wanted).mapInArrow(_cut, schema), "run-bytes")
+    cut = cut_lineage(texts_of(long_texts, wanted).mapInArrow(_cut, schema), "run-bytes")
     spans = "tid long, begin long, end long"
     shared = cut.where("NOT hot").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_refine, spans)
     strings = cut.where("hot").mapInArrow(_listed, "id long, tid long, start long, alone boolean")
@@ -252,7 +235,7 @@ def removed_bytes(docs: DataFrame) -> DataFrame:
     single = texts.where("copies = 1").select(F.col("tid").alias("t"), F.col("at"))
     covered = together.unionByName(shared).unionByName(hot).groupBy("tid").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     covered = cut_lineage(covered.join(single, F.col("tid") == F.col("t")).drop("t"), "spans")
-    results = _texts_of(long_texts, covered).select("tid", "text", "spans").mapInArrow(_kept, "tid long, removed long, runs long, sha string")
+    results = texts_of(long_texts, covered).select("tid", "text", "spans").mapInArrow(_kept, "tid long, removed long, runs long, sha string")
     results = cut_lineage(results, "kept")
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
     told = texts.join(results, "tid", "left").select(

@@ -5,15 +5,16 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.session import cut_lineage, scratch_path
 
-__all__ = ["attach", "bitmap", "cut_lineage", "in_bitmap", "read_table", "scratch_path", "ship", "text_or_empty", "words", "WORD"]
+__all__ = ["attach", "bitmap", "cut_lineage", "in_bitmap", "read_table", "scratch_path", "ship", "text_or_empty", "texts_of", "words", "WORD"]
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -95,3 +96,25 @@ def in_bitmap(bits: bytes, hashes: np.ndarray) -> np.ndarray:
     h = hashes.astype(np.uint64)
     words = np.frombuffer(bits, np.uint32)[((h & np.uint64((1 << BITMAP_BITS) - 1)) >> np.uint64(5)).astype(np.int64)]
     return (words >> (h & np.uint64(31)).astype(np.uint32)) & np.uint32(1) > 0
+
+
+def _known(bits):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = in_bitmap(bits.value, batch.column("tid").to_numpy().view(np.uint64))
+            if keep.any():
+                yield batch.filter(pa.array(keep))
+
+    return run
+
+
+def texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (one row per ``tid``, with ``at`` as the id of a row that holds the text) plus ``text``.
+
+    ``texts`` has ``doc_id``, ``tid`` (hash of the text) and ``text``. Most texts that are not wanted are turned away by a bit array before the
+    join; the join is on text and row, so that a text of many copies is moved once, and it hashes the side without texts.
+    """
+    bits = texts.sparkSession.sparkContext.broadcast(bitmap(wanted, "tid"))
+    near = texts.mapInArrow(_known(bits), texts.schema)
+    wanted = wanted.withColumnRenamed("tid", "wanted").hint("shuffle_hash")
+    return near.join(wanted, (F.col("tid") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("at"))).drop("wanted", "doc_id", "at")

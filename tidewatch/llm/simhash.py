@@ -26,8 +26,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.window import Window
 
-from tidewatch.llm.common import cut_lineage
+from tidewatch.llm.common import cut_lineage, text_or_empty, texts_of
+from tidewatch.llm.components import components
 
 SEED = 42
 #: Bytes of a text that are cut into words at once; a longer text is read in pieces that end at white space.
@@ -211,3 +213,61 @@ def candidates(nodes: DataFrame, lanes: int, width: int, radius: int, limit: int
     rows = nodes.select("node", *prints, F.inline(block_keys(lanes, width, radius)))
     dealt = rows.repartition("t", "key").sortWithinPartitions("t", "key", "node")
     return cut_lineage(dealt.mapInArrow(_near(lanes, limit), "u long, v long").distinct(), "simhash-pairs")
+
+
+def _alike(k: int, similarity: float):
+    """Pairs whose sets of shingles have at least that Jaccard similarity, from rows ordered by ``v``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, frozenset()
+
+        def shingle_set(data: bytes) -> frozenset[int]:
+            return frozenset(xxhash.xxh64_intdigest(s, SEED) for some in shingles(data, k) for s in some)
+
+        for batch in batches:
+            us, vs = [], []
+            columns = (batch.column("u"), batch.column("v"), batch.column("text_u").cast(pa.binary()), batch.column("text_v").cast(pa.binary()))
+            for u, v, text_u, text_v in zip(*columns, strict=True):
+                if v != last:
+                    last, held = v, shingle_set(text_v.as_py())
+                own = shingle_set(text_u.as_py())
+                both = len(own & held)
+                if both >= similarity * (len(own) + len(held) - both):
+                    us.append(u.as_py())
+                    vs.append(v.as_py())
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+
+    return run
+
+
+def keep_one(
+    docs: DataFrame, k: int = 5, similarity: float = 0.8, print_k: int = 2, lanes: int = 2, width: int = 32, radius: int = 3, limit: int = 24
+) -> DataFrame:
+    """``docs`` (with ``doc_id``, ``text``) with one row for each group of equal or similar texts: that of the smallest id.
+
+    Texts are linked if their sets of ``k``-word shingles have a Jaccard similarity of ``similarity`` or more; a group is what
+    links connect. Pairs to compare come from fingerprints of ``64 * lanes`` bits that are within ``limit`` bits and share a covering bucket of
+    some block. The fingerprints are of ``print_k``-word shingles, of which a changed word touches fewer: texts that are similar in longer
+    shingles are then some ten bits of 128 apart. NULL text is empty; texts without words are equal to each other only if they are the same. All columns are kept.
+    """
+    held = docs.select("doc_id", text_or_empty().alias("text")).withColumn("tid", F.xxhash64("text"))
+    prints = [f"fp{i}" for i in range(lanes)]
+    digest = F.unhex(F.md5("text")).alias("digest")
+    marks = cut_lineage(with_fingerprints(held.select("doc_id", "tid", digest, "text"), print_k, lanes), "fingerprints")
+    texts = marks.groupBy("digest").agg(F.min("doc_id").alias("at"), F.first("tid").alias("tid"), *[F.first(p).alias(p) for p in prints])
+    nodes = cut_lineage(texts.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    pairs = candidates(nodes, lanes, width, radius, limit)
+    met = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+    wanted = cut_lineage(nodes.select("node", "tid", "at").join(met, "node"), "compared")
+    whole = cut_lineage(texts_of(held, wanted).select("node", "text"), "compared-texts")
+    rows = pairs.join(whole.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u").join(
+        whole.select(F.col("node").alias("v"), F.col("text").alias("text_v")), "v"
+    )
+    roots = components(rows.sortWithinPartitions("v").mapInArrow(_alike(k, similarity), "u long, v long"))
+    placed = nodes.select("node", "at", "digest").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = placed.groupBy("root").agg(F.min(F.struct(F.col("at").isNull().alias("none"), "at", "digest")).alias("one")).select("one.at", F.col("one.digest").alias("kept"))
+    mine = docs.withColumn("__digest", F.unhex(F.md5(text_or_empty())))
+    chosen = mine.join(first.hint("shuffle_hash"), (F.col("__digest") == F.col("kept")) & F.col("doc_id").eqNullSafe(F.col("at"))).drop("at", "kept")
+    # Rows with the same id and text are told apart by nothing: one stays.
+    order = Window.partitionBy("__digest", "doc_id").orderBy(F.lit(0))
+    return chosen.withColumn("__row", F.row_number().over(order)).where("__row = 1").drop("__digest", "__row")
