@@ -4,33 +4,64 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import mixing, sharding
-from tidewatch.llm.common import read_table, scratch_path, words
+from tidewatch.llm import decontaminate, mixing, quality, sharding, simhash
+from tidewatch.llm.common import attach, read_table, scratch_path, ship, words
 
-#: No stage can be put into SQL as a whole; the result is tested against a brute-force version.
+#: No stage can be put into SQL as a whole; stages are tested against brute-force versions.
 ORACLE_SQL: str | None = None
 
+SHARDS = 40
+REJECTED_BELOW = 0.5
 
-def digest() -> list:
-    """Tells rows apart: id, checksum of the text, and its length."""
+
+def row_key() -> list[Column]:
+    """Tells rows apart: id, checksum and size of the text, source and language."""
     return [F.col("doc_id"), F.crc32(F.coalesce("text", F.lit(""))), F.coalesce(F.octet_length("text"), F.lit(0)), F.col("source"), F.col("lang")]
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality trees do not reject."""
+    ship(spark)
+    forest = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality.with_score(docs, forest, keep_text=True, score="__quality")
+    return scored.where(F.col("__quality") >= REJECTED_BELOW).select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    ship(spark)
+    return simhash.keep_one(docs).select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    ship(spark)
+    found = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    hits = found.select(F.col("digest").alias("__digest"), F.lit(True).alias("__hit")).distinct()
+    marked = decontaminate.with_digest(docs.withColumn("__row", F.xxhash64(*row_key())), "text").withColumnRenamed("digest", "__digest")
+    return attach(marked, hits, ["__digest"], F.col("__row"), "left").where("__hit IS NULL").select(docs.columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or twice."""
-    mixed = mixing.copies(docs, words(), digest())
-    return mixed.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.greatest("mix_copies", F.lit(1))))).where("mix_copies > 0").select(docs.columns)
+    ship(spark)
+    mixed = mixing.copies(docs, words(), row_key())
+    taken = mixed.where("mix_copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
+    return taken.select(docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``shard`` and ``slot`` of every row on a ring of 40 shards."""
-    return sharding.assign(docs, digest(), 40)
+    """``shard`` and ``slot`` of every row on a ring of 40 shards of equal row counts."""
+    return sharding.assign(docs, row_key(), SHARDS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", classify),
+    ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
     ("mixing sources to target weights", mix_sources),
     ("sharding", shard),
 ]

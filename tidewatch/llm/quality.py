@@ -190,12 +190,12 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Forest:
     return fit(x, taken["label"].to_numpy(dtype=float))
 
 
-def with_score(docs: DataFrame, forest: Forest, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """``docs`` plus ``quality_score``; NULL text is scored as an empty one."""
-    kept = [f for f in docs.schema.fields if f.name != "quality_score" and (keep_text or f.name != text)]
+def with_score(docs: DataFrame, forest: Forest, text: str = "text", keep_text: bool = False, score: str = "quality_score") -> DataFrame:
+    """``docs`` plus ``score``; NULL text is scored as an empty one. A column of that name is replaced."""
+    kept = [f for f in docs.schema.fields if f.name != score and (keep_text or f.name != text)]
 
     def add(x: np.ndarray):
-        return "quality_score", pa.array(forest.score(x), pa.float64())
+        return score, pa.array(forest.score(x), pa.float64())
 
-    schema = StructType([*kept, StructField("quality_score", DoubleType())])
+    schema = StructType([*kept, StructField(score, DoubleType())])
     return docs.mapInArrow(_batches(text, add, [f.name for f in kept]), schema)
