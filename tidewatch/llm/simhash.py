@@ -144,7 +144,7 @@ def _near(lanes: int, limit: int):
     """Pairs of one bucket within ``limit`` bits, from rows ordered by ``t, key``."""
 
     def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int32)
+        return np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=-1, dtype=np.int32)  # of signed words it would count the absolute value
 
     def bucket_pairs(prints: np.ndarray) -> tuple[list[int], list[int]]:
         leaders: list[int] = []
