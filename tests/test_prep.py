@@ -81,9 +81,12 @@ def test_perturbation(spark):
     df = spark.range(2000).select((F.col("id") % 10).cast("double").alias("x"), F.lit(1.0).alias("z"))
     out = prep.perturb(df, {"x": {"factor": 2.0}, "z": {"shift": -5}, "q": {"shift": 1}}, non_negative=["z"]).agg(F.avg("x"), F.max("z")).first()
     assert out[0] == pytest.approx(9.0) and out[1] == 0.0
-    noisy = prep.perturb(df, {"x": {"factor": 2.0, "noise": 0.1}})
+    keyed = df.withColumn("id", F.monotonically_increasing_id())
+    noisy = prep.perturb(keyed, {"x": {"factor": 2.0, "noise": 0.1}}, key="id")
     assert noisy.agg(F.avg("x")).first()[0] == pytest.approx(9.0, rel=0.02)
-    assert noisy.collect() == prep.perturb(df, {"x": {"factor": 2.0, "noise": 0.1}}).collect()
+    assert sorted(noisy.collect()) == sorted(prep.perturb(keyed.repartition(3), {"x": {"factor": 2.0, "noise": 0.1}}, key="id").collect())
+    with pytest.raises(ValueError, match="needs a key"):
+        prep.perturb(df, {"x": {"factor": 2.0, "noise": 0.1}})
     with pytest.raises(ValueError, match="unknown drift type"):
         prep.perturb(df, {"x": {"type": "sideways"}})
 

@@ -6,8 +6,9 @@ import pytest
 
 import __spark_entry__ as entry
 from tidewatch_checks.compare import compare, connect
+from tidewatch_checks.registry import CHECKS
 
-QUERIES = entry.queries()
+QUERIES = {name: run for name, run in entry.queries().items() if name in CHECKS}
 SQL = entry.oracle_sql()
 
 

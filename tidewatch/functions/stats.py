@@ -48,12 +48,27 @@ def _log_gamma_half(dof: Column) -> Column:
     return F.aggregate(terms, base, lambda acc, k: acc + F.log(start + k.cast("double")))
 
 
+#: Degrees of freedom up to which the chi-square tail is summed; its series need some tens of square roots of it.
+SERIES_DOF = 1000
+
+
 def chi_square_sf(statistic: Column, dof: Column) -> Column:
     """Upper tail of the chi-square distribution: regularised incomplete gamma Q(dof/2, x/2).
 
     Power series for the lower part below the mean, continued fraction for the upper part above it,
-    so very small p-values keep their relative accuracy.
+    so very small p-values keep their relative accuracy.  Beyond ``SERIES_DOF`` degrees of freedom the cube
+    root of x / dof is normal to some 1e-5 and takes their place.
     """
+    dof = dof.cast("long")
+    k, x = _as_double(dof), F.greatest(_as_double(statistic), F.lit(0.0))
+    spread = 2.0 / (9.0 * k)
+    z = (F.pow(x / k, F.lit(1.0 / 3.0)) - (1.0 - spread)) / F.sqrt(spread)
+    both_sides = _chi_square_series(z * z, F.lit(1))
+    normal = F.when(z >= 0, 0.5 * both_sides).otherwise(1.0 - 0.5 * both_sides)
+    return F.when(dof > SERIES_DOF, normal).otherwise(_chi_square_series(statistic, F.least(dof, F.lit(SERIES_DOF))))
+
+
+def _chi_square_series(statistic: Column, dof: Column) -> Column:
     dof = dof.cast("int")
     s = dof.cast("double") / 2.0
     x = _as_double(statistic) / 2.0

@@ -68,7 +68,8 @@ def numeric_distances(sides: DataFrame, groups: Sequence[str] = ("feature",), bo
     """Two-sample distances per group from long rows (groups..., value, is_current).
 
     Columns: n_baseline, n_current, ks_statistic, ks_p_value, wasserstein (divided by the baseline
-    standard deviation).  A group empty on one side gets statistic 0 and p-value 1.
+    standard deviation).  A group empty on one side gets statistic 0 and p-value 1; where infinite
+    values leave no finite distance, ``wasserstein`` is NULL.
     """
     groups = list(groups)
     pre = ordered_prefix(_sides(sides, groups), groups, ["a", "b"], bounded)
@@ -90,6 +91,8 @@ def numeric_distances(sides: DataFrame, groups: Sequence[str] = ("feature",), bo
     variance = (F.col("__m2") - F.col("__m1") * F.col("__m1") / F.nullif(n, F.lit(0))) / F.nullif(n - 1, F.lit(0))
     # A constant baseline has no scale: any shift at all is then reported unscaled.
     scale = F.when(variance > 0, F.sqrt(variance)).otherwise(F.lit(1.0))
+    distance = F.coalesce(F.col("__w1") / scale, F.lit(0.0))
+    finite = ~F.isnan(distance) & (F.abs(distance) != float("inf"))
     p = F.when(
         (n > 0) & (F.col("n_current") > 0), ks_p_value(F.col("ks_statistic"), n, F.col("n_current"))
     ).otherwise(F.lit(1.0))
@@ -99,7 +102,7 @@ def numeric_distances(sides: DataFrame, groups: Sequence[str] = ("feature",), bo
         "n_current",
         "ks_statistic",
         p.alias("ks_p_value"),
-        F.coalesce(F.col("__w1") / scale, F.lit(0.0)).alias("wasserstein"),
+        F.when(finite, distance).alias("wasserstein"),
     )
 
 
@@ -122,13 +125,15 @@ def bin_index(value: Column, edges: Column, bins: int = 10) -> Column:
     return sum(((value >= edges[i]).cast("int") for i in range(bins - 1)), F.lit(0))
 
 
-def bin_counts(sides: DataFrame, bins: int = 10) -> DataFrame:
+def bin_counts(sides: DataFrame, bins: int = 10, baseline: DataFrame | None = None) -> DataFrame:
     """(feature, bin, a, b): side counts per baseline quantile bin.
 
     Only the baseline is shuffled by value, for its exact quantiles.  The rows themselves meet the
     edges (one short array per feature, broadcast) where they are read and leave as bin counts.
+    ``baseline`` (feature, value), the baseline side by itself, spares reading the other side for the edges: a
+    filter on the stacked sides does not reach their scans.
     """
-    edges = decile_edges(sides.where(F.col("is_current") == 0), ["feature"], bins)
+    edges = decile_edges(sides.where(F.col("is_current") == 0) if baseline is None else baseline, ["feature"], bins)
     v = F.col("value")
     rows = sides.where(v.isNotNull() & ~F.isnan(v)).join(F.broadcast(edges), "feature")
     return rows.groupBy("feature", bin_index(v, F.col("edges"), bins).alias("bin")).agg(
@@ -163,14 +168,14 @@ def divergences(shares: DataFrame, groups: Sequence[str]) -> DataFrame:
     )
 
 
-def binned_divergences(sides: DataFrame, bins: int = 10) -> DataFrame:
+def binned_divergences(sides: DataFrame, bins: int = 10, baseline: DataFrame | None = None) -> DataFrame:
     """PSI, KL and Jensen-Shannon per numeric feature over baseline quantile bins."""
-    return divergences(floored_shares(bin_counts(sides, bins), ["feature"]), ["feature"])
+    return divergences(floored_shares(bin_counts(sides, bins, baseline), ["feature"]), ["feature"])
 
 
-def psi(sides: DataFrame, bins: int = 10) -> DataFrame:
+def psi(sides: DataFrame, bins: int = 10, baseline: DataFrame | None = None) -> DataFrame:
     """Population stability index per feature."""
-    return binned_divergences(sides, bins).select("feature", "psi")
+    return binned_divergences(sides, bins, baseline).select("feature", "psi")
 
 
 # -- categorical distances ------------------------------------------------------------------------

@@ -78,9 +78,11 @@ def rolling_by_second(df: DataFrame, entity: str, ts: str, amount: str, spans: M
 def entity_history(df: DataFrame, entity: str, ts: str, amount: str) -> DataFrame:
     """Rows plus 24-hour and 7-day counts, 30-day mean and maximum amount, and velocity score.
 
-    Velocity is the 24-hour rate over the 7-day rate (our formula; 1.0 means steady activity).
+    Velocity is the 24-hour rate over the 7-day rate (our formula; 1.0 means steady activity).  A row
+    without entity or time has no history: it is kept, with NULLs.
     """
-    rolled = rolling_by_second(df, entity, ts, amount, {"d1": DAY, "d7": 7 * DAY, "d30": 30 * DAY}).select(
+    known = df.where(F.col(entity).isNotNull() & F.col(ts).isNotNull())
+    rolled = rolling_by_second(known, entity, ts, amount, {"d1": DAY, "d7": 7 * DAY, "d30": 30 * DAY}).select(
         F.col("entity").alias("__e"),
         F.col("second").alias("__s"),
         F.col("d1_count").alias("num_transactions_24h"),
@@ -91,7 +93,7 @@ def entity_history(df: DataFrame, entity: str, ts: str, amount: str) -> DataFram
     )
     keyed = df.withColumn("__second", epoch_seconds(ts))
     matched = (keyed[entity] == rolled["__e"]) & (keyed["__second"] == rolled["__s"])
-    return keyed.join(rolled, matched).drop("__second", "__e", "__s")
+    return keyed.join(rolled, matched, "left").drop("__second", "__e", "__s")
 
 
 def previous_in_entity(
@@ -100,9 +102,13 @@ def previous_in_entity(
     """Add ``prev_<column>`` of the entity's previous event (by time, then ``tie``).
 
     The window runs inside an entity's time block; only the first event of a block looks up the last
-    event of the entity's block before, from a table with one row per entity and block.
+    event of the entity's block before, from a table with one row per entity and block.  A row without
+    entity or time has no previous event and is nobody's.
     """
-    blocked = df.withColumn("__block", F.floor(epoch_seconds(ts) / block_seconds))
+    unknown = F.col(entity).isNull() | F.col(ts).isNull()
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    aside = df.where(unknown).select(*df.columns, *[F.lit(None).cast(kinds[c]).alias(f"prev_{c}") for c in columns])
+    blocked = df.where(~unknown).withColumn("__block", F.floor(epoch_seconds(ts) / block_seconds))
     inside = Window.partitionBy(entity, "__block").orderBy(ts, tie)
     payload = F.struct(*columns)
     local = blocked.withColumn("__prev", F.lag(payload).over(inside))
@@ -113,7 +119,8 @@ def previous_in_entity(
     )
     joined = local.join(carried, (local[entity] == carried["__e"]) & (local["__block"] == carried["__b"]), "left")
     previous = F.coalesce("__prev", "__carried")
-    return joined.select(*df.columns, *[previous.getField(c).alias(f"prev_{c}") for c in columns])
+    found = joined.select(*df.columns, *[previous.getField(c).alias(f"prev_{c}") for c in columns])
+    return found.unionByName(aside)
 
 
 def minutes_since_previous(df: DataFrame, entity: str, ts: str, tie: str) -> DataFrame:

@@ -10,9 +10,11 @@ the group would put one hot group into one task.  Instead:
 3. the running sum runs inside one bucket, and the totals of the earlier buckets, a table of a few
    rows per group, are added by a join.
 
-The bucket tables hold at most some thousand cells per group.  Where the groups themselves are
-bounded (feature names, or no group at all) the caller says so with ``bounded`` and they are
-broadcast; otherwise they are shuffled like any other table.
+The table of cells holds at most some thousand per group (two signs, two for each power of two that
+a double has).  Where the groups themselves are bounded (feature names, or no group at all) the
+caller says so with ``bounded`` and it is broadcast; otherwise it is shuffled like any other table.
+The table of buckets grows with the data, so how it is joined is left to Spark.  Buckets of a cell are of equal
+width: values that crowd into a small part of one cell still share a bucket.
 """
 
 from __future__ import annotations
@@ -47,9 +49,10 @@ def _cell(value: Column) -> Column:
     """Order-preserving coarse cell: sign and binary magnitude of the value.
 
     Never NULL, and declared so: a join on it then adds no filter of its own, and all branches below
-    read one and the same shuffle.
+    read one and the same shuffle.  Infinities have end cells of their own.
     """
     magnitude = F.floor(F.log2(F.abs(value)) * _CELLS_PER_OCTAVE) + _CELL_SHIFT
+    magnitude = F.when(F.abs(value) == float("inf"), F.lit(3 * _CELL_SHIFT)).otherwise(magnitude)
     cell = F.when(value > 0, magnitude).when(value < 0, -magnitude).otherwise(F.lit(0)).cast("long")
     return F.coalesce(cell, F.lit(0).cast("long"))
 
@@ -128,7 +131,7 @@ def ordered_prefix(
         *[F.coalesce(F.sum(w).over(running), F.lit(0)).alias(f"__l_{w}") for w in weights],
         F.lead("value").over(in_bucket).alias("__next_local"),
     )
-    return local.join(small(offsets), [*key, *bucket]).select(
+    return local.join(offsets, [*key, *bucket]).select(
         *[F.col(f"__g.{g}").alias(g) for g in groups],
         "value",
         *weights,
@@ -173,7 +176,8 @@ def weighted_quantiles(
     rank = (F.col("__total") - 1) * F.col("q.p")
     low = F.floor(rank)
     above = F.when(low + 1 < F.col("__upto"), F.col("value")).otherwise(F.coalesce("next_value", "value"))
-    estimate = F.col("value") + (rank - low) * (above - F.col("value"))
+    # Without the test, neighbours that are both infinite would give NaN.
+    estimate = F.when((rank == low) | (above == F.col("value")), F.col("value")).otherwise(F.col("value") + (rank - low) * (above - F.col("value")))
     ordered = F.array_sort(F.collect_list(F.struct(F.col("q.i").alias("i"), estimate.alias("v"))))
     return picked.groupBy(*groups).agg(F.transform(ordered, lambda s: s["v"]).alias("quantiles"))
 

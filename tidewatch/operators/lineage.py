@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import feature_severity, prediction_category, prediction_match, within_last
+from tidewatch.operators.kernel import join_on
 
 RUN_COLUMNS = (
     "monitoring_run_id", "monitoring_timestamp", "model_version", "model_package_arn", "evaluation_snapshot_id",
@@ -61,14 +62,15 @@ def runs_with_predictions(runs: DataFrame, tagged: DataFrame) -> DataFrame:
 
     Predictions are reduced to one row per run before they meet the wide run rows.
     """
-    per_run = tagged.where(F.col("monitoring_run_id").isNotNull()).groupBy("monitoring_run_id").agg(
+    keys = ["monitoring_run_id", "endpoint_name"]
+    per_run = tagged.where(F.col("monitoring_run_id").isNotNull()).groupBy(*keys).agg(
         F.countDistinct("inference_id").alias("inference_count"),
         F.avg("probability_fraud").alias("avg_fraud_prob"),
         F.count("ground_truth").alias("gt_count"),
         F.min("request_timestamp").alias("window_start"),
         F.max("request_timestamp").alias("window_end"),
     )
-    return runs.join(per_run, "monitoring_run_id", "left").select(
+    return join_on(runs, per_run, keys, "left").select(
         *RUN_COLUMNS,
         "endpoint_name",
         F.coalesce("inference_count", F.lit(0)).alias("inference_count"),
@@ -109,7 +111,9 @@ def feature_drift_detail(runs: DataFrame, significant: float = 2.5, moderate: fl
 def trace_run(runs: DataFrame, tagged: DataFrame) -> DataFrame:
     """The predictions behind the latest run."""
     latest = runs.orderBy(F.desc("monitoring_timestamp"), F.desc("monitoring_run_id")).limit(1)
-    return tagged.join(F.broadcast(latest.select("monitoring_run_id")), "monitoring_run_id", "left_semi").select(
+    one = F.broadcast(latest.select(F.col("monitoring_run_id").alias("__run"), F.col("endpoint_name").alias("__ep")))
+    mine = (F.col("monitoring_run_id") == F.col("__run")) & F.col("endpoint_name").eqNullSafe(F.col("__ep"))
+    return tagged.join(one, mine, "left_semi").select(
         "inference_id", "request_timestamp", "prediction", "probability_fraud", "ground_truth", "monitoring_run_id"
     )
 
@@ -143,8 +147,7 @@ def drift_by_importance(
 def version_consistency(expected: DataFrame, predictions: DataFrame, as_of: datetime | str, hours: int = 1) -> DataFrame:
     """Expected (endpoint, model_version, mlflow_run_id) against the dominant logged one.
 
-    A version mismatch fails the endpoint, a run-id mismatch fails it too unless an id is unknown;
-    no recent record is a warning.
+    A version mismatch fails the endpoint; a run-id mismatch, an unknown id and no recent record are warnings.
     """
     counts = (
         predictions.where(within_last("request_timestamp", as_of, hours=hours))
@@ -152,7 +155,7 @@ def version_consistency(expected: DataFrame, predictions: DataFrame, as_of: date
         .agg(F.count("*").alias("n"))
     )
     observed = counts.groupBy("endpoint_name").agg(
-        F.max_by(F.struct("model_version", "mlflow_run_id", "n"), F.struct("n", "model_version")).alias("o")
+        F.max_by(F.struct("model_version", "mlflow_run_id", "n"), F.struct("n", "model_version", "mlflow_run_id")).alias("o")
     )
     joined = expected.select(
         "endpoint_name", F.col("model_version").alias("expected_version"), F.col("mlflow_run_id").alias("expected_run_id")

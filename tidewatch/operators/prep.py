@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.config import FeatureSchema
-from tidewatch.functions.columns import FALSE_TOKENS, TRUE_TOKENS, number_or_null, typed
+from tidewatch.functions.columns import FALSE_TOKENS, TRUE_TOKENS, hash_bucket, number_or_null, typed
 
 # Columns that are never model inputs.
 NON_FEATURES = (
@@ -117,13 +117,13 @@ def fit_encoders(df: DataFrame, columns: Sequence[str] | None = None, max_catego
 
 
 def encode_baseline(df: DataFrame, schema: FeatureSchema, encoders: Encoders) -> DataFrame:
-    """Model features as numbers: fitted codes for categories, numeric parse (or NULL) for the rest."""
-    return df.select(
-        *[
-            (encoders.column(n) if t == "string" else number_or_null(n)).cast("double").alias(n)
-            for n, t in schema.features
-        ]
-    )
+    """Model features as numbers: fitted codes for categories, numeric parse (or NULL) for the rest.
+
+    A text feature that has no code (``encoders.skipped``: too many values) is parsed like a number too, so
+    it is NULL where it is text and drops out of checks that need values.
+    """
+    coded = {*encoders.booleans, *encoders.categories}
+    return df.select(*[(encoders.column(n).cast("double") if n in coded else number_or_null(n)).cast("double").alias(n) for n, _ in schema.features])
 
 
 # -- JSON payloads --------------------------------------------------------------------------------
@@ -237,10 +237,12 @@ def perturb(
     seed: int = 42,
     non_negative: Sequence[str] = (),
     rounded: Sequence[str] = (),
+    key: str | None = None,
 ) -> DataFrame:
     """Shift feature distributions: multiplicative ``factor`` or additive ``shift`` with uniform noise.
 
-    The kind follows from the keys unless ``type`` names it; features the table lacks are skipped.
+    The kind follows from the keys unless ``type`` names it; features the table lacks are skipped.  Noise is
+    a hash of ``key`` and ``seed``, so it is the same on every run and retry.
     """
     out = df
     for i, (feature, change) in enumerate(changes.items()):
@@ -250,7 +252,10 @@ def perturb(
         if kind is None:
             continue
         noise = float(change.get("noise", 0))
-        spread = 2 * F.rand(seed + i) - 1 if noise else F.lit(0.0)
+        if noise and key is None:
+            raise ValueError("noise needs a key to be drawn from")
+        drawn = hash_bucket(F.concat_ws("-", F.lit(str(seed + i)), F.col(key).cast("string")), 1 << 20) if noise else F.lit(0)
+        spread = drawn.cast("double") / (1 << 19) - 1 if noise else F.lit(0.0)
         x = F.col(feature)
         if kind == "multiplicative":
             factor = float(change.get("factor", 1.0))

@@ -49,9 +49,13 @@ def stratified_pull(df: DataFrame, key: str, label: str, n: int, minimum: int =
     return positives.unionByName(negatives)
 
 
-def stratified_fraction(df: DataFrame, label: str, fractions: dict, seed: int = 42) -> DataFrame:
-    """Random sample with one fraction per class."""
-    return df.sampleBy(label, fractions, seed)
+def stratified_fraction(df: DataFrame, key: str, label: str, fractions: dict, seed: int = 42) -> DataFrame:
+    """Sample with one fraction per class by hash of the key; classes without a fraction are left out."""
+    place = hash_bucket(F.concat_ws("-", F.lit(str(seed)), F.col(key).cast("string")), 10_000)
+    limit = F.lit(0)
+    for value, fraction in fractions.items():
+        limit = F.when(F.col(label) == F.lit(value), round(fraction * 10_000)).otherwise(limit)
+    return df.where(place < limit)
 
 
 def split_statistics(df: DataFrame, label: str) -> DataFrame:

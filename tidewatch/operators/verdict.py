@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidewatch.functions.columns import as_of_literal, run_severity
 from tidewatch.functions.stats import safe_ratio
+from tidewatch.operators.kernel import join_on
 
 _D, _S, _I, _B, _TS = T.DoubleType(), T.StringType(), T.IntegerType(), T.BooleanType(), T.TimestampNTZType()
 
@@ -70,10 +71,11 @@ def degradation(baseline: Column, current: Column, limit_pct: float = 5.0) -> li
     ]
 
 
-def run_id(as_of: datetime | str) -> str:
+def run_id(as_of: datetime | str, endpoint: str) -> str:
+    """Id of a run: endpoints that are checked at the same time have runs of their own."""
     stamp = str(as_of)
     digits = "".join(ch for ch in stamp if ch.isdigit())[:14].ljust(14, "0")
-    return f"drift-{digits[:8]}-{digits[8:]}"
+    return f"drift-{digits[:8]}-{digits[8:]}-{endpoint}"
 
 
 def verdict_row(
@@ -91,7 +93,7 @@ def verdict_row(
     Either check may be missing (too few samples); its columns are then NULL and not detected.
     """
     fixed = {
-        "monitoring_run_id": run_id(as_of),
+        "monitoring_run_id": run_id(as_of, endpoint),
         "endpoint_name": endpoint,
         "model_version": model_version,
         "detection_engine": DETECTION_ENGINE,
@@ -129,10 +131,10 @@ def alerts(runs: DataFrame, details: DataFrame, top: int = 5) -> DataFrame:
         top,
     )
     # One entry per feature of a run: bounded by the schema.
-    features = drifted.groupBy("monitoring_run_id").agg(
+    features = drifted.groupBy("monitoring_run_id", "endpoint_name").agg(
         F.transform(best, lambda s: F.struct(s["feature"].alias("feature"), s["score"].alias("score"))).alias("top_features")
     )
-    hit = runs.where(F.col("data_drift_detected") | F.col("model_drift_detected")).join(features, "monitoring_run_id", "left")
+    hit = join_on(runs.where(F.col("data_drift_detected") | F.col("model_drift_detected")), features, ["monitoring_run_id", "endpoint_name"], "left")
     kinds = F.explode(
         F.array_compact(
             F.array(
@@ -177,10 +179,13 @@ RUN_METRICS = (
 
 
 def safe_metric_name(name: Column) -> Column:
-    """Metric-store-safe name: parenthesised parts dropped, lower case, limited character set."""
-    bare = F.regexp_replace(name, r"\([^)]*\)", "")
-    joined = F.lower(F.replace(F.replace(bare, F.lit("::"), F.lit("_")), F.lit(" "), F.lit("_")))
-    return F.trim(F.regexp_replace(joined, r"[^a-z0-9_\-. /:]", ""), F.lit("_"))
+    """Lower-case name of the characters that metric stores take: letters, digits, ``_``, ``-``, ``.``, ``/``.
+
+    What stands in parentheses at the end is left out; words are joined by underscores.
+    """
+    words = F.split(F.lower(F.substring_index(name, "(", 1)), r"[\s:]+")
+    clean = F.transform(words, lambda w: F.regexp_replace(w, "[^a-z0-9_./-]", ""))
+    return F.array_join(F.filter(clean, lambda w: w != ""), "_")
 
 
 def run_metrics(runs: DataFrame, details: DataFrame) -> DataFrame:

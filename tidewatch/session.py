@@ -36,11 +36,14 @@ def build_session(app_name: str = "tidewatch", master: str | None = None, **conf
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's checkpoint folder.
 
-    Only where the session names none (tests, a laptop) is a local folder chosen, once per application.
+    Only a session in one process (``local[..]``) may go without; it gets a temporary folder, once per
+    application.  On a cluster a missing setting is an error: executors would write to their own disks.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if root:
         return root
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     application = spark.sparkContext.applicationId
     if application not in _FALLBACK:
         _FALLBACK[application] = tempfile.mkdtemp(prefix="tidewatch-")

@@ -6,12 +6,12 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators import labels
 from tidewatch.operators.validate import two_class_check
-from tidewatch.session import cut_lineage
 from tidewatch.sources.writers import write_table
 
 SNAPSHOT_LOG = "table string, snapshot_id string, committed_at timestamp_ntz, path string"
@@ -120,13 +120,33 @@ def compact(spark: SparkSession, path: str, partition_by: Sequence[str], where:
     """Rewrite the chosen partitions into fewer files.
 
     Rows are rebalanced by partition value: small partitions end as one file, large ones as files of
-    the size set by ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.  The new content is staged
-    first: a path is never read and overwritten by one job.
+    the size set by ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.  ``where`` chooses whole
+    partitions, so it may name partition columns only; anything else is an error, as the overwrite
+    would delete the rows it leaves out.
     """
     rows = spark.read.parquet(path)
     if where:
+        if not partition_by:
+            raise ValueError("an unpartitioned table is compacted as a whole")
+        try:
+            spark.createDataFrame([], rows.select(*partition_by).schema).where(where).schema  # noqa: B018
+        except AnalysisException as e:
+            raise ValueError(f"only partition columns ({', '.join(partition_by)}) can choose what is compacted: {where}") from e
         rows = rows.where(where)
-    write_table(cut_lineage(rows, "compact"), path, "overwrite", partition_by)
+    _overwrite(rows, path, partition_by)
+
+
+def _overwrite(rows: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace partitions of ``path`` by ``rows`` that were read from it.
+
+    They are staged beside the table first, as no job may overwrite what it reads.  The copy is deleted
+    once the table is complete; after a failure it stays, for it may hold the only whole version.
+    """
+    spark = rows.sparkSession
+    staging = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex}"
+    rows.write.parquet(staging)
+    write_table(spark.read.schema(rows.schema).parquet(staging), path, "overwrite", partition_by)
+    delete_path(spark, staging)
 
 
 # -- label merge and run tags ---------------------------------------------------------------------
@@ -144,26 +164,33 @@ def merge_labels_into(
 ) -> int:
     """Merge labels into a partitioned prediction log; returns the number of changed predictions.
 
-    Only partitions that hold a changed prediction are rewritten.  What is collected is the list of
-    those partitions.
+    Only partitions that hold a changed prediction are rewritten; NULL is a partition value like any
+    other.  What is collected is the list of those partitions.  If every update carries a
+    ``prediction_timestamp``, only the days they name are searched; else the whole log is.
     """
     table = spark.read.parquet(path)
-    latest = labels.latest_labels(labels.recent_updates(updates, as_of, window_hours))
+    recent = labels.recent_updates(updates, as_of, window_hours)
+    latest = labels.latest_labels(recent)
     candidates = table if force else table.where("ground_truth is null")
+    if "prediction_timestamp" in recent.columns:
+        named = [r["day"] for r in recent.select(F.to_date("prediction_timestamp").alias("day")).distinct().collect()]
+        if None not in named:
+            candidates = candidates.where(F.col(partition_by[0]).isin(named) | F.col(partition_by[0]).isNull())
     hit = candidates.join(latest.select("inference_id"), "inference_id", "left_semi")
     touched = hit.groupBy(*partition_by).agg(F.count("*").alias("__n")).collect()
     changed = sum(r["__n"] for r in touched)
     if dry_run or not touched:
         return changed
-    days = sorted({r[partition_by[0]] for r in touched})
+    first = F.col(partition_by[0])
+    days = {r[partition_by[0]] for r in touched}
     # Literal partition values prune the scan to the affected folders.
-    affected = table.where(F.col(partition_by[0]).isin(days))
+    chosen = first.isin(sorted(days - {None}))
+    affected = table.where(chosen | first.isNull() if None in days else chosen)
     if len(partition_by) > 1:
         keys = spark.createDataFrame([tuple(r[p] for p in partition_by) for r in touched], table.select(*partition_by).schema)
-        affected = affected.join(keys, list(partition_by), "left_semi")
-    merged = labels.merge_labels(affected, updates, force, as_of, window_hours)
-    staged = cut_lineage(merged, "labels")
-    write_table(staged, path, "overwrite", partition_by)
+        keys = keys.withColumnsRenamed({p: f"__{p}" for p in partition_by})
+        affected = affected.join(keys, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in partition_by], "left_semi")
+    _overwrite(labels.merge_labels(affected, updates, force, as_of, window_hours), path, partition_by)
     return changed
 
 

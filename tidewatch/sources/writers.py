@@ -122,14 +122,14 @@ def batch_log_rows(
     model_version: str,
     run_id: str,
     scored_at: datetime | str,
-    key: str | None = None,
+    key: str,
 ) -> DataFrame:
     """Scored rows as prediction log rows of a batch run (endpoint suffixed ``-batch``).
 
-    Ids come from ``key`` when given, so a retried task writes the same ids.
+    Ids are hashes of ``key``, so a retried task writes the same ids.
     """
     stamp = F.lit(str(scored_at)).cast("timestamp_ntz")
-    identity = F.uuid() if key is None else F.md5(F.concat_ws("|", F.lit(endpoint), F.lit(str(scored_at)), F.col(key).cast("string")))
+    identity = F.md5(F.concat_ws("|", F.lit(endpoint), F.lit(str(scored_at)), F.col(key).cast("string")))
     rows = scored.withColumns(
         {
             "inference_id": identity,

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.operators.verdict import VERDICT_SCHEMA
+from tidewatch.sources.lake import path_exists
 from tidewatch.sources.writers import LOG_SCHEMA
 
 MICRO_BATCH = "30 seconds"
@@ -57,14 +60,37 @@ def verdict_messages(messages: DataFrame) -> DataFrame:
     return good
 
 
-def drop_repeats(rows: DataFrame, ts: str = "request_timestamp", key: str = "inference_id", delay: str = "1 hour") -> DataFrame:
-    """Each id once, although delivery is at least once; state is kept for ``delay`` only."""
-    return (
-        rows.withColumn("__event_time", F.col(ts).cast("timestamp"))
-        .withWatermark("__event_time", delay)
-        .dropDuplicatesWithinWatermark([key])
-        .drop("__event_time")
-    )
+def append_new(batch: DataFrame, path: str, key: str, partition_by: Sequence[str]) -> None:
+    """Append the rows of a micro-batch whose ``key`` is not stored yet; rows without a key are all kept.
+
+    A repeat carries the same values, so only partitions that the batch touches are searched (the list of
+    values of the first partition column is collected).  No row is too late, and a batch that is
+    replayed after a failure adds nothing twice.
+    """
+    spark = batch.sparkSession
+    batch = batch.persist()
+    try:
+        first = partition_by[0]
+        values = {r[0] for r in batch.select(first).distinct().collect()}
+        if not values:
+            return
+        new = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
+        if path_exists(spark, path):
+            chosen = F.col(first).isin(sorted(values - {None}))
+            stored = spark.read.schema(batch.schema).parquet(path).where(chosen | F.col(first).isNull() if None in values else chosen)
+            new = new.join(stored.select(key), key, "left_anti").select(batch.columns)
+        new.unionByName(batch.where(F.col(key).isNull())).write.mode("append").partitionBy(*partition_by).parquet(path)
+    finally:
+        batch.unpersist()
+
+
+def start_once_sink(
+    rows: DataFrame, path: str, checkpoint: str, key: str, partition_by: Sequence[str], once: bool = False, interval: str = MICRO_BATCH
+) -> StreamingQuery:
+    """Append to parquet, each ``key`` once, although delivery is at least once (see :func:`append_new`)."""
+    writer = rows.writeStream.foreachBatch(lambda batch, _: append_new(batch, path, key, partition_by))
+    trigger = {"availableNow": True} if once else {"processingTime": interval}
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def start_sink(
@@ -84,11 +110,11 @@ def start_sink(
 
 
 def ingest_predictions(messages: DataFrame, path: str, bad_path: str, checkpoint: str, once: bool = False) -> list[StreamingQuery]:
-    """Typed log rows by date and endpoint; malformed messages go to a side table."""
+    """Typed log rows by date and endpoint, each once and however late; malformed messages go to a side table."""
     good, bad = split_messages(parse_messages(messages, LOG_SCHEMA))
-    dated = drop_repeats(good).withColumn("request_date", F.to_date("request_timestamp"))
+    dated = good.withColumn("request_date", F.to_date("request_timestamp"))
     return [
-        start_sink(dated, path, f"{checkpoint}/rows", ("request_date", "endpoint_name"), once),
+        start_once_sink(dated, path, f"{checkpoint}/rows", "inference_id", ("request_date", "endpoint_name"), once),
         start_sink(bad, bad_path, f"{checkpoint}/bad", (), once),
     ]
 

@@ -15,18 +15,21 @@ from tidewatch.sources import lake
 LABEL_DELAY = "30 days"
 
 
-def label_stream_join(predictions: DataFrame, updates: DataFrame, late: str = "1 hour", delay: str = LABEL_DELAY) -> DataFrame:
+def label_stream_join(predictions: DataFrame, updates: DataFrame, late: str | None = None, delay: str = LABEL_DELAY) -> DataFrame:
     """Predictions joined with confirmations that follow within ``delay``.
 
-    Both watermarks bound the state.  With 30 days of delay that state is large; the batch merge
-    (:func:`label_upserts`) is the cheaper choice when minutes do not matter.
+    Nothing is too late by default, so all rows stay in the state.  ``late`` bounds the state by watermarks and
+    gives up whatever arrives after it.  The batch merge (:func:`label_upserts`) loses nothing, keeps no state and is
+    the cheaper choice when minutes do not matter.
     """
-    p = predictions.select("inference_id", F.col("request_timestamp").cast("timestamp").alias("p_ts"), "prediction", "probability_fraud").withWatermark("p_ts", late)
+    p = predictions.select("inference_id", F.col("request_timestamp").cast("timestamp").alias("p_ts"), "prediction", "probability_fraud")
     u = updates.select(
         F.col("inference_id").alias("u_id"),
         F.col("confirmation_timestamp").cast("timestamp").alias("u_ts"),
         F.col("actual_fraud").cast("int").alias("ground_truth"),
-    ).withWatermark("u_ts", late)
+    )
+    if late:
+        p, u = p.withWatermark("p_ts", late), u.withWatermark("u_ts", late)
     on = (F.col("inference_id") == F.col("u_id")) & (F.col("u_ts") >= F.col("p_ts")) & (F.col("u_ts") <= F.col("p_ts") + F.expr(f"interval {delay}"))
     return p.join(u, on).drop("u_id")
 
@@ -49,13 +52,17 @@ def label_upserts(updates: DataFrame, log_path: str, checkpoint: str, once: bool
 
 
 def score_bin(probability: Column | str, bins: int = 100) -> Column:
+    """Bin of a score; NULL for NULL and NaN."""
     p = F.col(probability) if isinstance(probability, str) else probability
-    return F.least(F.floor(p * bins), F.lit(bins - 1)).cast("int")
+    known = p.isNotNull() & ~F.isnan(p.cast("double"))
+    return F.when(known, F.least(F.greatest(F.floor(p * bins), F.lit(0)), F.lit(bins - 1))).cast("int")
 
 
 def fixed_bin(value: Column | str, edges: Sequence[float]) -> Column:
+    """Number of ``edges`` at or below a value; NULL for NULL and NaN."""
     v = F.col(value) if isinstance(value, str) else value
-    return sum(((v >= float(e)).cast("int") for e in edges), F.lit(0))
+    place = sum(((v >= float(e)).cast("int") for e in edges), F.lit(0))
+    return F.when(v.isNotNull() & ~F.isnan(v.cast("double")), place)
 
 
 def score_sketch(
@@ -63,9 +70,11 @@ def score_sketch(
 ) -> DataFrame:
     """(window_start, endpoint, bin) -> positives and negatives: a mergeable sketch of ranking quality.
 
-    Works on a stream (with a watermark) and on a table alike.
+    Works on a stream (with a watermark) and on a table alike.  Rows without a score or a label say nothing
+    about ranking and are left out.
     """
-    rows = labelled.withColumn("event_time", F.col("request_timestamp").cast("timestamp"))
+    known = score_bin("probability_fraud", bins).isNotNull() & F.col("ground_truth").isNotNull()
+    rows = labelled.where(known).withColumn("event_time", F.col("request_timestamp").cast("timestamp"))
     if rows.isStreaming and watermark:
         rows = rows.withWatermark("event_time", watermark)
     y = F.col("ground_truth").cast("int")
@@ -77,8 +86,11 @@ def score_sketch(
 def value_sketch(
     rows: DataFrame, value: str, edges: Sequence[float], length: str = "60 minutes", slide: str = "15 minutes", watermark: str | None = "10 minutes"
 ) -> DataFrame:
-    """(window_start, endpoint, bin) -> n over fixed edges: a mergeable sketch of a feature."""
-    timed = rows.withColumn("event_time", F.col("request_timestamp").cast("timestamp"))
+    """(window_start, endpoint, bin) -> n over fixed edges: a mergeable sketch of a feature.
+
+    NULL and NaN have no bin and are left out.
+    """
+    timed = rows.where(fixed_bin(value, edges).isNotNull()).withColumn("event_time", F.col("request_timestamp").cast("timestamp"))
     if timed.isStreaming and watermark:
         timed = timed.withWatermark("event_time", watermark)
     return timed.groupBy(F.window("event_time", length, slide).alias("w"), "endpoint_name", fixed_bin(value, edges).alias("bin")).agg(

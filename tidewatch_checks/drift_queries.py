@@ -8,7 +8,7 @@ from tidewatch.operators import drift, kernel, prep, verdict
 from tidewatch.plans import drift_check
 from tidewatch_checks.quality_queries import ranking_sql
 from tidewatch_checks.registry import check
-from tidewatch_checks.tables import AS_OF, CATEGORICAL, NUMERIC, PAYLOAD_SCHEMA, Tables
+from tidewatch_checks.tables import AS_OF, CATEGORICAL, NUMERIC, PAYLOAD_SCHEMA, SIDE_CUT, Tables
 
 DISTANCES_SQL = """
     SELECT feature, CAST(sum(a) AS BIGINT) AS n_baseline, CAST(sum(b) AS BIGINT) AS n_current,
@@ -30,7 +30,7 @@ KS_P_SQL = """
 
 @check("p1_psi", "SELECT feature, sum((q - p) * ln(q / p)) AS psi FROM side_shares GROUP BY feature", "psi")
 def psi(t: Tables):
-    return drift.psi(t.line_sides)
+    return drift.psi(t.line_sides, baseline=t.line_baseline)
 
 
 @check(
@@ -42,7 +42,7 @@ def psi(t: Tables):
 def psi_bands(t: Tables):
     from tidewatch.functions.columns import psi_band
 
-    return drift.psi(t.line_sides).withColumn("band", psi_band("psi"))
+    return drift.psi(t.line_sides, baseline=t.line_baseline).withColumn("band", psi_band("psi"))
 
 
 @check(
@@ -51,8 +51,7 @@ def psi_bands(t: Tables):
     "edge",
 )
 def decile_edges(t: Tables):
-    base = t.line_sides.where("is_current = 0")
-    edges = drift.decile_edges(base)
+    edges = drift.decile_edges(t.line_baseline)
     return edges.select("feature", F.posexplode("edges").alias("p", "edge")).select(
         "feature", "edge", (F.col("p") + 1).cast("bigint").alias("position")
     )
@@ -74,6 +73,25 @@ def wasserstein(t: Tables):
     return drift.numeric_distances(t.line_sides).select("feature", "wasserstein")
 
 
+@check(
+    "p2_with_infinity",
+    """WITH s AS (SELECT CASE WHEN l_linenumber = 7 THEN 'Infinity'::DOUBLE WHEN l_linenumber = 6 THEN '-Infinity'::DOUBLE ELSE l_quantity END AS v,
+                         CASE WHEN l_shipdate < TIMESTAMP '1998-01-01' THEN 0 ELSE 1 END AS c FROM lineitem),
+            n AS (SELECT count(*) FILTER (c = 0) AS na, count(*) FILTER (c = 1) AS nb FROM s),
+            steps AS (SELECT sum(count(*) FILTER (c = 0)) OVER (ORDER BY v) AS a, sum(count(*) FILTER (c = 1)) OVER (ORDER BY v) AS b FROM s GROUP BY v)
+       SELECT 'v' AS feature, any_value(na) AS n_baseline, any_value(nb) AS n_current, max(abs(a / na - b / nb)) AS ks_statistic, true AS no_distance FROM steps, n""",
+    "ks_statistic",
+)
+def with_infinity(t: Tables):
+    """Infinite values rank at the ends and leave no finite distance."""
+    inf = F.lit(float("inf"))
+    value = F.when(F.col("l_linenumber") == 7, inf).when(F.col("l_linenumber") == 6, -inf).otherwise(F.col("l_quantity"))
+    side = F.when(F.col("l_shipdate") < F.lit(SIDE_CUT).cast("timestamp_ntz"), 0).otherwise(1)
+    rows = t.lineitem.select(F.lit("v").alias("feature"), value.alias("value"), side.alias("is_current"))
+    found = drift.numeric_distances(rows)
+    return found.select("feature", "n_baseline", "n_current", "ks_statistic", F.col("wasserstein").isNull().alias("no_distance"))
+
+
 CHI_SQL = """
     SELECT feature, sum(pow(a - (a + b) * na / (na + nb), 2) / ((a + b) * na / (na + nb))
                       + pow(b - (a + b) * nb / (na + nb), 2) / ((a + b) * nb / (na + nb))) AS chi_square,
@@ -315,7 +333,7 @@ def monitoring_record(t: Tables):
 
 @check(
     "p11_monitoring_run",
-    f"""SELECT 'drift-20240131-000000' AS monitoring_run_id, 'ep-a' AS endpoint_name, 'v2' AS model_version, 'train-v2' AS training_snapshot_id,
+    f"""SELECT 'drift-20240131-000000-ep-a' AS monitoring_run_id, 'ep-a' AS endpoint_name, 'v2' AS model_version, 'train-v2' AS training_snapshot_id,
                d.drifted::INTEGER AS drifted_columns_count, d.drifted / d.features AS drifted_columns_share, d.features::INTEGER AS features_analyzed,
                d.n::INTEGER AS data_sample_size, d.drifted / d.features >= 0.5 AND d.n >= 100 AS data_drift_detected,
                CAST(0.92 AS DOUBLE) AS baseline_roc_auc, m.roc_auc AS current_roc_auc, (0.92 - m.roc_auc) / 0.92 * 100 AS roc_auc_degradation_pct,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewatch.functions import columns as c
+from tidewatch.config import FeatureSchema
 from tidewatch.operators import features, ops, prep, sampling, validate
 from tidewatch.plans.scoring import with_scores
 from tidewatch_checks.registry import check
@@ -91,6 +92,20 @@ def encoded_baseline(t: Tables):
     return prep.encode_baseline(t.training, PAYLOAD_SCHEMA, prep.fit_encoders(t.training, ["channel"]))
 
 
+@check(
+    "b6_wide_text_feature",
+    """SELECT transaction_amount, CAST(NULL AS DOUBLE) AS transaction_id, CAST(list_position(['click','error','purchase','signup','view'], channel) - 1 AS DOUBLE) AS channel FROM training""",
+    "transaction_amount transaction_id channel",
+)
+def wide_text_feature(t: Tables):
+    """A text feature of too many values has no code: it is NULL, and listed as skipped."""
+    schema = FeatureSchema(identifier="transaction_id", target="is_fraud", features=(("transaction_amount", "double"), ("transaction_id", "string"), ("channel", "string")))
+    encoders = prep.fit_encoders(t.training, ["transaction_id", "channel"])
+    if encoders.skipped != ("transaction_id",):
+        raise ValueError(f"skipped {encoders.skipped}")
+    return prep.encode_baseline(t.training, schema, encoders)
+
+
 @check(
     "b7_payload_features",
     "SELECT CAST(event_id AS VARCHAR) AS inference_id, transaction_amount, transaction_hour, k, channel, CAST(NULL AS DOUBLE) AS absent FROM ef",
@@ -204,6 +219,17 @@ def perturbed(t: Tables):
     return prep.mean_shift(t.lineitem, after, ["l_quantity", "l_discount", "l_tax"])
 
 
+@check(
+    "b23_perturbed_with_noise",
+    """SELECT event_id, value * (1.5 + (('0x' || substr(md5('42-' || event_id), 1, 8))::BIGINT % 1048576 / 524288.0::DOUBLE - 1) * 0.3) AS value FROM events""",
+    "value",
+)
+def perturbed_with_noise(t: Tables):
+    """Noise is a hash of the key: the same in every engine."""
+    rows = t.events.select("event_id", "value")
+    return prep.perturb(rows, {"value": {"factor": 1.5, "noise": 0.2}}, key="event_id")
+
+
 HISTORY = {"num_transactions_24h": ("count(*)", "1 DAY"), "num_transactions_7days": ("count(*)", "7 DAY"),
            "avg_transaction_amount_30days": ("avg(value)", "30 DAY"), "max_transaction_amount_30days": ("max(value)", "30 DAY")}
 HISTORY_SQL = (
@@ -227,6 +253,39 @@ def entity_history(t: Tables):
     return features.entity_history(rows, "user_id", "ts", "value").drop("user_id", "ts", "value")
 
 
+NOBODY = "(SELECT * REPLACE (CASE WHEN user_id % 7 = 0 THEN NULL ELSE user_id END AS user_id) FROM events)"
+
+
+@check(
+    "b24_b25_b28_history_without_entity",
+    f"""SELECT event_id, CASE WHEN user_id IS NOT NULL THEN num_transactions_24h END AS num_transactions_24h,
+               CASE WHEN user_id IS NOT NULL THEN num_transactions_7days END AS num_transactions_7days,
+               CASE WHEN user_id IS NOT NULL THEN avg_transaction_amount_30days END AS avg_transaction_amount_30days,
+               CASE WHEN user_id IS NOT NULL THEN max_transaction_amount_30days END AS max_transaction_amount_30days,
+               CASE WHEN user_id IS NOT NULL THEN num_transactions_24h / (num_transactions_7days / 7.0::DOUBLE) END AS velocity_score
+        FROM ({HISTORY_SQL.replace("SELECT event_id, ", "SELECT event_id, user_id, ").replace("FROM events", f"FROM {NOBODY}")})""",
+    "avg_transaction_amount_30days max_transaction_amount_30days velocity_score",
+    digits=9,
+)
+def history_without_entity(t: Tables):
+    """Rows without an entity stay, without a history."""
+    entity = F.when(F.col("user_id") % 7 != 0, F.col("user_id")).alias("user_id")
+    rows = t.events.select("event_id", entity, "ts", "value")
+    return features.entity_history(rows, "user_id", "ts", "value").drop("user_id", "ts", "value")
+
+
+@check(
+    "b26_previous_without_entity",
+    f"""SELECT event_id, CASE WHEN user_id IS NOT NULL THEN (epoch(date_trunc('second', ts)) - epoch(date_trunc('second', lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)))) / 60
+               END AS time_since_last_transaction_min FROM {NOBODY}""",
+    "time_since_last_transaction_min",
+)
+def previous_without_entity(t: Tables):
+    entity = F.when(F.col("user_id") % 7 != 0, F.col("user_id")).alias("user_id")
+    rows = t.events.select("event_id", entity, "ts")
+    return features.minutes_since_previous(rows, "user_id", "ts", "event_id").select("event_id", "time_since_last_transaction_min")
+
+
 @check(
     "b26_minutes_since_previous",
     """SELECT event_id, (epoch(date_trunc('second', ts)) - epoch(date_trunc('second', lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)))) / 60 AS time_since_last_transaction_min
@@ -323,9 +382,9 @@ def missing_values(t: Tables):
     return validate.missing_values(t.lpred, ["ground_truth", "ground_truth_source", "prediction"])
 
 
-@check("d6_duplicate_rows", "SELECT count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicate_rows FROM lineitem")
+@check("d6_duplicate_rows", "SELECT (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS duplicate_rows")
 def duplicate_rows(t: Tables):
-    return validate.duplicate_rows(t.lineitem.select("l_orderkey", "l_linenumber"))
+    return validate.duplicate_rows(t.lineitem)
 
 
 @check(
@@ -416,9 +475,13 @@ def stratified_pull(t: Tables):
     return sampling.stratified_pull(t.lpred, "inference_id", "ground_truth", 400).select("inference_id", "ground_truth")
 
 
-@check("l7_stratified_background_sample")
+@check(
+    "l7_stratified_background_sample",
+    f"""SELECT inference_id, ground_truth FROM lpred WHERE ground_truth IS NOT NULL
+        AND {HASH.format("'42-' || inference_id", 10000)} < CASE ground_truth WHEN 0 THEN 2000 WHEN 1 THEN 5000 END""",
+)
 def background_sample(t: Tables):
-    return sampling.stratified_fraction(t.labelled, "ground_truth", {0: 0.2, 1: 0.5}).select("inference_id", "ground_truth")
+    return sampling.stratified_fraction(t.labelled, "inference_id", "ground_truth", {0: 0.2, 1: 0.5}).select("inference_id", "ground_truth")
 
 
 @check(

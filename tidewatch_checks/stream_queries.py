@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewatch.operators import quality, sampling, trends
+from tidewatch.operators import quality, sampling
 from tidewatch.plans import scoring
 from tidewatch.session import scratch_path
 from tidewatch.sources import writers
@@ -63,6 +63,22 @@ def prediction_ingest(t: Tables):
     return rows.crossJoin(malformed)
 
 
+@check(
+    "r1_late_messages",
+    """SELECT inference_id, request_timestamp, endpoint_name, CAST(request_timestamp AS DATE) AS request_date FROM pred""",
+)
+def late_messages(t: Tables):
+    """The newest days arrive first, a file at a time, and the last file comes twice: all are stored, each once."""
+    path = scratch_path(t.spark, "late")
+    rows = t.pred.withColumn("value", F.to_json(F.struct(*t.pred.columns), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}))
+    day = F.dayofmonth("request_timestamp")
+    for part in (day > 20, (day > 10) & (day <= 20), day <= 10, day <= 10):
+        rows.where(part).select("value").coalesce(1).write.mode("append").text(path)
+    out, bad, state = (scratch_path(t.spark, n) for n in ("log", "bad", "state"))
+    ingest.wait(ingest.ingest_predictions(ingest.message_files(t.spark, path, 1), out, bad, state, once=True))
+    return t.spark.read.parquet(out).select("inference_id", "request_timestamp", "endpoint_name", "request_date")
+
+
 @check(
     "r2_verdict_ingest",
     """SELECT monitoring_run_id, monitoring_timestamp, endpoint_name, drifted_columns_count, current_roc_auc, data_drift_detected FROM runs""",
@@ -160,6 +176,20 @@ def psi_sql(source: str, where: str) -> str:
     FROM (SELECT *, CASE WHEN n = 0 THEN 0.0001 ELSE n / total END AS q FROM grid) GROUP BY ALL"""
 
 
+@check(
+    "r5_sliding_psi_with_gaps",
+    psi_sql("(SELECT * REPLACE (CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 5 = 1 THEN 'NaN'::DOUBLE ELSE transaction_amount END AS transaction_amount) FROM "
+            + WINDOWS.format(source="pred") + ")", "transaction_amount IS NOT NULL AND NOT isnan(transaction_amount)"),
+    "psi",
+)
+def sliding_psi_with_gaps(t: Tables):
+    """NULL and NaN have no bin."""
+    n = F.col("inference_id").cast("long") % 5
+    holes = F.when(n == 0, F.lit(None)).when(n == 1, F.lit(float("nan"))).otherwise(F.col("transaction_amount"))
+    sketch = monitor.value_sketch(t.pred.withColumn("transaction_amount", holes), "transaction_amount", EDGES)
+    return monitor.psi_from_sketch(sketch, SHARES)
+
+
 @check("r5_sliding_psi", psi_sql(WINDOWS.format(source="pred"), CLOSED), "psi")
 def sliding_psi(t: Tables):
     sketch = monitor.value_sketch(StreamTables(t).pred, "transaction_amount", EDGES)
@@ -176,8 +206,10 @@ def repeated_messages(t: Tables):
     """Every message is delivered twice; each id is kept once."""
     s = StreamTables(t)
     columns = ["inference_id", "request_timestamp", "prediction"]
-    twice = s.pred.select(*columns, F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery")).drop("delivery")
-    return _drain(t, ingest.drop_repeats(twice), "deduplicated")
+    twice = s.pred.select(*columns, F.to_date("request_timestamp").alias("day"), F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"))
+    out, state = scratch_path(t.spark, "deduplicated"), scratch_path(t.spark, "deduplicated-state")
+    ingest.wait([ingest.start_once_sink(twice.drop("delivery"), out, state, "inference_id", ["day"], once=True)])
+    return t.spark.read.parquet(out).select(*columns)
 
 
 @check(
@@ -225,9 +257,7 @@ def scored_table(t: Tables):
     fitted, held_out = _model(t)
     scored = scoring.score(held_out, fitted, NUMERIC)
     rows = writers.batch_log_rows(scored, NUMERIC, "ep-line", "v1", "run-v1", "2024-01-31 00:00:00", key="row_id")
-    return trends.latency_over_time(rows).select("day").crossJoin(
-        rows.groupBy("prediction", "prediction_bucket").agg(F.count("*").alias("n"))
-    )
+    return rows.groupBy(F.to_date("request_timestamp").alias("day"), "prediction", "prediction_bucket").agg(F.count("*").alias("n"))
 
 
 @check("v3_hold_out_evaluation")

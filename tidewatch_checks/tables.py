@@ -161,6 +161,11 @@ class Tables:
     def line_sides(self) -> DataFrame:
         return drift.melt_numeric(drift.stack_sides(self.base_side, self.current_side, NUMERIC), NUMERIC, ["is_current"])
 
+    @cached_property
+    def line_baseline(self) -> DataFrame:
+        """The baseline side of ``line_sides`` by itself."""
+        return drift.melt_numeric(self.base_side, NUMERIC)
+
     @cached_property
     def text_sides(self) -> DataFrame:
         stacked = drift.stack_sides(self.base_side, self.current_side, CATEGORICAL)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import as_of_literal
@@ -284,6 +286,10 @@ def n2(t: Tables):
     return trends.top_features_by_day(t.feat, t.joined, k=2, many=1)
 
 
+#: The last 14 days up to the reference time, and the day it began.
+LAST_DAYS = [str(datetime.date.fromisoformat(AS_OF[:10]) - datetime.timedelta(days=d)) for d in range(14, -1, -1)]
+
+
 @check(
     "n3_feature_day_heatmap",
     f"SELECT {DAY}, feature_name, avg(drift_score) AS avg_score FROM feat WHERE monitoring_timestamp >= {LAST.format(14)} GROUP BY ALL",
@@ -296,13 +302,13 @@ def n3(t: Tables):
 @check(
     "n3_feature_day_heatmap_wide",
     "SELECT feature_name, "
-    + ", ".join(f"avg(drift_score) FILTER (CAST(monitoring_timestamp AS DATE) = DATE '2024-01-{d}') AS d{d}" for d in range(25, 32))
-    + " FROM feat GROUP BY 1",
-    " ".join(f"d{d}" for d in range(25, 32)),
+    + ", ".join(f"avg(drift_score) FILTER (CAST(monitoring_timestamp AS DATE) = DATE '{d}') AS \"{d}\"" for d in LAST_DAYS)
+    + f" FROM feat WHERE monitoring_timestamp >= {LAST.format(14)} GROUP BY 1",
+    " ".join(LAST_DAYS),
 )
 def n3_wide(t: Tables):
-    long = trends.feature_by_day(t.feat).withColumn("d", F.concat(F.lit("d"), F.date_format("day", "dd")))
-    return trends.wide(long, "feature_name", "d", "avg_score", [f"d{d}" for d in range(25, 32)])
+    long = trends.feature_by_day(trends.recent(t.feat, "monitoring_timestamp", AS_OF, 14)).withColumn("d", F.date_format("day", "yyyy-MM-dd"))
+    return trends.wide(long, "feature_name", "d", "avg_score", LAST_DAYS)
 
 
 @check(
