@@ -24,7 +24,8 @@ def components(edges: DataFrame) -> DataFrame:
     while (state := _state(edges)) != before:
         before = state
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        # Stored, like the edges: Spark can then cut the join where one node has very many neighbours.
+        low = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "lowest")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")

@@ -255,7 +255,10 @@ def keep_one(
     digest = F.unhex(F.md5("text")).alias("digest")
     marks = cut_lineage(with_fingerprints(held.select("doc_id", "tid", digest, "text"), print_k, lanes), "fingerprints")
     texts = marks.groupBy("digest").agg(F.min("doc_id").alias("at"), F.first("tid").alias("tid"), *[F.first(p).alias(p) for p in prints])
-    nodes = cut_lineage(texts.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    # Ids follow from the texts, so that every run picks the same leaders: 56 bits of a hash, and the rank among texts that share them.
+    high = F.xxhash64("digest").bitwiseAND(F.lit(~255))
+    rank = F.row_number().over(Window.partitionBy("__high").orderBy("digest")) - 1
+    nodes = cut_lineage(texts.withColumn("__high", high).withColumn("node", F.col("__high") + rank).drop("__high"), "nodes")
     pairs = candidates(nodes, lanes, width, radius, limit)
     met = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
     wanted = cut_lineage(nodes.select("node", "tid", "at").join(met, "node"), "compared")
