@@ -293,10 +293,14 @@ PUBLISHED_METRICS = {
 }
 
 
-def published_metrics(runs: DataFrame, share_limit: float = 0.2, degradation_limit: float = 0.05) -> DataFrame:
+def published_metrics(
+    runs: DataFrame, share_limit: float = 0.2, degradation_limit: float = 0.05, baselines: DataFrame | None = None
+) -> DataFrame:
     """Latest verdict per endpoint as (endpoint, metric, value, breached) rows for a metric store.
 
-    Share and degradation breach when above their limit; NULL values are not published.
+    Share and degradation breach when above their limit; accuracy, precision and recall when they fall short of
+    the endpoint's value in ``baselines`` (endpoint_name, accuracy, precision, recall; one row each) by more than
+    ``degradation_limit``.  NULL values are not published, and without a baseline nothing falls short.
     """
     latest = runs.groupBy("endpoint_name").agg(
         F.max_by(F.struct(*PUBLISHED_METRICS), F.struct("monitoring_timestamp", "monitoring_run_id")).alias("r")
@@ -309,4 +313,12 @@ def published_metrics(runs: DataFrame, share_limit: float = 0.2, degradation_lim
     limit = F.when(F.col("metric") == "DataDriftShare", share_limit).when(
         F.col("metric") == "ROCAUCDegradation", degradation_limit
     )
-    return rows.withColumn("breached", F.coalesce(F.col("value") > limit, F.lit(False)))
+    above = F.coalesce(F.col("value") > limit, F.lit(False))
+    if baselines is None:
+        return rows.withColumn("breached", above)
+    measured = ("accuracy", "precision", "recall")
+    expected = baselines.select(
+        "endpoint_name", F.inline(F.array(*[F.struct(F.lit(PUBLISHED_METRICS[c]).alias("metric"), F.col(c).cast("double").alias("__expected")) for c in measured]))
+    )
+    short = F.coalesce(F.col("__expected") - F.col("value") > degradation_limit, F.lit(False))
+    return join_on(rows, expected, ["endpoint_name", "metric"], "left").withColumn("breached", above | short).drop("__expected")

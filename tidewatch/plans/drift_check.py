@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidewatch.config import FeatureSchema
 from tidewatch.functions.columns import within_last
 from tidewatch.operators import drift, prep, quality, sampling, verdict
+from tidewatch.operators.kernel import join_on
 
 MIN_SAMPLES = 100
 DEFAULT_BASELINE_AUC = 0.92
@@ -143,6 +144,54 @@ def classification_comparison(baseline: DataFrame, current: DataFrame) -> tuple[
     return quality.degenerate_columns(both, columns), quality.compare_sides(both, *columns)
 
 
+def monitoring_runs(
+    baseline: DataFrame,
+    served: DataFrame,
+    labelled: DataFrame,
+    features: Sequence[str],
+    groups: Sequence[str],
+    baselines: DataFrame,
+    threshold: float = 0.1,
+    drift_share: float = 0.5,
+    limit_pct: float = 5.0,
+) -> DataFrame:
+    """Both checks for every group (day and endpoint, say) in one pass: one row per group that served anything.
+
+    ``served`` holds the groups and the feature values, ``labelled`` the groups, truth, prediction and score; features
+    are compared with ``baseline`` by PSI.  ``baselines`` (groups, ``baseline_roc_auc``) may leave groups out: their
+    degradation is NULL.  Columns are those of a verdict that the checks fill, plus ``per_feature_drift_scores`` as
+    objects and ``__scalars`` as plain numbers.
+    """
+    keys = list(groups)
+    psi = drift.period_psi(baseline, served, list(features), keys)
+    per_feature = drift.with_verdict(
+        psi.select(
+            *keys, "feature", "n_current", F.col("psi").alias("drift_score"), F.lit(drift.PSI).alias("method"),
+            F.lit(float(threshold)).alias("threshold"),
+        )
+    )
+    # One entry per feature: bounded by the schema.
+    scalars = F.to_json(F.map_from_entries(F.collect_list(F.struct("feature", "drift_score"))))
+    counted = per_feature.groupBy(*keys).agg(
+        F.count("*").alias("features_analyzed"),
+        F.sum(F.col("drifted").cast("int")).alias("drifted_columns_count"),
+        F.max("n_current").alias("data_sample_size"),
+        scalars.alias("__scalars"),
+    )
+    model = quality.performance_metrics(
+        labelled.select(*keys, "ground_truth", "prediction", "probability_fraud"), groups=keys
+    ).withColumnsRenamed({"roc_auc": "current_roc_auc", "sample_count": "model_sample_size"})
+    joined = join_on(counted, verdict.scores_json(per_feature, keys), keys)
+    joined = join_on(join_on(joined, model, keys, "left"), baselines.select(*keys, "baseline_roc_auc"), keys, "left")
+    share = F.col("drifted_columns_count") / F.col("features_analyzed")
+    return joined.select(
+        "*",
+        share.alias("drifted_columns_share"),
+        (share >= drift_share).alias("data_drift_detected"),
+        *verdict.degradation(F.col("baseline_roc_auc"), F.col("current_roc_auc"), limit_pct),
+    ).withColumn("alert_sent", F.col("data_drift_detected") | F.col("model_drift_detected"))
+
+
 def monitoring_run(
     predictions: DataFrame,
     labelled: DataFrame,

@@ -46,8 +46,12 @@ def train_model(
     """Weighted tree ensemble; the kind of target picks the learner.
 
     boolean: boosted trees with positive weight, stopped early on ``validation`` rows; integer: random
-    forest; double: boosted regression trees.  A text target is an error.
+    forest, or as boolean if no value but 0 and 1 occurs; double: boosted regression trees.  A text target is
+    an error.
     """
+    if target_kind == "int":
+        other = F.col(target).isNotNull() & ~F.col(target).isin(0, 1)
+        target_kind = "boolean" if train.where(other).isEmpty() else "int"
     assembler = VectorAssembler(inputCols=list(features), outputCol="__features", handleInvalid="keep")
     filled = prep.fill_missing(train, features)
     if target_kind == "boolean":
@@ -80,10 +84,20 @@ def importance(model: PipelineModel, features: Sequence[str], spark, k: int = 20
 
 
 def score(df: DataFrame, model: PipelineModel, features: Sequence[str], threshold: float = 0.5) -> DataFrame:
-    """Rows with probability_fraud, prediction and the derived score columns."""
+    """Rows with the model's answer.
+
+    Two classes: probability_fraud, prediction and the derived score columns.  More classes: ``prediction`` (the class)
+    and ``confidence_score`` (its probability).  Regression: ``prediction`` as a number.
+    """
     have = set(df.columns)
     filled = df.select("*", *[F.lit(0.0).alias(f) for f in features if f not in have])
     scored = model.transform(prep.fill_missing(filled, features))
+    classes = getattr(model.stages[-1], "numClasses", 0)
+    if classes == 0:
+        return scored.select(*filled.columns, F.col("prediction").cast("double").alias("prediction"))
+    if classes > 2:
+        top = F.array_max(vector_to_array("probability"))
+        return scored.select(*filled.columns, F.col("prediction").cast("int").alias("prediction"), top.alias("confidence_score"))
     with_p = scored.withColumn("probability_fraud", vector_to_array("probability")[1])
     return with_scores(with_p.select(*filled.columns, "probability_fraud"), threshold)
 

@@ -78,6 +78,13 @@ def time_slice(
     return rows.select(*columns)
 
 
+def export_slice(
+    df: DataFrame, ts: str, start: datetime | str, end: datetime | str, columns: Sequence[str], path: str, limit: int | None = None
+) -> None:
+    """The slice as comma text without a header, as batch scoring reads it."""
+    time_slice(df, ts, start, end, columns, limit).write.mode("overwrite").csv(path, header=False)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = ()) -> None:
     """Append, or overwrite the partitions present in ``df`` (all rows when unpartitioned).
 

@@ -245,3 +245,21 @@ def version_run_distribution(t: Tables):
 )
 def published_metrics(t: Tables):
     return ops.published_metrics(t.runs)
+
+
+@check(
+    "d29_metrics_against_baselines",
+    """WITH latest AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY endpoint_name ORDER BY monitoring_timestamp DESC) = 1),
+            long AS (SELECT endpoint_name, unnest([
+               {'metric': 'Accuracy', 'value': accuracy}, {'metric': 'Precision', 'value': "precision"}, {'metric': 'Recall', 'value': recall}], recursive := true) FROM latest),
+            base AS (SELECT endpoint_name, unnest([
+               {'metric': 'Accuracy', 'expected': max(accuracy)}, {'metric': 'Precision', 'expected': max("precision")}, {'metric': 'Recall', 'expected': max(recall)}], recursive := true)
+             FROM runs GROUP BY 1)
+       SELECT endpoint_name, metric, value, coalesce(expected - value > 0.05, false) AS breached FROM long JOIN base USING (endpoint_name, metric) WHERE value IS NOT NULL""",
+    "value",
+)
+def metrics_against_baselines(t: Tables):
+    """Accuracy, precision and recall against the best that each endpoint has shown."""
+    best = t.runs.groupBy("endpoint_name").agg(*[F.max(c).alias(c) for c in ("accuracy", "precision", "recall")])
+    rows = ops.published_metrics(t.runs, baselines=best)
+    return rows.where(F.col("metric").isin("Accuracy", "Precision", "Recall"))

@@ -97,6 +97,18 @@ def time_slice(t: Tables):
     return writers.time_slice(t.events, "ts", "2024-01-10 00:00:00", "2024-01-15 00:00:00", ["event_id", "value"])
 
 
+@check(
+    "a8_time_slice_text",
+    """SELECT event_id, value FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-15'""",
+    "value",
+)
+def time_slice_text(t: Tables):
+    """The slice written as comma text and read back."""
+    path = scratch_path(t.spark, "slice")
+    writers.export_slice(t.events, "ts", "2024-01-10 00:00:00", "2024-01-15 00:00:00", ["event_id", "value"], path)
+    return t.spark.read.schema("event_id long, value double").csv(path)
+
+
 @check(
     "a9_append_and_overwrite",
     """SELECT endpoint_name, CAST(request_timestamp AS DATE) AS request_date, count(*) * 2 AS n, 0 AS replaced FROM pred

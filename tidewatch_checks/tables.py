@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidewatch.config import FeatureSchema
 from tidewatch.operators import drift, labels, lineage, quality, verdict
 from tidewatch.functions import columns as c
+from tidewatch.plans.drift_check import monitoring_runs
 from tidewatch.plans.scoring import with_scores
 from tidewatch.session import cut_lineage
 from tidewatch.sources.writers import conform_log
@@ -199,51 +200,28 @@ class Tables:
         keys = ["day", "endpoint_name"]
         served = self.event_features.select(day, endpoint, *TREND_FEATURES)
         base = self.event_features.where(F.col("ts") < c.as_of_literal(BASE_END))
-        psi = drift.period_psi(base, served, TREND_FEATURES, keys)
-        per_feature = drift.with_verdict(
-            psi.select(
-                *keys, "feature", "n_current", F.col("psi").alias("drift_score"), F.lit(drift.PSI).alias("method"),
-                F.lit(0.1).alias("threshold"),
-            )
-        )
-        scalars = F.to_json(F.map_from_entries(F.collect_list(F.struct("feature", "drift_score"))))
-        counted = per_feature.groupBy(*keys).agg(
-            F.count("*").alias("features_analyzed"),
-            F.sum(F.col("drifted").cast("int")).alias("drifted_columns_count"),
-            F.max("n_current").alias("data_sample_size"),
-            scalars.alias("__scalars"),
-        )
-        objects = verdict.scores_json(per_feature, keys).withColumnRenamed("per_feature_drift_scores", "__objects")
-        model = quality.performance_metrics(
-            self.labelled.select(F.to_date("request_timestamp").alias("day"), "endpoint_name", "ground_truth", "prediction", "probability_fraud"),
-            groups=keys,
-        ).withColumnsRenamed({"roc_auc": "current_roc_auc", "sample_count": "model_sample_size"})
-        baseline = quality.ranking_metrics(self.labelled, "ground_truth", "probability_fraud", ["model_version"]).select(
+        by_version = quality.ranking_metrics(self.labelled, "ground_truth", "probability_fraud", ["model_version"]).select(
             "model_version", F.col("roc_auc").alias("baseline_roc_auc")
         )
-        joined = counted.join(objects, keys).join(model, keys, "left").withColumn(
-            "model_version", F.when(F.col("day") < F.lit(SWITCH).cast("timestamp_ntz").cast("date"), "v1").otherwise("v2")
-        ).join(baseline, "model_version", "left")
-        share = F.col("drifted_columns_count") / F.col("features_analyzed")
+        version = F.when(F.col("day") < F.lit(SWITCH).cast("timestamp_ntz").cast("date"), "v1").otherwise("v2").alias("model_version")
+        baselines = served.select(*keys).distinct().select(*keys, version).join(by_version, "model_version", "left")
+        labelled = self.labelled.select("*", F.to_date("request_timestamp").alias("day"))
+        joined = monitoring_runs(base, served, labelled, TREND_FEATURES, keys, baselines).select("*", version)
         stamp = F.date_add("day", 1).cast("timestamp_ntz")
         rows = joined.select(
             "*",
-            share.alias("drifted_columns_share"),
-            (share >= 0.5).alias("data_drift_detected"),
-            *verdict.degradation(F.col("baseline_roc_auc"), F.col("current_roc_auc")),
             F.concat_ws("-", F.lit("drift"), F.date_format("day", "yyyyMMdd"), "endpoint_name").alias("monitoring_run_id"),
             stamp.alias("monitoring_timestamp"),
             stamp.alias("created_at"),
             F.concat(F.lit("package/"), "model_version").alias("model_package_arn"),
             F.concat(F.lit("eval-"), "model_version").alias("evaluation_snapshot_id"),
             F.concat(F.lit("train-"), "model_version").alias("training_snapshot_id"),
-            F.when(F.dayofmonth("day") % 2 == 1, F.col("__scalars")).otherwise(F.col("__objects")).alias("per_feature_drift_scores"),
+            F.when(F.dayofmonth("day") % 2 == 1, F.col("__scalars")).otherwise(F.col("per_feature_drift_scores")).alias("__scores"),
             F.when(F.col("endpoint_name") == "ep-a", F.concat(F.lit("track-"), F.date_format("day", "yyyyMMdd"))).alias("mlflow_run_id"),
             F.lit(verdict.DETECTION_ENGINE).alias("detection_engine"),
         )
-        return verdict.conform_verdicts(
-            rows.withColumn("alert_sent", F.col("data_drift_detected") | F.col("model_drift_detected"))
-        )
+        # Half of the days store plain numbers: both forms of the score map are read back.
+        return verdict.conform_verdicts(rows.drop("per_feature_drift_scores").withColumnRenamed("__scores", "per_feature_drift_scores"))
 
     @cached_property
     def runs(self) -> DataFrame:
