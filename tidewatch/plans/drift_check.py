@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import FeatureSchema
 from tidewatch.functions.columns import within_last
-from tidewatch.operators import drift, prep, quality, sampling, verdict
+from tidewatch.operators import drift, labels, prep, quality, sampling, verdict
 from tidewatch.operators.kernel import join_on
 
 MIN_SAMPLES = 100
@@ -192,6 +192,29 @@ def monitoring_runs(
     ).withColumn("alert_sent", F.col("data_drift_detected") | F.col("model_drift_detected"))
 
 
+def incremental_check(
+    baseline: DataFrame, updates: DataFrame, features: Sequence[str], baselines: DataFrame, **options
+) -> Callable[[DataFrame, int], DataFrame]:
+    """Both checks over what one drained batch of the log brought, for ``monitor.incremental_runs``.
+
+    The result has a row per endpoint of the batch: ``batch_id``, the span ``window_start`` to ``window_end`` of its
+    predictions, ``logged_rows``, and the columns of :func:`monitoring_runs`.  Labels known by then are taken from
+    ``updates``.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> DataFrame:
+        keys = ["endpoint_name"]
+        served = prep.payload_features(batch, "input_features", list(features), keys)
+        labelled = labels.merge_labels(batch, updates).where("ground_truth is not null")
+        span = batch.groupBy(*keys).agg(
+            F.count("*").alias("logged_rows"), F.min("request_timestamp").alias("window_start"), F.max("request_timestamp").alias("window_end")
+        )
+        checked = monitoring_runs(baseline, served, labelled, features, keys, baselines, **options).drop("__scalars")
+        return join_on(span, checked, keys, "left").select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*")
+
+    return run
+
+
 def monitoring_run(
     predictions: DataFrame,
     labelled: DataFrame,

@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewatch.operators import quality, sampling
-from tidewatch.plans import scoring
+from tidewatch.plans import drift_check, scoring
 from tidewatch.session import scratch_path
 from tidewatch.sources import writers
 from tidewatch.streaming import ingest, monitor
 from tidewatch_checks.registry import check
-from tidewatch_checks.tables import NUMERIC, Tables
+from tidewatch_checks.tables import NUMERIC, TREND_FEATURES, Tables
 
 
 def _event_stream(t: Tables):
@@ -123,22 +123,37 @@ def label_stream_join(t: Tables):
 
 @check(
     "r4_incremental_runs",
-    """SELECT CAST(0 AS BIGINT) AS batch_id, endpoint_name, count(*) AS n, avg(probability_fraud) AS avg_probability FROM pred GROUP BY endpoint_name""",
-    "avg_probability",
+    """WITH cur AS (SELECT endpoint_name, feature, bin, sum(b) AS b FROM fcur GROUP BY ALL),
+            grid AS (SELECT g.endpoint_name, g.feature, x.bin, coalesce(a, 0) AS a, coalesce(b, 0) AS b
+                     FROM (SELECT DISTINCT endpoint_name, feature FROM cur) g JOIN (SELECT feature, bin FROM fbase UNION SELECT feature, bin FROM cur) x USING (feature)
+                     LEFT JOIN fbase ON fbase.feature = g.feature AND fbase.bin = x.bin
+                     LEFT JOIN cur ON cur.endpoint_name = g.endpoint_name AND cur.feature = g.feature AND cur.bin = x.bin WHERE a IS NOT NULL OR b IS NOT NULL),
+            shares AS (SELECT endpoint_name, feature, CASE WHEN a = 0 THEN 0.0001 ELSE a / sum(a) OVER w END AS p, CASE WHEN b = 0 THEN 0.0001 ELSE b / sum(b) OVER w END AS q,
+                              sum(b) OVER w AS n FROM grid WINDOW w AS (PARTITION BY endpoint_name, feature)),
+            psi AS (SELECT endpoint_name, feature, sum((q - p) * ln(q / p)) AS psi, max(n) AS n FROM shares GROUP BY ALL),
+            data AS (SELECT endpoint_name, count(*) AS features_analyzed, count(*) FILTER (psi > 0.1) AS drifted, max(n) AS n FROM psi GROUP BY 1),
+            scores AS (SELECT endpoint_name, probability_fraud AS s, sum(ground_truth) AS pos, sum(1 - ground_truth) AS neg FROM labelled GROUP BY ALL),
+            auc AS (SELECT endpoint_name, sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) AS auc, sum(pos + neg) AS n FROM
+                    (SELECT *, coalesce(sum(neg) OVER (PARTITION BY endpoint_name ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM scores) GROUP BY 1)
+       SELECT CAST(0 AS BIGINT) AS batch_id, endpoint_name, l.n AS logged_rows, window_start, window_end, CAST(features_analyzed AS BIGINT) AS features_analyzed,
+              CAST(drifted AS BIGINT) AS drifted_columns_count, CAST(data.n AS BIGINT) AS data_sample_size, drifted / features_analyzed >= 0.5 AS data_drift_detected,
+              auc AS current_roc_auc, CAST(auc.n AS BIGINT) AS model_sample_size, (0.9 - auc) / 0.9 * 100 AS roc_auc_degradation_pct, (0.9 - auc) / 0.9 * 100 >= 5 AS model_drift_detected
+       FROM (SELECT endpoint_name, count(*) AS n, min(request_timestamp) AS window_start, max(request_timestamp) AS window_end FROM pred GROUP BY 1) l
+       JOIN data USING (endpoint_name) JOIN auc USING (endpoint_name)""",
+    "current_roc_auc roc_auc_degradation_pct",
 )
 def incremental_runs(t: Tables):
-    """One verdict per drained batch; a second start finds nothing new."""
+    """Both checks for every endpoint of a drained batch; a second start finds nothing new."""
     out, state = scratch_path(t.spark, "verdicts"), scratch_path(t.spark, "state")
-
-    def run(batch, batch_id):
-        return batch.groupBy("endpoint_name").agg(
-            F.lit(batch_id).cast("bigint").alias("batch_id"), F.count("*").alias("n"), F.avg("probability_fraud").alias("avg_probability")
-        )
-
+    baselines = t.pred.select("endpoint_name").distinct().withColumn("baseline_roc_auc", F.lit(0.9))
+    run = drift_check.incremental_check(t.training, t.known, TREND_FEATURES, baselines)
     for _ in range(2):
         ingest.wait([monitor.incremental_runs(StreamTables(t).pred, run, out, state)])
-    schema = "endpoint_name string, batch_id bigint, n bigint, avg_probability double"
-    return t.spark.read.schema(schema).parquet(f"{out}/*").select("batch_id", "endpoint_name", "n", "avg_probability")
+    return t.spark.read.parquet(f"{out}/*").select(
+        "batch_id", "endpoint_name", "logged_rows", "window_start", "window_end", F.col("features_analyzed").cast("long"),
+        F.col("drifted_columns_count").cast("long"), "data_sample_size", "data_drift_detected", "current_roc_auc",
+        F.col("model_sample_size").cast("long"), "roc_auc_degradation_pct", "model_drift_detected",
+    )
 
 
 # Windows that a stream with this watermark has closed by the end of its input.
