@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -12,9 +13,10 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.config import FeatureSchema
 from tidewatch.functions import columns as c
 from tidewatch.functions.stats import safe_ratio
-from tidewatch.operators import prep
+from tidewatch.operators import baselines, prep, quality
 
 LABEL, WEIGHT, VALIDATION = "__label", "__weight", "__validation"
 
@@ -114,3 +116,19 @@ def with_scores(df: DataFrame, threshold: float = 0.5) -> DataFrame:
         c.is_low_confidence(conf).alias("is_low_confidence"),
         c.score_bucket("probability_fraud").alias("prediction_bucket"),
     )
+
+
+def evaluate(
+    scored: DataFrame, truth: str, schema: FeatureSchema, minimums: dict[str, float], model_version: str, created_at: datetime | str,
+    training_table: str, evaluation_table: str, **ids: str,
+) -> tuple[DataFrame, DataFrame]:
+    """(gates, baseline record) of scored hold-out rows: what decides whether a model is registered, and as what.
+
+    The record is approved only if every gate passes; else it waits for a decision by hand.
+    """
+    metrics = quality.performance_metrics(scored, truth=truth)
+    gates = quality.quality_gates(metrics, minimums)
+    record = baselines.baseline_record(metrics, schema, model_version, created_at, training_table, evaluation_table, **ids)
+    passed = gates.agg(F.every("passed").alias("__passed"))
+    status = F.when(F.col("__passed"), "Approved").otherwise(F.col("approval_status"))
+    return gates, record.crossJoin(F.broadcast(passed)).withColumn("approval_status", status).drop("__passed")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import as_of_literal
 from tidewatch.operators import attribution, baselines, quality
-from tidewatch.plans import drift_check
+from tidewatch.plans import drift_check, scoring
 from tidewatch.plans.performance_report import labelled_predictions, performance_report
 from tidewatch_checks.registry import check
 from tidewatch_checks.tables import AS_OF, LINE_SCHEMA, Tables
@@ -414,3 +414,30 @@ def baseline_record(t: Tables):
         *[F.col(f"metrics.{m}").alias(m) for m in ("roc_auc", "pr_auc", "precision", "recall", "accuracy")],
         "sample_size", "positive_samples", "negative_samples",
     )
+
+
+SCORED_LINES = """(SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS ground_truth, s AS probability_fraud, CASE WHEN s >= 0.5 THEN 1 ELSE 0 END AS prediction
+                   FROM (SELECT *, ((l_orderkey * 31 + l_linenumber * 17) % 1000) / 1000.0::DOUBLE AS s FROM lineitem))"""
+
+
+@check(
+    "v3_evaluation_of_scores",
+    f"""SELECT 'v9' AS model_version, roc_auc, pr_auc, coalesce(true_positives / nullif(true_positives + false_positives, 0), 0) AS "precision",
+               coalesce(true_positives / nullif(true_positives + false_negatives, 0), 0) AS recall, sample_count AS sample_size,
+               true_positives + false_negatives AS positive_samples, (roc_auc >= 0.4)::INT + (pr_auc >= 0.9)::INT AS gates_passed,
+               CASE WHEN roc_auc >= 0.4 AND pr_auc >= 0.9 THEN 'Approved' ELSE 'PendingManualApproval' END AS approval_status
+        FROM ({confusion_sql(SCORED_LINES)}) CROSS JOIN (SELECT roc_auc, pr_auc FROM ({ranking_sql(SCORED_LINES)}))""",
+    "roc_auc pr_auc precision recall",
+)
+def evaluation_of_scores(t: Tables):
+    """Scored rows to gates and a baseline record; the scores are a formula, so that SQL can follow."""
+    p = (F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17) % 1000 / 1000.0
+    rows = t.lineitem.select((F.col("l_returnflag") == "R").cast("int").alias("y"), p.alias("probability_fraud"))
+    gates, record = scoring.evaluate(
+        scoring.with_scores(rows), "y", LINE_SCHEMA, {"roc_auc": 0.4, "pr_auc": 0.9}, "v9", AS_OF, "training_data", "evaluation_data"
+    )
+    passed = gates.agg(F.count_if("passed").cast("int").alias("gates_passed"))
+    return record.crossJoin(F.broadcast(passed)).select(
+        "model_version", *[F.col(f"metrics.{m}").alias(m) for m in ("roc_auc", "pr_auc", "precision", "recall")],
+        "sample_size", "positive_samples", "gates_passed", "approval_status",
+    )
