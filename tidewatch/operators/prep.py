@@ -129,11 +129,12 @@ def encode_baseline(df: DataFrame, schema: FeatureSchema, encoders: Encoders) ->
 # -- JSON payloads --------------------------------------------------------------------------------
 
 
-def payload_features(df: DataFrame, payload: str, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def payload_features(df: DataFrame, payload: str, features: Sequence[str], keep: Sequence[str] = (), flag: str | None = None) -> DataFrame:
     """Declared features out of a JSON object column.
 
     Unknown keys drop, missing keys become NULL.  A row with a present but unparseable value, without
-    any declared feature, or with malformed JSON is left out.
+    any declared feature, or with malformed JSON is left out; with ``flag`` it stays, and that column
+    tells whether the row is valid.
     """
     parsed = df.select(*keep, F.from_json(payload, "map<string,string>").alias("__m"))
     m = F.col("__m")
@@ -146,7 +147,10 @@ def payload_features(df: DataFrame, payload: str, features: Sequence[str], keep:
     present = [F.map_contains_key(m, F.lit(f)) for f in features]
     any_present = F.array_contains(F.array(*present), True)
     bad = F.array_contains(F.array(*[p & value[f].isNull() for f, p in zip(features, present)]), True)
-    return parsed.where(m.isNotNull() & any_present & ~bad).select(*keep, *[value[f].alias(f) for f in features])
+    valid = F.coalesce(m.isNotNull() & any_present & ~bad, F.lit(False))
+    if flag is not None:
+        return parsed.select(*keep, *[value[f].alias(f) for f in features], valid.alias(flag))
+    return parsed.where(valid).select(*keep, *[value[f].alias(f) for f in features])
 
 
 def payload_numbers(

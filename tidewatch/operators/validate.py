@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.config import FeatureSchema
@@ -86,16 +86,29 @@ def missing_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return counts.unpivot([], names, "column", "n_missing").where("n_missing > 0")
 
 
+def row_digest(df: DataFrame) -> list[Column]:
+    """128 bits of a whole row, equal for equal rows: what is shuffled in place of wide rows.
+
+    NULLs are told apart by their place, and the two zeros of a double are one value.
+    """
+    places = [F.col(c).isNull() for c in df.columns]
+    values = [
+        F.when(F.col(f.name) == 0, F.lit(0).cast(f.dataType)).otherwise(F.col(f.name)) if f.dataType.typeName() in ("float", "double") else F.col(f.name)
+        for f in df.schema.fields
+    ]
+    return [F.xxhash64(F.lit(seed), *places, *values).alias(f"__digest{seed}") for seed in (1, 2)]
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Number of rows beyond the first of each distinct row."""
-    per_row = df.groupBy(*df.columns).agg(F.count("*").alias("__n"))
+    per_row = df.select(*row_digest(df)).groupBy("__digest1", "__digest2").agg(F.count("*").alias("__n"))
     return per_row.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
 def quality_report(df: DataFrame, target: str, min_samples: int = MIN_TRAINING_SAMPLES) -> DataFrame:
     """One row: counts, imbalance, duplicates, error and warning texts, and the gate.
 
-    Duplicates and NULLs and classes all come from the distinct-row counts: one shuffle of the table.
+    Duplicates and NULLs and classes all come from the counts of distinct rows: one shuffle of digests.
     """
     if target not in df.columns:
         return df.agg(F.count("*").alias("total_rows")).select(
@@ -110,7 +123,8 @@ def quality_report(df: DataFrame, target: str, min_samples: int = MIN_TRAINING_S
             F.lit(False).alias("passed"),
         )
     nulls = sum((F.col(c).isNull().cast("long") for c in df.columns), F.lit(0).cast("long"))
-    rows = df.groupBy(*df.columns).agg(F.count("*").alias("__n")).withColumn("__nulls", nulls * F.col("__n"))
+    narrow = df.select(*row_digest(df), target, nulls.alias("__nulls"))
+    rows = narrow.groupBy("__digest1", "__digest2", target).agg(F.count("*").alias("__n"), F.sum("__nulls").alias("__nulls"))
     classes = rows.groupBy(target).agg(
         F.sum("__n").alias("n"), F.sum("__nulls").alias("nulls"), F.sum(F.col("__n") - 1).alias("dup")
     )

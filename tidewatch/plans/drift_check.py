@@ -73,15 +73,12 @@ def data_drift_check(
     """
     window = current_window(predictions, as_of, lookback_days, endpoint)
     per_feature = feature_verdicts(predictions, baseline, schema, encoders, as_of, lookback_days, endpoint, **options)
-    logged = window.agg(F.count("*").alias("logged_rows"))
-    parsed = prep.payload_features(window, "input_features", schema.feature_names).agg(
-        F.count("*").alias("data_sample_size")
-    )
+    flagged = prep.payload_features(window, "input_features", schema.feature_names, flag="__valid")
+    counted = flagged.agg(F.count("*").alias("logged_rows"), F.count_if("__valid").alias("data_sample_size"))
     enough = (F.col("logged_rows") >= min_samples) & (F.col("data_sample_size") >= min_samples)
     summary = (
         drift.dataset_verdict(per_feature, drift_share)
-        .crossJoin(F.broadcast(logged))
-        .crossJoin(F.broadcast(parsed))
+        .crossJoin(F.broadcast(counted))
         .withColumn("data_drift_detected", F.col("data_drift_detected") & enough)
         .withColumn("data_status", F.when(enough, "ok").otherwise("insufficient_samples"))
     )
