@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.session import cut_lineage, scratch_path
 
-__all__ = ["attach", "bitmap", "cut_lineage", "in_bitmap", "read_table", "scratch_path", "ship", "text_or_empty", "texts_of", "words", "WORD"]
+__all__ = ["attach", "bitmap", "cut_lineage", "in_bitmap", "is_few", "read_table", "scratch_path", "ship", "text_or_empty", "texts_of", "words", "WORD"]
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,13 +56,18 @@ def words(column: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(column), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def attach(rows: DataFrame, small: DataFrame, keys: Sequence[str], spread: Column, how: str = "inner") -> DataFrame:
+def is_few(rows: DataFrame) -> bool:
+    """Whether ``rows`` are so few that they may be broadcast; counts them."""
+    return rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
+def attach(rows: DataFrame, small: DataFrame, keys: Sequence[str], spread: Column, how: str = "inner", few: bool | None = None) -> DataFrame:
     """``rows`` with the columns of ``small``, which has one row per ``keys`` (NULL equals NULL).
 
-    ``small`` is broadcast only after a count shows that it is small. Beyond that it is repeated ``SALTS``
-    times and ``rows`` are dealt over (keys, salt of ``spread``), so one hot key is never one task.
+    ``small`` is broadcast only after a count shows that it is small (``few``: the outcome of an earlier count). Beyond that
+    it is repeated ``SALTS`` times and ``rows`` are dealt over (keys, salt of ``spread``), so one hot key is never one task.
     """
-    few = small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    few = is_few(small) if few is None else few
     names = [f"__k{i}" for i in range(len(keys))]
     right = small.withColumnsRenamed(dict(zip(keys, names, strict=True)))
     on = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)]

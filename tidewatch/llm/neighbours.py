@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 from pyspark.sql.window import Window
 
-from tidewatch.llm.common import cut_lineage
+from tidewatch.llm.common import attach, cut_lineage, is_few
 
 #: Neighbours in a list, and most nodes of those that list a node which take part in a round.
 LIST = 24
@@ -222,7 +222,8 @@ def search(queries: DataFrame, codes: DataFrame, graph: DataFrame) -> DataFrame:
     around = graph.select("src", "dst").unionByName(_listing(graph, -1).select("src", "dst"))
     around = cut_lineage(around.groupBy("src").agg(F.collect_set("dst").alias("near")), "adjacency")
     entries = [r["node"] for r in codes.select("node").orderBy(F.xxhash64("node"), "node").limit(ENTRIES).collect()]
-    asked = codes.select(F.col("node").alias("q"), F.col("code").alias("query_code")).join(queries.select("q").distinct(), "q")
+    asked = cut_lineage(codes.select(F.col("node").alias("q"), F.col("code").alias("query_code")).join(queries.select("q").distinct(), "q"), "asked")
+    few = is_few(asked)
     by_distance = Window.partitionBy("q").orderBy("d", "node")
     fresh = queries.select("q").distinct().join(around, F.col("q") == F.col("src"), "left").select(
         "q", F.explode(F.array_union(F.coalesce("near", F.array().cast("array<long>")), F.array(*[F.lit(e).cast("long") for e in entries]))).alias("node")
@@ -230,13 +231,13 @@ def search(queries: DataFrame, codes: DataFrame, graph: DataFrame) -> DataFrame:
     beam = None
     for _ in range(STEPS):
         fresh = fresh.where("q <> node").distinct()
-        rows = fresh.join(codes.select("node", "code"), "node").join(asked, "q").select("q", "node", "code", "query_code")
+        rows = attach(fresh.join(codes.select("node", "code"), "node"), asked, ["q"], F.col("node"), few=few).select("q", "node", "code", "query_code")
         found = rows.mapInArrow(_measure, "q long, node long, d float").withColumn("open", F.lit(False))
         if beam is not None:
             found = found.unionByName(beam)
         found = found.repartition("q").groupBy("q", "node").agg(F.min("d").alias("d"), F.max("open").alias("open"))
         beam = found.withColumn("rank", F.row_number().over(by_distance)).where(F.col("rank") <= BEAM).drop("rank")
-        turn = F.row_number().over(Window.partitionBy("q", "open").orderBy("d", "node"))
+        turn = F.row_number().over(Window.partitionBy("q").orderBy("open", "d", "node"))  # the unopened come first
         beam = cut_lineage(beam.withColumn("next", ~F.col("open") & (turn <= OPENED)), "beam")
         ahead = beam.where("next")
         if ahead.isEmpty():
