@@ -27,7 +27,9 @@ from tidewatch.llm.rolling import PIECE, between, mix, prefix, sliding_min, wind
 
 LENGTH, GRAM = 200, 64
 #: Parts of a bucket that one task refines; the strings of a larger bucket are dealt out by their own identifiers.
-HOT_PARTS = 20_000
+HOT_PARTS = 5_000
+#: Runs that are cut out of texts, or refined, in one piece (a bucket is never divided for that).
+RUNS_AT_ONCE = 4_000
 _LOW = np.uint64(PIECE - 1)
 
 
@@ -71,22 +73,22 @@ def _all_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of each listed run."""
+    """The bytes of each listed run, some thousand runs at a time."""
     for batch in batches:
-        for tid, text, runs in zip(batch.column("tid"), batch.column("text").cast(pa.binary()), batch.column("runs"), strict=True):
-            data, tid = text.as_py(), tid.as_py()
-            listed = runs.as_py()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r["bucket"] for r in listed], pa.int64()),
-                    pa.array([tid] * len(listed), pa.int64()),
-                    pa.array([r["first"] for r in listed], pa.int64()),
-                    pa.array([r["alone"] for r in listed], pa.bool_()),
-                    pa.array([r["hot"] for r in listed], pa.bool_()),
-                    pa.array([data[r["first"] : r["last"] + LENGTH] for r in listed], pa.binary()),
-                ],
-                ["bucket", "tid", "first", "alone", "hot", "bytes"],
-            )
+        runs = batch.column("runs")
+        listed, ends = runs.flatten(), np.cumsum(runs.value_lengths().to_numpy())
+        tids = pa.array(np.repeat(batch.column("tid").to_numpy(), np.diff(ends, prepend=0)))
+        firsts, lasts = listed.field("first").to_numpy(), listed.field("last").to_numpy()
+        begin, at, cut = 0, 0, []
+        for text, end in zip(batch.column("text").cast(pa.binary()), ends.tolist(), strict=True):
+            data = text.as_py()
+            cut.extend(data[f : t + LENGTH] for f, t in zip(firsts[at:end].tolist(), lasts[at:end].tolist(), strict=True))
+            at = end
+            if len(cut) >= RUNS_AT_ONCE or end == ends[-1]:
+                part = [listed.field(n).slice(begin, len(cut)) for n in ("bucket", "first", "alone", "hot")]
+                columns = [part[0], tids.slice(begin, len(cut)), *part[1:], pa.array(cut, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "tid", "first", "alone", "hot", "bytes"])
+                begin, cut = end, []
 
 
 def _strings(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,11 +155,14 @@ def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches([batch])
         table = pa.concat_tables([held, table]) if held is not None else table
         buckets = table.column("bucket").to_numpy()
-        other = np.flatnonzero(buckets != buckets[-1])
-        cut = int(other[-1]) + 1 if len(other) else 0
-        if cut and (out := shared(table.slice(0, cut))):
-            yield out
-        held = table.slice(cut)
+        borders = np.flatnonzero(buckets[1:] != buckets[:-1]) + 1  # where another bucket begins
+        at = 0
+        for i, border in enumerate(borders.tolist()):
+            if i + 1 == len(borders) or borders[i + 1] - at > RUNS_AT_ONCE:
+                if out := shared(table.slice(at, border - at)):
+                    yield out
+                at = border
+        held = table.slice(at)
     if held is not None and (out := shared(held)):
         yield out
 

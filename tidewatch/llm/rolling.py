@@ -8,7 +8,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Longest byte string that is hashed at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 
 
