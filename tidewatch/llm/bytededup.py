@@ -220,8 +220,10 @@ def removed_bytes(docs: DataFrame) -> DataFrame:
     open_runs = cut_lineage(cut_lineage(runs.join(more, "bucket"), "open-runs").distinct(), "open-runs")
     parts = open_runs.groupBy("bucket", "part").agg(F.count("*").alias("members"), F.min(F.struct("tid", "first", "last")).alias("one"))
     per_bucket = parts.groupBy("bucket").agg(F.count("*").alias("parts"))
+    # Stored for the same reason: a short text that repeats itself can be most of one part.
+    alike = cut_lineage(parts.where("members > 1").select("bucket", "part"), "alike-parts")
     together = (
-        open_runs.join(parts.where("members > 1").select("bucket", "part"), ["bucket", "part"])
+        open_runs.join(alike, ["bucket", "part"])
         .select("tid", F.col("first").alias("begin"), (F.col("last") + LENGTH).alias("end"))
     )
     split = parts.join(per_bucket.where("parts > 1"), "bucket").select(
