@@ -135,6 +135,43 @@ def test_one_of_each_group_of_near_copies_stays(spark, make):
     assert ids == [*[g * 10 for g in range(30)], 9_000, 9_002, 9_003, None]
 
 
+def brute_kept(rows, k=5):
+    """Smallest ids of the groups that links of a similarity of 0.8 make, and the links, by comparing all texts."""
+    sets = {}
+    for d, t, _ in rows:
+        words = t.split()
+        sets[d] = {" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))}
+    numbers: dict[str, int] = {}
+    ids = sorted(sets)
+    table = np.zeros((len(ids), len({s for x in sets.values() for s in x})), np.float32)
+    for i, d in enumerate(ids):
+        table[i, [numbers.setdefault(s, len(numbers)) for s in sets[d]]] = 1
+    both = table @ table.T
+    size = np.diag(both)
+    alike = 5 * both >= 4 * (size[:, None] + size[None] - both)
+    links = [(ids[i], ids[j]) for i, j in zip(*np.nonzero(np.triu(alike, 1)), strict=True)]
+    return sorted(set(roots_of(links, ids).values())), links
+
+
+def test_pairs_in_a_family_of_shared_boilerplate(spark, make):
+    """Members of the family are just too far from each other; some have a near copy of their own."""
+    rng = random.Random(11)
+    shared = words_of(rng, 261)
+    rows = []
+    for i in range(1_000):
+        own = words_of(rng, 36)
+        rows.append((10 * i, " ".join(shared + own), "s"))
+        if i % 20 == 0:
+            changed = shared + own
+            for at in rng.sample(range(297), 5):
+                changed[at] = f"new{i}"
+            rows.append((10 * i + 1, " ".join(changed), "s"))
+    want, links = brute_kept(rows)
+    assert len(links) >= 50 and len(want) == 1_000
+    kept = simhash.keep_one(spark.read.parquet(f"{make(rows)}/documents.parquet"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == want
+
+
 # --- bytes ---
 
 
