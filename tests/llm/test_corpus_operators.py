@@ -172,6 +172,31 @@ def test_pairs_in_a_family_of_shared_boilerplate(spark, make):
     assert sorted(r["doc_id"] for r in kept.collect()) == want
 
 
+def test_pairs_of_every_kind_of_edit(spark, make):
+    """Pairs just above the similarity: a passage more or less, words changed all over, parts repeated, short and long texts."""
+    rng = random.Random(12)
+    rows, kinds = [], {}
+    for i in range(240):
+        n, kind = [60, 300, 1_200][i % 3], ["appended", "truncated", "scattered", "repeated"][i // 3 % 4]
+        base = words_of(rng, n)
+        other = [*base]
+        if kind == "appended":
+            other = base + words_of(rng, int(0.22 * n))
+        elif kind == "truncated":
+            other = base[: int(0.82 * n) + 1]
+        elif kind == "scattered":
+            for at in rng.sample(range(n), max(1, n // 55)):
+                other[at] = f"new{i}"
+        else:
+            other = base + base[n // 2 :] * 10
+        rows += [(2 * i, " ".join(base), "s"), (2 * i + 1, " ".join(other), "s")]
+        kinds[2 * i] = kind
+    want, links = brute_kept(rows)
+    assert {kinds[a] for a, _ in links} == set(kinds.values()) and len(links) >= 200
+    kept = simhash.keep_one(spark.read.parquet(f"{make(rows)}/documents.parquet"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == want
+
+
 # --- bytes ---
 
 
