@@ -43,6 +43,25 @@ def test_extract(name):
     assert extract(page) == text
 
 
+LONG = "This is a long sentence, with commas, that stands for the text of a page; it goes on for a while. "
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # One teaser article beside a text in divs.
+        (f'<body><div class="text"><h1>Head</h1><p>{LONG * 3}</p><p>{LONG * 4}</p></div><article class="card"><a href="/n">Next</a></article></body>', "Head " + LONG * 7),
+        (f'<body><div class="text"><p>{LONG * 3}</p><p>{LONG * 4}</p></div><main><div class="gadget"><span>Sunny 21</span></div></main></body>', LONG * 7),
+        # No declared article: the ratios decide.
+        (f'<body><div class="x1"><div><a>Home</a></div><div><a>News</a></div></div><div class="x2"><p>{LONG * 3}</p><p>{LONG}</p></div><div class="x3"><i>2024</i></div></body>', LONG * 4),
+        # A part inside the article that does not say what it is.
+        (f'<article><h1>Head</h1><p>{LONG * 3}</p><div class="zz"><a>Buy now</a></div><p>{LONG * 2}</p><ul><li>One</li><li>Two</li></ul></article>', "Head " + LONG * 5 + "One Two"),
+    ],
+)
+def test_ratios_select_with_and_without_article(page, text):
+    assert extract(page) == text.strip()
+
+
 def test_extract_long_page():
     page = "<article>" + "<p>Some words, here.</p>" * 20_000 + "</article>"
     assert extract(page) == " ".join(["Some words, here."] * 20_000)

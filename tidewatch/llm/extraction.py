@@ -2,9 +2,9 @@
 
 A page is cut into blocks of text, each at the end of a path of tags from the root. Per path, text length and punctuation
 per block are aggregated; both ratios are smoothed over the blocks in page order, fused, and paths above a threshold are
-content. Paths are then settled by place: the element that holds most of the content text is the article, and
-all its blocks are kept, short ones and headings too, but for parts that say by tag, class, id or role that they are
-something else (menus, adverts, comments).
+content; <article> and <main> raise a score and decide nothing alone. All blocks on content paths are kept. So are, inside the
+lowest element around them, the short blocks, lists and headings of every part that holds some. Left out are parts
+(div, section) without any and what says by tag, class, id or role that it is something else (menus, adverts, comments).
 
 Pages are independent, so nothing is shuffled; a page is held by one task.
 """
@@ -45,10 +45,13 @@ HINTS = frozenset(
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
 ARTICLE = frozenset("article main".split())
 
+#: Elements that are a piece of the text around them and no part of a page of their own.
+WITHIN = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 hgroup header li ul ol dl dt dd blockquote pre figure figcaption table caption thead tbody tfoot tr td th center address".split())
+
 #: Half width of the window that ratios are smoothed over, and the share of the mean score that content has.
 SMOOTH, THRESHOLD = 2, 0.5
-#: Share of the content text that the article's element holds at least.
-HELD = 0.8
+#: Factor of the score of what stands in <article> or <main>.
+BONUS = 2.0
 
 
 class _Node:
@@ -179,41 +182,34 @@ def content(found: list[tuple[_Node, str]]) -> list[str]:
         return np.convolve(x, window)[SMOOTH : SMOOTH + len(x)] / np.convolve(np.ones(len(x)), window)[SMOOTH : SMOOTH + len(x)]
 
     # Ratio of a path: characters, and marks, for each of its blocks.
-    text_ratio = smooth((np.bincount(ids, length) / count)[ids])
+    own_ratio = (np.bincount(ids, length) / count)[ids]
+    text_ratio = np.sqrt(own_ratio * smooth(own_ratio))  # a short path between long ones stays below them
     mark_ratio = smooth((np.bincount(ids, marks) / count)[ids])
-    fused = text_ratio * (1.0 + mark_ratio)
+    fused = text_ratio * (1.0 + mark_ratio) * np.where([n.article for n, _ in kept], BONUS, 1.0)
     by_path = np.bincount(ids, fused) / count
-    chosen = by_path >= THRESHOLD * (by_path * np.bincount(ids, length)).sum() / length.sum()
-    mass: dict[int, float] = {}
-    nodes: dict[int, _Node] = {}
-    total = 0.0
-    declared = any(n.article for n, _ in kept)
-    for i, (n, _) in enumerate(kept):
-        if not chosen[ids[i]] and not (declared and n.article) or declared and not n.article:
-            continue
-        total += length[i]
-        up: _Node | None = n
+    chosen = (by_path >= THRESHOLD * (by_path * np.bincount(ids, length)).sum() / length.sum())[ids]
+    # Elements around chosen blocks, and the lowest one around them all.
+    around: dict[int, int] = {}
+    for i in np.flatnonzero(chosen):
+        up: _Node | None = kept[i][0]
         while up is not None:
-            mass[id(up)] = mass.get(id(up), 0.0) + length[i]
-            nodes[id(up)] = up
+            around[id(up)] = around.get(id(up), 0) + 1
             up = up.parent
-    # The deepest element that holds most of the content; of several articles the one around them.
-    held = [nodes[k] for k, v in mass.items() if v >= HELD * total]
-    top = max(held, key=lambda n: n.depth)
-    while top.tag in INLINE or top.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre"):
+    top, total = kept[int(np.argmax(chosen))][0], int(chosen.sum())
+    while around[id(top)] < total or top.parent is not None and top.tag in WITHIN:
         top = top.parent
-    if declared:  # a declared article is kept to its borders
-        while top.article and top.parent is not None and top.parent.article:
-            top = top.parent
-
-    def inside(n: _Node | None) -> bool:
-        while n is not None:
-            if n is top:
-                return True
+
+    def belongs(n: _Node) -> bool:
+        # Short blocks go with the part they stand in.
+        while n.tag in WITHIN and n is not top and n.parent is not None:
+            n = n.parent
+        if id(n) not in around:
+            return False
+        while n is not None and n is not top:
             n = n.parent
-        return False
+        return n is top
 
-    return [t for n, t in kept if inside(n) and (not declared or n.article)]
+    return [t for (n, t), c in zip(kept, chosen, strict=True) if c or belongs(n)]
 
 
 def extract(page: str | None) -> str:
