@@ -62,6 +62,14 @@ def test_ratios_select_with_and_without_article(page, text):
     assert extract(page) == text.strip()
 
 
+@pytest.mark.parametrize("part", ["section", "ul", "div"])
+def test_one_long_part_does_not_cut_what_stands_around_it(part):
+    inner = "li" if part == "ul" else "p"
+    body = "".join(f"<{inner}>{LONG * 3}</{inner}>" for _ in range(30))
+    page = f'<body><div class="x1"><a>Home</a></div><div id="text"><h1>Head</h1><p>{LONG}</p><{part}>{body}</{part}><p>The end, at last.</p></div></body>'
+    assert extract(page) == " ".join(["Head", LONG.strip(), *[(LONG * 3).strip()] * 30, "The end, at last."])
+
+
 def test_extract_long_page():
     page = "<article>" + "<p>Some words, here.</p>" * 20_000 + "</article>"
     assert extract(page) == " ".join(["Some words, here."] * 20_000)

@@ -2,8 +2,9 @@
 
 A page is cut into blocks of text, each at the end of a path of tags from the root. Per path, text length and punctuation
 per block are aggregated; both ratios are smoothed over the blocks in page order, fused, and paths above a threshold are
-content; <article> and <main> raise a score and decide nothing alone. All blocks on content paths are kept. So are, inside the
-lowest element around them, the short blocks, lists and headings of every part that holds some. Left out are parts
+content; <article> and <main> raise a score. All blocks on content paths are kept. So are, inside the
+lowest element around them (raised to those that hold paragraphs or headings beside it, unless it is an article), the short
+blocks, lists and headings of every part that holds some. Left out are parts
 (div, section) without any and what says by tag, class, id or role that it is something else (menus, adverts, comments).
 
 Pages are independent, so nothing is shuffled; a page is held by one task.
@@ -48,6 +49,8 @@ ARTICLE = frozenset("article main".split())
 #: Elements that are a piece of the text around them and no part of a page of their own.
 WITHIN = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 hgroup header li ul ol dl dt dd blockquote pre figure figcaption table caption thead tbody tfoot tr td th center address".split())
 
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+
 #: Half width of the window that ratios are smoothed over, and the share of the mean score that content has.
 SMOOTH, THRESHOLD = 2, 0.5
 #: Factor of the score of what stands in <article> or <main>.
@@ -55,13 +58,13 @@ BONUS = 2.0
 
 
 class _Node:
-    __slots__ = ("tag", "path", "parent", "out", "depth", "article")
+    __slots__ = ("tag", "path", "parent", "out", "article", "prose")
 
     def __init__(self, tag: str, mark: str, parent: _Node | None, out: bool) -> None:
         self.tag, self.parent, self.out = tag, parent, out
         self.path: str = (parent.path + "/" if parent else "") + mark
-        self.depth: int = parent.depth + 1 if parent else 0
         self.article: bool = tag in ARTICLE or (parent.article if parent else False)
+        self.prose: bool = tag in PROSE or (tag in INLINE and parent is not None and parent.prose)
 
 
 def _told(tag: str, attributes: str, parent: _Node) -> tuple[str, bool]:
@@ -199,10 +202,22 @@ def content(found: list[tuple[_Node, str]]) -> list[str]:
     while around[id(top)] < total or top.parent is not None and top.tag in WITHIN:
         top = top.parent
 
-    def belongs(n: _Node) -> bool:
-        # Short blocks go with the part they stand in.
+    def part(n: _Node) -> _Node:
         while n.tag in WITHIN and n is not top and n.parent is not None:
             n = n.parent
+        return n
+
+    # Paragraphs and headings around one dominant part belong to the same text; a declared article is kept to its borders.
+    prose = {id(part(n)) for n, _ in kept if n.prose}
+    up = top
+    while up.parent is not None and up.tag not in ARTICLE:
+        up = up.parent
+        if id(up) in prose:
+            top = up
+
+    def belongs(n: _Node) -> bool:
+        # Short blocks go with the part they stand in.
+        n = part(n)
         if id(n) not in around:
             return False
         while n is not None and n is not top:
