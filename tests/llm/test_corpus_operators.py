@@ -495,3 +495,21 @@ def test_pipeline_edges(spark, make, tmp_path):
         result = corpus_pipeline.run(spark, path)
         assert {"doc_id", "text", "shard", "slot"} <= set(result.columns)
         assert result.count() >= (1 if data else 0)
+
+
+def test_neighbours_in_a_tight_cluster(spark):
+    """Thousands of distinct near copies, closer to each other than a hundredth of a vector's largest part, in large and small numbers."""
+    rng = np.random.default_rng(17)
+    center = rng.normal(size=64)
+    near = 1e60 * (center / np.linalg.norm(center) + 1e-4 * rng.normal(size=(2_500, 64)))
+    rows = [(i, v.tolist()) for i, v in enumerate(near)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(set)
+    for r in neighbours.nearest(vectors, F.col("id") < 40).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    hits = 0
+    for q in range(40):
+        d = ((near / 1e60 - near[q] / 1e60) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hits += len(got[q] & set(np.argsort(d)[:10].tolist()))
+    assert hits >= 0.95 * 400

@@ -3,8 +3,8 @@
 Equal vectors are one node, so a vector that many rows share neither crowds the lists nor cuts the graph. Lists start
 from blocks of nodes that lie together on a random line. Then each round joins neighbours of neighbours: a node's list and a
 bounded sample of the nodes that list it meet, and whoever is closer to a member than the last of its list is offered to it. Pairs
-that met before are skipped. Rounds end when few lists change. Vectors are compared as bytes with one scale
-each while the graph is built and walked; results are measured on the vectors themselves.
+that met before are skipped. Rounds end when few lists change. Vectors are compared as doubles with one common scale
+while the graph is built and walked, so that near copies are told apart; results are measured on the vectors themselves.
 
 A search keeps the ``BEAM`` nearest nodes of each query, opens the nearest unopened ones and joins their neighbours, until all of the
 beam is open. Every step is a join on node ids; a task holds lists, never all vectors.
@@ -12,6 +12,7 @@ beam is open. Every step is a join on node ids; a task holds lists, never all ve
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,37 +48,37 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.where(F.size("vec") == (sizes["n"] if sizes else 0)).dropDuplicates(["id", "vec"])
 
 
-def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bytes of each vector after its scale, and its places on the random lines."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        x = np.array(batch.column("vec").to_pylist(), dtype=np.float64)
-        scale = np.abs(x).max(axis=1) / 127.0
-        scale = np.maximum(scale, np.finfo(np.float32).tiny)
-        codes = np.concatenate([scale.astype(np.float32)[:, None].view(np.int8), np.rint(x / scale[:, None]).astype(np.int8)], axis=1)
-        lines = np.random.default_rng(11).standard_normal((x.shape[1], LINES))
-        places = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ lines
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.array([c.tobytes() for c in codes], pa.binary()), *[pa.array(places[:, i]) for i in range(LINES)]],
-            ["node", "code", *[f"line{i}" for i in range(LINES)]],
-        )
+def _encode(exponent: int):
+    """Bytes of each vector, divided by the same power of two (which changes no digit), and its places on the random lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.ldexp(np.array(batch.column("vec").to_pylist(), dtype=np.float64), -exponent)
+            lines = np.random.default_rng(11).standard_normal((x.shape[1], LINES))
+            places = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), np.finfo(np.float64).tiny)) @ lines
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array([row.tobytes() for row in x], pa.binary()), *[pa.array(places[:, i]) for i in range(LINES)]],
+                ["node", "code", *[f"line{i}" for i in range(LINES)]],
+            )
+
+    return run
 
 
 def _decode(codes: pa.Array) -> np.ndarray:
-    raw = np.frombuffer(b"".join(codes.to_pylist()), np.int8).reshape(len(codes), -1)
-    scale = np.ascontiguousarray(raw[:, :4]).view(np.float32)
-    return raw[:, 4:].astype(np.float32) * scale
+    return np.frombuffer(b"".join(codes.to_pylist()), np.float64).reshape(len(codes), -1)
 
 
 def _distances(x: np.ndarray) -> np.ndarray:
-    """Squared distances within each group of ``x`` (group, member, part)."""
+    """Squared distances within each group of ``x`` (group, member, part), from differences to its first member, so that close ones keep their digits."""
+    x = x - x[..., :1, :]
     square = (x * x).sum(axis=-1)
     return np.maximum(square[..., :, None] + square[..., None, :] - 2 * (x @ np.swapaxes(x, -1, -2)), 0)
 
 
 def _edges(src: np.ndarray, dst: np.ndarray, d: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64()), pa.array(d, pa.float32())], ["src", "dst", "d"])
+    return pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64()), pa.array(d, pa.float64())], ["src", "dst", "d"])
 
 
 def _start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +163,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out
 
 
-EDGES = "src long, dst long, d float"
+EDGES = "src long, dst long, d double"
 
 
 def _top(edges: DataFrame) -> DataFrame:
@@ -182,7 +183,8 @@ def _listing(graph: DataFrame, seed: int) -> DataFrame:
 def encoded(nodes: DataFrame) -> DataFrame:
     """``node, code, line0, ..`` of ``nodes`` (``node``, ``vec``)."""
     schema = "node long, code binary, " + ", ".join(f"line{i} double" for i in range(LINES))
-    return cut_lineage(nodes.mapInArrow(_encode, schema), "codes")
+    largest = nodes.agg(F.max(F.array_max(F.transform("vec", F.abs)))).first()[0]
+    return cut_lineage(nodes.mapInArrow(_encode(math.frexp(largest or 1.0)[1]), schema), "codes")
 
 
 def build(codes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -194,7 +196,7 @@ def build(codes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     graph = cut_lineage(_top(starts.withColumn("new", F.lit(True))), "graph")
     for i in range(rounds):
         reach = graph.groupBy("src").agg(F.max("d").alias("reach"), F.count("*").alias("n")).select(
-            F.col("src").alias("node"), F.when(F.col("n") < LIST, F.lit(float("inf"))).otherwise(F.col("reach")).cast("float").alias("reach")
+            F.col("src").alias("node"), F.when(F.col("n") < LIST, F.lit(float("inf"))).otherwise(F.col("reach")).alias("reach")
         )
         members = codes.select("node", "code").join(reach, "node")
         meeting = graph.select("src", "dst", "new").unionByName(_listing(graph, i))
@@ -211,7 +213,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             d = _decode(batch.column("code")) - _decode(batch.column("query_code"))
-            yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("node"), pa.array((d * d).sum(axis=1), pa.float32())], ["q", "node", "d"])
+            yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("node"), pa.array((d * d).sum(axis=1), pa.float64())], ["q", "node", "d"])
 
 
 def search(queries: DataFrame, codes: DataFrame, graph: DataFrame) -> DataFrame:
@@ -232,7 +234,7 @@ def search(queries: DataFrame, codes: DataFrame, graph: DataFrame) -> DataFrame:
     for _ in range(STEPS):
         fresh = fresh.where("q <> node").distinct()
         rows = attach(fresh.join(codes.select("node", "code"), "node"), asked, ["q"], F.col("node"), few=few).select("q", "node", "code", "query_code")
-        found = rows.mapInArrow(_measure, "q long, node long, d float").withColumn("open", F.lit(False))
+        found = rows.mapInArrow(_measure, "q long, node long, d double").withColumn("open", F.lit(False))
         if beam is not None:
             found = found.unionByName(beam)
         found = found.repartition("q").groupBy("q", "node").agg(F.min("d").alias("d"), F.max("open").alias("open"))
