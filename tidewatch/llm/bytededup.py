@@ -1,7 +1,7 @@
-"""Removal of every byte that a repeated string of ``LENGTH`` bytes covers, by bucket-pointer refinement.
+"""Removal of every byte that a repeated string of ``LENGTH`` bytes covers, by minimiser buckets and direct hashing.
 
-Suffixes start out in buckets of equal q-grams and a bucket is refined by the identifiers of buckets at later
-offsets until ``LENGTH`` bytes are told apart. Not every suffix is listed: of the q-grams inside a string of ``LENGTH`` bytes
+This stands in for bucket-pointer refinement: no identifiers of buckets at later offsets are used, and the rest of ``LENGTH``
+bytes is hashed directly. Not every suffix is listed: of the q-grams inside a string of ``LENGTH`` bytes
 the one with the least hash stands for it, so equal strings meet in that q-gram's bucket at the same offset, and neighbouring strings
 that chose the same q-gram form one run. Buckets with one run are done: nothing in them is repeated. The
 others are refined, a run at a time, by the identifier of all bytes that its strings reach: runs that stay together
