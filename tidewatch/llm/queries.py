@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bytededup, decontaminate, extraction, mixing, neighbours, quality, secrets, sharding, simhash, url_filter
+from tidewatch.llm import bytededup, clusters, decontaminate, extraction, mixing, neighbours, quality, secrets, sharding, simhash, url_filter
 from tidewatch.llm.common import cut_lineage, read_table, scratch_path, ship, words
 from tidewatch.llm.components import components
 
@@ -201,3 +201,40 @@ def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest found for every hundredth vector."""
     return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+# 11 ------------------------------------------------------------------------------------------------
+
+CENTROIDS, ROUNDS, COMPONENTS = 8, 10, 64
+
+
+@query
+def op11_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight centroids after ten rounds, and the vectors of each."""
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return clusters.cluster(vectors, "vec_id", "embedding", COMPONENTS, CENTROIDS, ROUNDS)
+
+
+def _rounds_sql() -> str:
+    """Each round: distances to all centroids, the least (ties: smaller number), and floors of the means."""
+    steps = []
+    for r in range(ROUNDS + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (SELECT k, min_by(c, d * 8 + c) AS c, min(d) AS d FROM (
+    SELECT k, c, list_sum(list_transform(range(1, {COMPONENTS + 1}), lambda i: (v.p[i] - q.p[i]) * (v.p[i] - q.p[i])))::BIGINT AS d FROM v CROSS JOIN c{r} q) GROUP BY k)""")
+        if r < ROUNDS:
+            steps.append(f"""
+m{r} AS (SELECT c, list(m ORDER BY i) AS p FROM (
+    SELECT c, i, (s - ((s % n) + n) % n) // n AS m FROM (
+        SELECT a.c, i, sum(v.p[i])::BIGINT AS s, count(*)::BIGINT AS n FROM a{r} a JOIN v USING (k) CROSS JOIN range(1, {COMPONENTS + 1}) t(i) GROUP BY a.c, i)) GROUP BY c),
+c{r + 1} AS MATERIALIZED (SELECT q.c, coalesce(m.p, q.p) AS p FROM c{r} q LEFT JOIN m{r} m USING (c))""")
+    return ",".join(steps)
+
+
+ORACLES["op11_bisector_clusters"] = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS p
+    FROM embeddings WHERE len(embedding) = {COMPONENTS} AND len(list_filter(embedding, lambda x: isfinite(x))) = {COMPONENTS}),
+c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY h NULLS LAST, p) - 1)::INTEGER AS c, p FROM (
+    SELECT sha256('3:' || vec_id) AS h, p FROM v ORDER BY h NULLS LAST, p LIMIT {CENTROIDS})),{_rounds_sql()}
+SELECT vec_id, a.c AS cluster, d AS distance, sum(d) OVER (PARTITION BY a.c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+    sha256(array_to_string(q.p, ',')) AS centroid_sha256
+FROM a{ROUNDS} a JOIN v USING (k) JOIN c{ROUNDS} q ON a.c = q.c"""
