@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bytededup, clusters, decontaminate, extraction, mixing, neighbours, quality, secrets, sharding, simhash, url_filter
+from tidewatch.llm import bytededup, clusters, decontaminate, extraction, host_rules, mixing, neighbours, quality, secrets, sharding, simhash, url_filter
 from tidewatch.llm.common import cut_lineage, read_table, scratch_path, ship, words
 from tidewatch.llm.components import components
 
@@ -238,3 +238,45 @@ c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY h NULLS LAST, p) - 1)::I
 SELECT vec_id, a.c AS cluster, d AS distance, sum(d) OVER (PARTITION BY a.c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
     sha256(array_to_string(q.p, ',')) AS centroid_sha256
 FROM a{ROUNDS} a JOIN v USING (k) JOIN c{ROUNDS} q ON a.c = q.c"""
+
+# 12 ------------------------------------------------------------------------------------------------
+
+
+@query
+def op12_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, own failures and the verdict of the host (the source) for every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return host_rules.judge(docs, "source").select("doc_id", *host_rules.NUMBERS[:5], "base_failed", "kept")
+
+
+def _rate_sql(name: str) -> str:
+    """Posterior mean of a host: the prior is the pooled rate where hosts differ by no more than chance, or there is one host."""
+    between = f"({name}_q - n * {name}_m * {name}_m)"
+    within, free = f"({name}_m * (1 - {name}_m))", "(n - n2 / n - (h - 1))"
+    share = f"({between} - (h - 1) * {within}) / ({free} * {within})"
+    weight = f"greatest(1 / least({share}, 1) - 1, 0)"
+    return f"""CASE WHEN h < 2 OR {within} <= 0 OR {free} <= 0 THEN {name}_m WHEN {share} <= 0 THEN {name}_m
+        ELSE ({name} + {name}_m * {weight}) / (documents + {weight}) END"""
+
+
+_RULE_NAMES = [r.name for r in host_rules.RULES]
+ORACLES["op12_host_rules"] = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id, source, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+spots AS (SELECT k, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) > 2),
+wins AS (SELECT k, i, count(*) OVER (PARTITION BY k, w[i], w[i + 1], w[i + 2]) AS times FROM spots),
+repeats AS (SELECT k, count(DISTINCT spot) AS n_repeat_words FROM (SELECT k, unnest([i, i + 1, i + 2]) AS spot FROM wins WHERE times > 1) GROUP BY k),
+lines AS (SELECT k, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+    FROM (SELECT k, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY k),
+nums AS MATERIALIZED (SELECT k, doc_id, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+    FROM d LEFT JOIN repeats USING (k) LEFT JOIN lines USING (k)),
+hosts AS (SELECT source, count(*) AS documents, {", ".join(f"count(*) FILTER ({r.fails}) AS {r.name}" for r in host_rules.RULES)}
+    FROM nums WHERE source IS NOT NULL GROUP BY source),
+total AS (SELECT count(*) AS h, sum(documents)::DOUBLE AS n, sum(documents * documents)::DOUBLE AS n2,
+    {", ".join(f"sum({r})::DOUBLE / sum(documents) AS {r}_m, sum({r}::DOUBLE * {r} / documents) AS {r}_q" for r in _RULE_NAMES)} FROM hosts),
+verdicts AS (SELECT source, greatest({", ".join(_rate_sql(r) for r in _RULE_NAMES)}) >= {host_rules.LIMIT} AS rejected FROM hosts CROSS JOIN total)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT coalesce(rejected, false) AS kept
+FROM nums LEFT JOIN verdicts USING (source)"""
