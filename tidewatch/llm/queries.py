@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bytededup, clusters, decontaminate, extraction, host_rules, mixing, neighbours, quality, secrets, sharding, simhash, url_filter
+from tidewatch.llm import bytededup, clusters, decontaminate, extraction, host_rules, mixing, neighbours, quality, ranking, secrets, sharding, simhash, url_filter
 from tidewatch.llm.common import cut_lineage, read_table, scratch_path, ship, words
 from tidewatch.llm.components import components
 
@@ -280,3 +280,30 @@ verdicts AS (SELECT source, greatest({", ".join(_rate_sql(r) for r in _RULE_NAME
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
     NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT coalesce(rejected, false) AS kept
 FROM nums LEFT JOIN verdicts USING (source)"""
+
+# 13 ------------------------------------------------------------------------------------------------
+
+
+@query
+def op13_hybrid_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return ranking.ranked(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), 20)
+
+
+def _terms_sql(text: str) -> str:
+    return f"regexp_extract_all(translate({text}, '{url_filter.UPPER}', '{url_filter.LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+ORACLES["op13_hybrid_ranking"] = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id, {_terms_sql("text")} AS t FROM documents),
+size AS MATERIALIZED (SELECT k, doc_id, len(t)::BIGINT AS n FROM d WHERE len(t) > 0),
+total AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS l FROM size),
+q AS MATERIALIZED (SELECT j, item_id, term, count(*)::BIGINT AS times FROM (
+    SELECT j, item_id, unnest({_terms_sql("text")}) AS term FROM (SELECT row_number() OVER () AS j, item_id, text FROM benchmark)) GROUP BY ALL),
+tf AS MATERIALIZED (SELECT k, term, count(*)::BIGINT AS tf FROM (SELECT k, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+df AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf CROSS JOIN total GROUP BY term, big_n),
+part AS (SELECT k, doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * big_n) // l))) AS c FROM tf JOIN size USING (k) CROSS JOIN total),
+score AS (SELECT j, item_id, k, doc_id, sum(times * w * c)::BIGINT AS score FROM q JOIN df USING (term) JOIN part USING (term) GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+    SELECT item_id, doc_id, score, (row_number() OVER (PARTITION BY j ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank FROM score WHERE score > 0)
+WHERE rank <= 20"""
