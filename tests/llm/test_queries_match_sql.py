@@ -19,5 +19,5 @@ def test_query(spark, sf_dir, name):
 
 def test_one_query_per_operator():
     names = entry.queries()
-    assert {n.split("_")[0] for n in names if n[:2] == "op" and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n[:2] == "op" and n[2].isdigit()} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names

@@ -109,42 +109,38 @@ def host_counts(judged: DataFrame, host: str, rules: tuple[Rule, ...]) -> DataFr
     return judged.where(F.col(host).isNotNull()).groupBy(F.col(host).alias("host")).agg(F.count("*").alias("documents"), *failures)
 
 
-def prior(hosts: DataFrame, rule: str) -> list[Column]:
-    """Aggregates over ``hosts`` from which ``shrunk`` takes the prior of ``rule``: its failures and the sum of failures^2 / documents."""
-    f = F.col(rule).cast("decimal(19,0)")
-    return [F.sum(f).alias(f"{rule}_f"), F.sum((f * f / F.col("documents").cast("decimal(19,0)")).cast(f"decimal(38,{DIGITS})")).alias(f"{rule}_q")]
+def moments(hosts: DataFrame, rules: tuple[Rule, ...]) -> list[Column]:
+    """Aggregates over ``hosts`` from which ``strength`` takes priors; hosts weigh alike, so that a very large one does not set its own prior."""
+    kind = f"decimal({DIGITS + 1},{DIGITS})"
+    n = F.col("documents").cast("decimal(19,0)")
+    rates = {r.name: (F.col(r.name).cast("decimal(19,0)") / n).cast(kind) for r in rules}
+    sums = [F.sum(x).alias(f"{r}_1") for r, x in rates.items()] + [F.sum(x * x).alias(f"{r}_2") for r, x in rates.items()]
+    return [F.count("*").alias("hosts"), F.sum((F.lit(1).cast("decimal(19,0)") / n).cast(kind)).alias("inverse"), *sums]
 
 
-def strength(documents: float, squares: float, hosts: int, failures: float, quotients: float) -> tuple[float, float] | None:
-    """(mean, a + b) of the beta prior; None for a + b if hosts differ by no more than chance does, or there is one only.
+def strength(hosts: int, inverse: float, rates: float, squares: float) -> tuple[float, float]:
+    """(mean, a + b) of the beta prior from sums over hosts: 1 / documents, rates, rates^2.
 
-    ``squares`` is the sum of documents^2 by host, ``quotients`` that of failures^2 / documents.
+    A rate spreads by ``mean (1 - mean) (1 / n + (1 - 1 / n) rho)`` with ``rho = 1 / (a + b + 1)``. a + b is infinite if hosts differ by no more
+    than chance does, or if there is one only.
     """
-    if not documents:
-        return None
-    mean = failures / documents
+    if not hosts:
+        return 0.0, float("inf")
+    mean, chance = rates / hosts, inverse / hosts
     within = mean * (1 - mean)
-    between = quotients - documents * mean * mean
-    free = documents - squares / documents - (hosts - 1)
-    if within <= 0 or free <= 0 or hosts < 2:
-        return mean, float("inf")
-    share = (between - (hosts - 1) * within) / (free * within)
-    if share <= 0:
+    if hosts < 2 or within <= 0 or chance >= 1:
         return mean, float("inf")
-    return mean, max(1 / min(share, 1.0) - 1, 0.0)
+    spread = (squares - hosts * mean * mean) / (hosts - 1)
+    rho = (spread / within - chance) / (1 - chance)
+    return mean, max(1 / min(rho, 1.0) - 1, 0.0) if rho > 0 else float("inf")
 
 
 def verdicts(hosts: DataFrame, rules: tuple[Rule, ...] = RULES, limit: float = LIMIT) -> DataFrame:
     """``host_counts`` plus the shrunk rate ``<rule>_rate`` of each rule and ``host_rejected``."""
-    n = F.col("documents").cast("decimal(19,0)")
-    total = hosts.agg(
-        F.count("*").alias("hosts"), F.coalesce(F.sum(n), F.lit(0)).alias("n"), F.coalesce(F.sum((n * n).cast("decimal(38,0)")), F.lit(0)).alias("n2"),
-        *[a for r in rules for a in prior(hosts, r.name)],
-    ).first()
+    total = hosts.agg(*moments(hosts, rules)).first()
     rates = []
     for r in rules:
-        found = strength(float(total["n"]), float(total["n2"]), total["hosts"], float(total[f"{r.name}_f"] or 0), float(total[f"{r.name}_q"] or 0))
-        mean, weight = found or (0.0, float("inf"))
+        mean, weight = strength(total["hosts"], *[float(total[c] or 0) for c in ("inverse", f"{r.name}_1", f"{r.name}_2")])
         pooled = F.lit(mean) if weight == float("inf") else (F.col(r.name) + F.lit(mean * weight)) / (F.col("documents") + F.lit(weight))
         rates.append(pooled.alias(f"{r.name}_rate"))
     judged = hosts.select("*", *rates)

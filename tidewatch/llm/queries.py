@@ -250,12 +250,11 @@ def op12_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rate_sql(name: str) -> str:
-    """Posterior mean of a host: the prior is the pooled rate where hosts differ by no more than chance, or there is one host."""
-    between = f"({name}_q - n * {name}_m * {name}_m)"
-    within, free = f"({name}_m * (1 - {name}_m))", "(n - n2 / n - (h - 1))"
-    share = f"({between} - (h - 1) * {within}) / ({free} * {within})"
-    weight = f"greatest(1 / least({share}, 1) - 1, 0)"
-    return f"""CASE WHEN h < 2 OR {within} <= 0 OR {free} <= 0 THEN {name}_m WHEN {share} <= 0 THEN {name}_m
+    """Posterior mean of a host; the mean of all hosts where they differ by no more than chance, or there is one."""
+    within = f"({name}_m * (1 - {name}_m))"
+    rho = f"((({name}_2 - h * {name}_m * {name}_m) / (h - 1)) / {within} - chance) / (1 - chance)"
+    weight = f"greatest(1 / least({rho}, 1) - 1, 0)"
+    return f"""CASE WHEN h < 2 OR {within} <= 0 OR chance >= 1 THEN {name}_m WHEN {rho} <= 0 THEN {name}_m
         ELSE ({name} + {name}_m * {weight}) / (documents + {weight}) END"""
 
 
@@ -274,8 +273,8 @@ nums AS MATERIALIZED (SELECT k, doc_id, source, len(w)::BIGINT AS n_words, coale
     FROM d LEFT JOIN repeats USING (k) LEFT JOIN lines USING (k)),
 hosts AS (SELECT source, count(*) AS documents, {", ".join(f"count(*) FILTER ({r.fails}) AS {r.name}" for r in host_rules.RULES)}
     FROM nums WHERE source IS NOT NULL GROUP BY source),
-total AS (SELECT count(*) AS h, sum(documents)::DOUBLE AS n, sum(documents * documents)::DOUBLE AS n2,
-    {", ".join(f"sum({r})::DOUBLE / sum(documents) AS {r}_m, sum({r}::DOUBLE * {r} / documents) AS {r}_q" for r in _RULE_NAMES)} FROM hosts),
+total AS (SELECT count(*) AS h, avg(1.0::DOUBLE / documents) AS chance,
+    {", ".join(f"avg({r}::DOUBLE / documents) AS {r}_m, sum(({r}::DOUBLE / documents) ** 2) AS {r}_2" for r in _RULE_NAMES)} FROM hosts),
 verdicts AS (SELECT source, greatest({", ".join(_rate_sql(r) for r in _RULE_NAMES)}) >= {host_rules.LIMIT} AS rejected FROM hosts CROSS JOIN total)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
     NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT coalesce(rejected, false) AS kept
