@@ -34,8 +34,8 @@ from tidewatch.llm.common import scratch_path
 
 #: Documents and list entries from which a block is closed.
 BLOCK_DOCS, BLOCK_ENTRIES = 8_192, 1 << 18
-#: Blocks in one file of the index.
-FILE_BLOCKS = 32
+#: Blocks in one file of the index, and blocks that one task answers: its time must not grow with the index.
+FILE_BLOCKS, TASK_BLOCKS = 32, 8
 #: Lists of at most this part of a block's documents are short.
 SHORT = 16
 #: Candidates that are looked up in the long lists at once.
@@ -274,7 +274,7 @@ def _answer(docs: DataFrame, block: Items, k: int) -> DataFrame:
     path = scratch_path(spark, "index")
     docs.mapInArrow(_indexing(context.broadcast(block.number)), _INDEX).write.option("maxRecordsPerFile", FILE_BLOCKS).parquet(path)
     index = spark.read.schema(_INDEX).parquet(path)
-    total = index.agg(F.sum(F.size("ids")).alias("n"), F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)).alias("l")).first()
+    total = index.agg(F.count("*").alias("blocks"), F.sum(F.size("ids")).alias("n"), F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)).alias("l")).first()
     # Entries of a term in a block are its documents there; at most ITEM_TERMS totals reach the driver.
     sizes = F.transform("starts", lambda s, i: F.when(i + 1 < F.size("starts"), F.get("starts", i + 1)).otherwise(F.size("docs")) - s)
     each = index.select(F.explode(F.arrays_zip(F.col("terms"), sizes.alias("size"))).alias("e")).select("e.terms", F.col("e.size").cast("long").alias("size"))
@@ -282,7 +282,8 @@ def _answer(docs: DataFrame, block: Items, k: int) -> DataFrame:
     for r in each.groupBy("terms").agg(F.sum("size").alias("df")).collect():
         weights[r["terms"]] = weight(total["n"], r["df"])
     corpus = Corpus(total["n"] or 0, total["l"] or 0, weights)
-    places = _merged(index.mapInArrow(_searching(context.broadcast(block.asked), corpus, k), _PLACES), k)
+    dealt = index.repartition(-(-total["blocks"] // TASK_BLOCKS) or 1)
+    places = _merged(dealt.mapInArrow(_searching(context.broadcast(block.asked), corpus, k), _PLACES), k)
     names = spark.createDataFrame(list(enumerate(block.ids)), "item int, item_id long")
     return places.join(F.broadcast(names), "item").select("item_id", "rank", "doc_id", "score")  # one row per item of a block
 
