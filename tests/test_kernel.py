@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import random
+import struct
 
 import numpy as np
 import pytest
@@ -29,8 +31,8 @@ def brute(rows):
     return out
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_prefix_matches_brute_force(spark, bounded):
+@pytest.mark.parametrize("bucket_values", [1, 20, 300])
+def test_prefix_matches_brute_force(spark, bucket_values):
     rng = np.random.default_rng(3)
     rows = []
     for g in ("a", "b", None):
@@ -41,7 +43,7 @@ def test_prefix_matches_brute_force(spark, bounded):
     rows += [("a", None, 1), ("b", float("nan"), 1)]
     df = spark.createDataFrame(rows, "g string, v double, w int")
     collapsed = kernel.collapse(df, ["g"], "v", {"w": F.col("w")})
-    got = kernel.ordered_prefix(collapsed, ["g"], ["w"], bounded, bucket_values=20).collect()
+    got = kernel.ordered_prefix(collapsed, ["g"], ["w"], bucket_values=bucket_values).collect()
     expected = brute(rows)
     assert {(r["g"], r["value"]) for r in got} == set(expected)
     for r in got:
@@ -75,3 +77,37 @@ def test_all_values_equal(spark):
 def test_empty_input(spark):
     df = spark.range(0).select(F.lit(4.0).alias("v"))
     assert kernel.ordered_prefix(kernel.collapse(df, [], "v", {"n": F.lit(1)}), [], ["n"]).count() == 0
+
+
+def test_ordered_bits_are_those_of_the_double(spark):
+    rng = random.Random(1)
+    values = [0.0, -0.0, math.inf, -math.inf, 5e-324, 1.7976931348623157e308]
+    for e in range(-1074, 1024):
+        power = math.ldexp(1.0, e)
+        values += [power, -power, math.nextafter(power, 0), math.nextafter(power, math.inf)]
+    values += [rng.choice([-1, 1]) * math.ldexp(rng.random(), rng.randint(-1060, 1020)) for _ in range(2000)]
+    got = spark.createDataFrame([(v,) for v in values], "value double").select("value", kernel.ordered_bits(F.col("value")).alias("b")).collect()
+    for r in got:
+        bits = struct.unpack("<q", struct.pack("<d", abs(r["value"])))[0]
+        assert r["b"] == (-bits if r["value"] < 0 else bits)
+
+
+def test_no_bucket_above_its_size_where_values_crowd(spark):
+    """200,000 values in a millionth of a cell, others spread over it, and two cells without any need to be cut."""
+    crowd = spark.range(200_000).select(F.lit("x").alias("g"), (F.lit(1.5) + F.col("id") * 2.0**-38).alias("value"))
+    wide = spark.range(2_000).select(F.lit("x").alias("g"), (F.lit(1.0) + F.col("id") / 2_000).alias("value"))
+    calm = spark.range(900).select(F.when(F.col("id") % 2 == 0, "x").alias("g"), (F.col("id") + 1024.0).alias("value"))
+    rows = crowd.union(wide).union(calm).distinct()
+    assert crowd.agg(F.max("value") - F.min("value")).first()[0] < 1e-6
+    for most in (1_000, 150_000):
+        placed = kernel.bucketed(rows, ["g"], most).cache()
+        sizes = placed.groupBy("g", "__bucket").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
+        assert max(r["n"] for r in sizes) <= most and sum(r["n"] for r in sizes) == rows.count()
+        assert len(sizes) <= 4 * rows.count() / most + 8
+        for g in {r["g"] for r in sizes}:  # NULL group too
+            mine = sorted((r["__bucket"], r["lo"], r["hi"]) for r in sizes if r["g"] == g and g is not None)
+            assert all(a[2] < b[1] for a, b in zip(mine, mine[1:]))
+        placed.unpersist()
+    got = kernel.ordered_prefix(rows.withColumn("n", F.lit(1)), ["g"], ["n"], bucket_values=1_000)
+    wrong = got.where("n_total not in (202450, 202449, 450)").count()
+    assert wrong == 0 and got.where("g = 'x'").agg(F.max("n_below") + 1).first()[0] == got.where("g = 'x'").count()

@@ -64,7 +64,7 @@ def _sides(df: DataFrame, groups: Sequence[str]) -> DataFrame:
     return collapse(df, groups, "value", {"a": base, "b": F.col("is_current")})
 
 
-def numeric_distances(sides: DataFrame, groups: Sequence[str] = ("feature",), bounded: bool = True) -> DataFrame:
+def numeric_distances(sides: DataFrame, groups: Sequence[str] = ("feature",)) -> DataFrame:
     """Two-sample distances per group from long rows (groups..., value, is_current).
 
     Columns: n_baseline, n_current, ks_statistic, ks_p_value, wasserstein (divided by the baseline
@@ -72,7 +72,7 @@ def numeric_distances(sides: DataFrame, groups: Sequence[str] = ("feature",), bo
     values leave no finite distance, ``wasserstein`` is NULL.
     """
     groups = list(groups)
-    pre = ordered_prefix(_sides(sides, groups), groups, ["a", "b"], bounded)
+    pre = ordered_prefix(_sides(sides, groups), groups, ["a", "b"])
     cdf_gap = F.abs(
         (F.col("a_below") + F.col("a")) / F.col("a_total") - (F.col("b_below") + F.col("b")) / F.col("b_total")
     )
@@ -112,7 +112,7 @@ def _inner_probabilities(bins: int) -> list[float]:
 
 def decile_edges(baseline_long: DataFrame, groups: Sequence[str] = ("feature",), bins: int = 10) -> DataFrame:
     """Inner bin edges per group: exact baseline quantiles at 1/bins .. (bins-1)/bins."""
-    return exact_quantiles(baseline_long, groups, "value", _inner_probabilities(bins), bounded=True).withColumnRenamed(
+    return exact_quantiles(baseline_long, groups, "value", _inner_probabilities(bins)).withColumnRenamed(
         "quantiles", "edges"
     )
 

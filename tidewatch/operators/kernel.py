@@ -5,16 +5,20 @@ for every distinct value of a group, the total weight of all smaller values.  A
 the group would put one hot group into one task.  Instead:
 
 1. rows collapse to one row per (group, value) with summed integer weights (map-side combine);
-2. values are cut into ordered buckets by a rule that depends only on exact aggregates (cell count,
-   minimum, maximum), so a recomputed task always lands in the same bucket;
+2. values are cut into ordered buckets by splitters that depend only on exact counts, so a recomputed
+   task always lands in the same bucket;
 3. the running sum runs inside one bucket, and the totals of the earlier buckets, a table of a few
    rows per group, are added by a join.
 
-The table of cells holds at most some thousand per group (two signs, two for each power of two that
-a double has).  Where the groups themselves are bounded (feature names, or no group at all) the
-caller says so with ``bounded`` and it is broadcast; otherwise it is shuffled like any other table.
-The table of buckets grows with the data, so how it is joined is left to Spark.  Buckets of a cell are of equal
-width: values that crowd into a small part of one cell still share a bucket.
+Splitters are found level by level on an order-preserving 64-bit integer of the double (its bits).  A cell
+is a sign and a power of two; a cell with more values than a bucket may hold is cut into children
+by the next bits, children next to each other are joined into buckets, and children that are overfull
+themselves are counted again by their next bits, down to children that cannot be.  So no bucket holds more than
+``bucket_values`` distinct values, wherever they crowd.  Levels that are not needed are empty tables, which
+adaptive execution takes out of the plan.
+
+What is sent around is a splitter for each ``bucket_values / 2`` distinct values at most (in arrays by cell), and only for
+overfull cells; rows find their bucket by bisection.  The table of buckets is of that size, too, and how it is joined is left to Spark.
 """
 
 from __future__ import annotations
@@ -24,11 +28,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A bucket is aimed to hold at most this many distinct values.
+# A bucket holds at most this many distinct values.
 BUCKET_VALUES = 250_000
-_CELLS_PER_OCTAVE = 2.0
-_CELL_SHIFT = 10_000
-_MAX_SUB = 1 << 24
+# Bits of the ordered integer below a cell (one for each sign and power of two), and below the children of the levels.
+_CELL_BITS = 52
+_LEVEL_BITS = (42, 16)
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -45,16 +49,105 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def _cell(value: Column) -> Column:
-    """Order-preserving coarse cell: sign and binary magnitude of the value.
+def ordered_bits(value: Column) -> Column:
+    """64-bit integer in the order of the doubles (neither NULL nor NaN): the bits of the magnitude, with its sign.
 
     Never NULL, and declared so: a join on it then adds no filter of its own, and all branches below
-    read one and the same shuffle.  Infinities have end cells of their own.
+    read one and the same shuffle.
+    """
+    size = F.abs(value)
+    # A logarithm may be off by one beside a power of two; the quotient, which is exact, tells.
+    guess = F.least(F.floor(F.log2(size)), F.lit(1023))
+    quotient = size / F.pow(F.lit(2.0), guess)
+    exponent = guess + F.when(quotient >= 2, 1).when(quotient < 1, -1).otherwise(0)
+    mantissa = F.when(quotient >= 2, quotient / 2).when(quotient < 1, quotient * 2).otherwise(quotient)
+    normal = (exponent + 1023) * F.lit(1 << _CELL_BITS) + ((mantissa - 1) * float(1 << _CELL_BITS)).cast("long")
+    tiny = (size * float(1 << 537) * float(1 << 537)).cast("long")
+    bits = (
+        F.when(size == float("inf"), F.lit(2047 << _CELL_BITS))
+        .when(size >= 2.0**-1022, normal)
+        .when(size > 0, tiny)
+        .otherwise(F.lit(0))
+        .cast("long")
+    )
+    return F.coalesce(F.when(value < 0, -bits).otherwise(bits), F.lit(0).cast("long"))
+
+
+def _splitters(rows: DataFrame, key: list[str], bucket_values: int) -> DataFrame:
+    """(key, __cell, __starts): ascending first integers of the buckets of each overfull cell; ``rows`` has key and ``__bits``.
+
+    Children up to half a bucket are joined until they pass a multiple of that half, so that a bucket stays below the whole; larger
+    ones are open and cut at the next level.  A child of the last level cannot be larger than half a bucket.
+    """
+    half = max(bucket_values // 2, 1)
+    levels = [b for b in _LEVEL_BITS if (1 << b) > half]
+    levels.append(max((b for b in _LEVEL_BITS if (1 << b) <= half), default=0))
+    found, narrowed = None, rows
+    above = _CELL_BITS
+    for bits in levels:
+        children = narrowed.groupBy(
+            *key, F.shiftright("__bits", above).alias("__parent"), F.shiftright("__bits", bits).alias("__child")
+        ).agg(F.count("*").alias("__n"))
+        parent = Window.partitionBy(*key, "__parent")
+        ordered = parent.orderBy("__child")
+        before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+        split = children.select(
+            *key,
+            "__parent",
+            "__child",
+            (F.col("__n") > half).alias("__open"),
+            F.floor(F.coalesce(F.sum("__n").over(before), F.lit(0)) / half).alias("__number"),
+            F.sum("__n").over(parent).alias("__all"),
+        )
+        if above == _CELL_BITS:  # a cell that one bucket can hold is one
+            split = split.where(F.col("__all") > bucket_values)
+        last_number, last_open = F.lag("__number").over(ordered), F.lag("__open").over(ordered)
+        first = F.col("__open") | last_number.isNull() | last_open | (last_number != F.col("__number"))
+        starts = split.select(
+            *key,
+            F.shiftright("__child", _CELL_BITS - bits).alias("__cell"),
+            F.shiftleft("__child", bits).alias("__start"),
+            "__child",
+            "__open",
+            first.alias("__first"),
+        )
+        mine = starts.where("__first").select(*key, "__cell", "__start")
+        found = mine if found is None else found.unionByName(mine)
+        # At most one open child for each half bucket of distinct values.
+        opened = F.broadcast(starts.where("__open").select(*key, F.col("__child").alias("__opened")))
+        on = [narrowed[k] == opened[k] for k in key] + [F.shiftright(narrowed["__bits"], bits) == opened["__opened"]]
+        narrowed = narrowed.join(opened, on, "left_semi")
+        above = bits
+    # Where an open child was cut, its start is there twice.
+    return found.groupBy(*key, "__cell").agg(F.array_sort(F.collect_set("__start")).alias("__starts"))
+
+
+def _bucket_of(bits: Column, cell: Column, starts: Column) -> Column:
+    """The last of ``starts`` that is not above ``bits``, by bisection; the cell's own first integer without any."""
+    state = F.struct(F.lit(0).alias("lo"), F.size(starts).alias("hi"))
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.shiftright(s["lo"] + s["hi"], 1)
+        up = F.get(starts, middle) <= bits
+        return F.struct(F.when(up, middle).otherwise(s["lo"]).alias("lo"), F.when(up, s["hi"]).otherwise(middle).alias("hi"))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(starts) + 1)).cast("int"))
+    return F.when(starts.isNull(), F.shiftleft(cell, _CELL_BITS)).otherwise(F.aggregate(steps, state, halve, lambda s: F.get(starts, s["lo"])))
+
+
+def bucketed(rows: DataFrame, key: Sequence[str], bucket_values: int = BUCKET_VALUES) -> DataFrame:
+    """``rows`` (key, ``value``, others) plus ``__bucket``, a number in the order of the values.
+
+    Rows of a key and bucket hold at most ``bucket_values`` values if values are distinct.
     """
-    magnitude = F.floor(F.log2(F.abs(value)) * _CELLS_PER_OCTAVE) + _CELL_SHIFT
-    magnitude = F.when(F.abs(value) == float("inf"), F.lit(3 * _CELL_SHIFT)).otherwise(magnitude)
-    cell = F.when(value > 0, magnitude).when(value < 0, -magnitude).otherwise(F.lit(0)).cast("long")
-    return F.coalesce(cell, F.lit(0).cast("long"))
+    key = list(key)
+    placed = rows.withColumn("__bits", ordered_bits(F.col("value")))
+    cells = _splitters(placed.select(*key, "__bits"), key, bucket_values)
+    cells = F.broadcast(cells.withColumnsRenamed({c: f"__r{c}" for c in [*key, "__cell"]}))
+    cell = F.shiftright("__bits", _CELL_BITS)
+    on = [F.col(k) == F.col(f"__r{k}") for k in key] + [cell == F.col("__r__cell")]
+    met = placed.join(cells, on, "left")
+    return met.withColumn("__bucket", _bucket_of(F.col("__bits"), cell, F.col("__starts"))).select(*rows.columns, "__bucket")
 
 
 def collapse(
@@ -73,7 +166,6 @@ def ordered_prefix(
     collapsed: DataFrame,
     groups: Sequence[str],
     weights: Sequence[str],
-    bounded: bool = False,
     bucket_values: int = BUCKET_VALUES,
 ) -> DataFrame:
     """Add to every collapsed row ``<w>_below``, ``<w>_total``, ``next_value`` and ``min_value``.
@@ -82,29 +174,13 @@ def ordered_prefix(
     value of the group (NULL for the largest).  Values that carry no weight are left out.
     """
     groups = list(groups)
-    small = F.broadcast if bounded or not groups else (lambda df: df)
     # One struct key: NULL group values match each other and the joins below stay plain equalities,
     # so they reuse the partitioning of the windows.
     key = ["__g"] if groups else []
     weight = sum((F.col(w) for w in weights), F.lit(0))
-    rows = collapsed.where(weight > 0).select(
-        *([F.struct(*groups).alias("__g")] if groups else []),
-        "value",
-        *weights,
-        _cell(F.col("value")).alias("__cell"),
-    )
-    cells = (
-        rows.groupBy(*key, "__cell")
-        .agg(F.count("*").alias("__n"), F.min("value").alias("__lo"), F.max("value").alias("__hi"))
-        .withColumn("__k", F.least(F.ceil(F.col("__n") / bucket_values), F.lit(_MAX_SUB)))
-    )
-    place = F.floor((F.col("value") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * F.col("__k"))
-    sub = F.when(F.col("__k") <= 1, F.lit(0)).otherwise(F.least(place, F.col("__k") - 1)).cast("long")
-    split = rows.join(small(cells), [*key, "__cell"]).select(
-        *key, "__cell", sub.alias("__sub"), "value", *weights
-    )
-
-    bucket = ["__cell", "__sub"]
+    rows = collapsed.where(weight > 0).select(*([F.struct(*groups).alias("__g")] if groups else []), "value", *weights)
+    split = bucketed(rows, key, bucket_values)
+    bucket = ["__bucket"]
     in_group = Window.partitionBy(*key).orderBy(*bucket)
     before = in_group.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*key)
@@ -122,7 +198,7 @@ def ordered_prefix(
 
     in_bucket = Window.partitionBy(*key, *bucket).orderBy("value")
     running = in_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    # Spread by the full bucket key: a join on the cell alone would leave a hot cell in one task.
+    # Spread by the full bucket key: by the group alone, a hot group would be one task.
     local = split.repartition(*key, *bucket).select(
         *key,
         *bucket,
@@ -147,7 +223,6 @@ def weighted_quantiles(
     groups: Sequence[str],
     weight: str,
     probabilities: Sequence[float],
-    bounded: bool = False,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: one row per group, array ``quantiles``.
 
@@ -155,7 +230,7 @@ def weighted_quantiles(
     read off the prefix counts, so no reducer holds a whole group.
     """
     groups = list(groups)
-    pre = ordered_prefix(collapsed, groups, [weight], bounded)
+    pre = ordered_prefix(collapsed, groups, [weight])
     below, total = F.col(f"{weight}_below"), F.col(f"{weight}_total")
     upto = below + F.col(weight)
     wanted = F.array(
@@ -183,8 +258,8 @@ def weighted_quantiles(
 
 
 def exact_quantiles(
-    df: DataFrame, groups: Sequence[str], value: str, probabilities: Sequence[float], bounded: bool = False
+    df: DataFrame, groups: Sequence[str], value: str, probabilities: Sequence[float]
 ) -> DataFrame:
     """Exact quantiles of a row-level column, see :func:`weighted_quantiles`."""
     counted = collapse(df, groups, value, {"n": F.lit(1)})
-    return weighted_quantiles(counted, groups, "n", probabilities, bounded)
+    return weighted_quantiles(counted, groups, "n", probabilities)

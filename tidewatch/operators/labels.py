@@ -7,8 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import as_of_literal, correctness, error_type, within_last
+from tidewatch.functions.columns import correctness, error_type
 from tidewatch.functions.stats import safe_ratio
+from tidewatch.operators import windows
 
 LABEL_COLUMNS = ("ground_truth", "ground_truth_timestamp", "ground_truth_source", "days_to_ground_truth")
 
@@ -27,8 +28,8 @@ def recent_updates(updates: DataFrame, as_of: datetime | str | None = None, wind
     if as_of is None:
         return updates
     if window_hours is not None:
-        return updates.where(within_last("confirmation_timestamp", as_of, hours=window_hours))
-    return updates.where(F.col("confirmation_timestamp") <= as_of_literal(as_of))
+        return windows.last(updates, "confirmation_timestamp", as_of, hours=window_hours)
+    return windows.until(updates, "confirmation_timestamp", as_of)
 
 
 def latest_labels(updates: DataFrame) -> DataFrame:

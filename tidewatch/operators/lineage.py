@@ -7,7 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import feature_severity, prediction_category, prediction_match, within_last
+from tidewatch.functions.columns import feature_severity, prediction_category, prediction_match
+from tidewatch.operators import windows as spans
 from tidewatch.operators.kernel import join_on
 
 RUN_COLUMNS = (
@@ -150,7 +151,7 @@ def version_consistency(expected: DataFrame, predictions: DataFrame, as_of: date
     A version mismatch fails the endpoint; a run-id mismatch, an unknown id and no recent record are warnings.
     """
     counts = (
-        predictions.where(within_last("request_timestamp", as_of, hours=hours))
+        spans.last(predictions, "request_timestamp", as_of, hours=hours)
         .groupBy("endpoint_name", "model_version", "mlflow_run_id")
         .agg(F.count("*").alias("n"))
     )
@@ -191,7 +192,7 @@ def accuracy_rows(predictions: DataFrame, updates: DataFrame, as_of: datetime |
     )
     start = F.date_sub(F.lit(str(as_of)).cast("date"), days).cast("timestamp_ntz")
     return (
-        predictions.where(F.col("request_timestamp") >= start)
+        spans.since(predictions, "request_timestamp", start)
         .join(labels, "inference_id")
         .select(
             F.to_date("request_timestamp").alias("inference_date"),

@@ -8,8 +8,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import bucket_start, within_last
+from tidewatch.functions.columns import bucket_start
 from tidewatch.functions.stats import safe_ratio
+from tidewatch.operators import windows
 from tidewatch.operators.kernel import exact_quantiles, join_on
 
 
@@ -18,8 +19,7 @@ def _n(c: Column) -> Column:
 
 
 def endpoint_rows(df: DataFrame, endpoint: str | None, as_of: datetime | str, **span: int) -> DataFrame:
-    rows = df.where(within_last("request_timestamp", as_of, **span))
-    return rows if endpoint is None else rows.where(F.col("endpoint_name") == endpoint)
+    return windows.last(df, "request_timestamp", as_of, endpoint, **span)
 
 
 def version_distribution(df: DataFrame, endpoint: str, as_of: datetime | str, hours: int = 24) -> DataFrame:

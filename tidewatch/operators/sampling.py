@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import hash_bucket
+from tidewatch.operators import windows
 
 
 def sample_order(key: str, seed: int = 0) -> Column:
@@ -66,7 +67,8 @@ def split_statistics(df: DataFrame, label: str) -> DataFrame:
 def since_last_run(df: DataFrame, ts: str, runs: DataFrame, endpoint: str, as_of: datetime | str, cold_start_hours: int = 24) -> DataFrame:
     """Rows of an endpoint newer than its last monitoring run, up to ``as_of``.
 
-    Without an earlier run the last ``cold_start_hours`` are taken.  The boundary is one row.
+    Without an earlier run the last ``cold_start_hours`` are taken.  The boundary is a scalar subquery: it is known before the
+    log is opened, so that it prunes days.
     """
     upper = F.lit(str(as_of)).cast("timestamp_ntz")
     last = runs.where(F.col("endpoint_name") == endpoint).where(F.col("monitoring_timestamp") < upper)
@@ -76,5 +78,6 @@ def since_last_run(df: DataFrame, ts: str, runs: DataFrame, endpoint: str, as_of
             upper - F.make_dt_interval(F.lit(0), F.lit(cold_start_hours)),
         ).alias("__after")
     )
-    rows = df.where((F.col("endpoint_name") == endpoint) & (F.col(ts) <= upper))
-    return rows.crossJoin(F.broadcast(bound)).where(F.col(ts) > F.col("__after")).drop("__after")
+    after = bound.scalar()
+    rows = windows.until(df.where(F.col("endpoint_name") == endpoint), ts, upper)
+    return rows.where(windows.days_between(df, ts, after, None) & (F.col(ts) > after))

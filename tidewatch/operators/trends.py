@@ -327,7 +327,7 @@ def side_summary(sides: DataFrame, value: str) -> DataFrame:
     stats = sides.groupBy("is_current").agg(
         F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev(value).alias("stddev")
     )
-    median = exact_quantiles(sides, ["is_current"], value, [0.5], bounded=True).select(
+    median = exact_quantiles(sides, ["is_current"], value, [0.5]).select(
         "is_current", F.col("quantiles")[0].alias("median")
     )
     return join_on(stats, median, ["is_current"])

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.config import FeatureSchema
-from tidewatch.functions.columns import within_last
-from tidewatch.operators import drift, labels, prep, quality, sampling, verdict
+from tidewatch.operators import drift, labels, prep, quality, sampling, verdict, windows
 from tidewatch.operators.kernel import join_on
 
 MIN_SAMPLES = 100
@@ -20,8 +19,7 @@ DEFAULT_BASELINE_AUC = 0.92
 def current_window(
     predictions: DataFrame, as_of: datetime | str, lookback_days: int, endpoint: str | None = None
 ) -> DataFrame:
-    rows = predictions.where(within_last("request_timestamp", as_of, days=lookback_days))
-    return rows if endpoint is None else rows.where(F.col("endpoint_name") == endpoint)
+    return windows.last(predictions, "request_timestamp", as_of, endpoint, days=lookback_days)
 
 
 def feature_verdicts(

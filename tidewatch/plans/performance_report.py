@@ -8,8 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import within_last
-from tidewatch.operators import labels, quality
+from tidewatch.operators import labels, quality, windows
 
 
 @dataclass(frozen=True)
@@ -23,8 +22,7 @@ class PerformanceReport:
 def labelled_predictions(
     predictions: DataFrame, as_of: datetime | str, endpoint: str | None = None, days: int = 30
 ) -> DataFrame:
-    rows = predictions.where(F.col("ground_truth").isNotNull()).where(within_last("request_timestamp", as_of, days=days))
-    return rows if endpoint is None else rows.where(F.col("endpoint_name") == endpoint)
+    return windows.last(predictions, "request_timestamp", as_of, endpoint, days=days).where(F.col("ground_truth").isNotNull())
 
 
 def performance_report(
@@ -39,15 +37,13 @@ def performance_report(
 ) -> PerformanceReport:
     """All parts lazily; ``coverage.status`` is ``insufficient_ground_truth`` below ``min_samples``
     labelled rows, and the other parts are empty then."""
-    window = predictions.where(within_last("request_timestamp", as_of, days=days))
-    if endpoint is not None:
-        window = window.where(F.col("endpoint_name") == endpoint)
+    window = windows.last(predictions, "request_timestamp", as_of, endpoint, days=days)
     coverage = labels.label_coverage(window).withColumn(
         "status", F.when(F.col("with_ground_truth") >= min_samples, "ok").otherwise("insufficient_ground_truth")
     )
     rows = labelled_predictions(predictions, as_of, endpoint, days)
     overall = quality.performance_metrics(rows, min_samples=min_samples)
-    windows = quality.windowed_metrics(rows, "request_timestamp", unit, min_samples=min_samples)
+    by_unit = quality.windowed_metrics(rows, "request_timestamp", unit, min_samples=min_samples)
     return PerformanceReport(
-        coverage, overall, windows, quality.degradation_alerts(windows, alert_threshold, baseline_auc=baseline_auc)
+        coverage, overall, by_unit, quality.degradation_alerts(by_unit, alert_threshold, baseline_auc=baseline_auc)
     )

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.config import FeatureSchema
+from tidewatch.operators import windows
 
 
 def read_table(
@@ -23,6 +25,20 @@ def read_table(
     return df if limit is None else df.limit(limit)
 
 
+def read_log(
+    spark: SparkSession,
+    table: str,
+    start: datetime | str,
+    end: datetime | str,
+    endpoint: str | None = None,
+    columns: Sequence[str] | None = None,
+    ts: str = "request_timestamp",
+) -> DataFrame:
+    """Rows of ``[start, end)`` of a table by day: only the folders of those days (and of the endpoint) are listed and read."""
+    rows = windows.half_open(read_table(spark, table), ts, start, end, endpoint)
+    return rows.select(*columns) if columns else rows
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, header: bool = True) -> DataFrame:
     """CSV with a declared schema; types are inferred (an extra pass) only when none is given."""
     reader = spark.read.option("header", header)

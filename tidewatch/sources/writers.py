@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.config import spark_type
-from tidewatch.functions.columns import half_open
+from tidewatch.operators import windows
 from tidewatch.operators.prep import NON_FEATURES, training_projection
 from tidewatch.operators.verdict import conform_verdicts
 
@@ -72,7 +72,7 @@ def time_slice(
     df: DataFrame, ts: str, start: datetime | str, end: datetime | str, columns: Sequence[str], limit: int | None = None
 ) -> DataFrame:
     """Feature columns of ``[start, end)``, oldest first when a row limit is given."""
-    rows = df.where(half_open(ts, start, end))
+    rows = windows.half_open(df, ts, start, end)
     if limit is not None:
         rows = rows.orderBy(ts, *columns).limit(limit)
     return rows.select(*columns)

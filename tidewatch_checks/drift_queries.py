@@ -232,7 +232,7 @@ def custom_test(t: Tables):
 def ordered_prefix(t: Tables):
     weights = {"a": 1 - F.col("is_current"), "b": F.col("is_current")}
     collapsed = kernel.collapse(t.line_sides, ["feature"], "value", weights)
-    return kernel.ordered_prefix(collapsed, ["feature"], ["a", "b"], bounded=True).drop("min_value")
+    return kernel.ordered_prefix(collapsed, ["feature"], ["a", "b"]).drop("min_value")
 
 
 PERIOD_SQL = """SELECT day, endpoint_name, feature, psi, CAST(n AS BIGINT) AS n_current FROM fpsi"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import columns as c
 from tidewatch.config import FeatureSchema
-from tidewatch.operators import features, ops, prep, sampling, validate
+from tidewatch.operators import features, ops, prep, sampling, validate, windows
 from tidewatch.plans.scoring import with_scores
 from tidewatch_checks.registry import check
 from tidewatch_checks.tables import AS_OF, LINE_SCHEMA, NUMERIC, PAYLOAD_SCHEMA, TREND_FEATURES, Tables
@@ -168,12 +168,13 @@ TS = "request_timestamp"
           AND {TS} > TIMESTAMP '2024-01-01 20:00:00' - INTERVAL 12 HOUR""",
 )
 def time_filters(t: Tables):
+    """Every window over the log by day and endpoint."""
     parts = {
-        "lookback": t.pred.where(c.within_last(TS, AS_OF, hours=36)),
-        "half_open": t.pred.where(c.half_open(TS, "2024-01-10 00:00:00", "2024-01-12 00:00:00")),
-        "closed": t.pred.where(c.closed(TS, "2024-01-10 00:00:00", "2024-01-12 00:00:00")),
-        "since_last_run": sampling.since_last_run(t.pred, TS, t.runs, "ep-a", "2024-01-20 12:00:00"),
-        "cold_start": sampling.since_last_run(t.pred, TS, t.runs, "ep-a", "2024-01-01 20:00:00", 12),
+        "lookback": windows.last(t.log, TS, AS_OF, hours=36),
+        "half_open": windows.half_open(t.log, TS, "2024-01-10 00:00:00", "2024-01-12 00:00:00"),
+        "closed": windows.closed(t.log, TS, "2024-01-10 00:00:00", "2024-01-12 00:00:00"),
+        "since_last_run": sampling.since_last_run(t.log, TS, t.runs, "ep-a", "2024-01-20 12:00:00"),
+        "cold_start": sampling.since_last_run(t.log, TS, t.runs, "ep-a", "2024-01-01 20:00:00", 12),
     }
     out = None
     for name, df in parts.items():

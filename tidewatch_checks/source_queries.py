@@ -24,6 +24,18 @@ def table_read(t: Tables):
     return readers.read_table(t.spark, f"{t.sf_dir}/lineitem.parquet", ["l_orderkey", "l_quantity"], "l_returnflag = 'R' AND l_quantity > 10")
 
 
+@check(
+    "a1_log_window",
+    """SELECT inference_id, request_timestamp, prediction, probability_fraud FROM pred
+       WHERE request_timestamp >= TIMESTAMP '2024-01-10 06:00:00' AND request_timestamp < TIMESTAMP '2024-01-12' AND endpoint_name = 'ep-a'""",
+    "probability_fraud",
+)
+def log_window(t: Tables):
+    """Two of the log's days and one endpoint, out of its folders."""
+    columns = ["inference_id", "request_timestamp", "prediction", "probability_fraud"]
+    return readers.read_log(t.spark, t.by_day(t.pred, "log"), "2024-01-10 06:00:00", "2024-01-12 00:00:00", "ep-a", columns)
+
+
 @check("a2_csv_read", "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders", "o_totalprice")
 def csv_read(t: Tables):
     path = scratch_path(t.spark, "orders-csv")

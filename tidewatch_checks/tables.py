@@ -18,8 +18,8 @@ from tidewatch.operators import drift, labels, lineage, quality, verdict
 from tidewatch.functions import columns as c
 from tidewatch.plans.drift_check import monitoring_runs
 from tidewatch.plans.scoring import with_scores
-from tidewatch.session import cut_lineage
-from tidewatch.sources.writers import conform_log
+from tidewatch.session import cut_lineage, scratch_path
+from tidewatch.sources.writers import conform_log, write_table
 
 AS_OF = "2024-01-31 00:00:00"
 SWITCH = "2024-01-16 00:00:00"
@@ -43,6 +43,7 @@ LINE_SCHEMA = FeatureSchema(
 )
 
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
+_FOLDERS: dict[tuple[str, str, str], str] = {}
 
 
 def stored(name: str, sf_dir: str, build) -> DataFrame:
@@ -109,6 +110,25 @@ class Tables:
         )
         return conform_log(with_scores(base))
 
+    def by_day(self, rows: DataFrame, name: str) -> str:
+        """Folder with ``rows`` (a log) by day and endpoint, written once per application and input folder."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _FOLDERS:
+            path = scratch_path(self.spark, name)
+            write_table(rows.withColumn("request_date", F.to_date("request_timestamp")), path, "append", ["request_date", "endpoint_name"])
+            _FOLDERS[key] = path
+        return _FOLDERS[key]
+
+    @cached_property
+    def log(self) -> DataFrame:
+        """The prediction log as ingest stores it: by day and endpoint."""
+        return self.spark.read.parquet(self.by_day(self.pred, "log"))
+
+    @cached_property
+    def labelled_log(self) -> DataFrame:
+        """The same with the labels known by the reference time."""
+        return self.spark.read.parquet(self.by_day(self.lpred, "labelled-log"))
+
     @cached_property
     def upd(self) -> DataFrame:
         """Label feed; purchases get a second, opposite confirmation a day later."""
