@@ -11,7 +11,7 @@ the group would put one hot group into one task.  Instead:
    rows per group, are added by a join.
 
 Splitters are found level by level on an order-preserving 64-bit integer of the double (its bits).  A cell
-is a sign and a power of two; a cell with more values than a bucket may hold is cut into children
+is a sign and half a power of two; a cell with more values than a bucket may hold is cut into children
 by the next bits, children next to each other are joined into buckets, and children that are overfull
 themselves are counted again by their next bits, down to children that cannot be.  So no bucket holds more than
 ``bucket_values`` distinct values, wherever they crowd.  Levels that are not needed are empty tables, which
@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 
 # A bucket holds at most this many distinct values.
 BUCKET_VALUES = 250_000
-# Bits of the ordered integer below a cell (one for each sign and power of two), and below the children of the levels.
-_CELL_BITS = 52
+# Bits of the ordered integer below a power of two, and below the children of each level.
+_MANTISSA_BITS = 52
 _LEVEL_BITS = (42, 16)
+_CELL_SHIFT = 10_000
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -49,32 +50,27 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def ordered_bits(value: Column) -> Column:
-    """64-bit integer in the order of the doubles (neither NULL nor NaN): the bits of the magnitude, with its sign.
+# Order-preserving coarse cell: sign and half power of two.  Infinities have end cells of their own.
+_CELL = f"""coalesce(bigint(CASE WHEN value = 0 THEN 0 WHEN abs(value) = double('Infinity') THEN sign(value) * {3 * _CELL_SHIFT}
+    ELSE sign(value) * (floor(log2(abs(value)) * 2) + {_CELL_SHIFT}) END), 0L)"""
 
-    Never NULL, and declared so: a join on it then adds no filter of its own, and all branches below
-    read one and the same shuffle.
-    """
-    size = F.abs(value)
-    # A logarithm may be off by one beside a power of two; the quotient, which is exact, tells.
-    guess = F.least(F.floor(F.log2(size)), F.lit(1023))
-    quotient = size / F.pow(F.lit(2.0), guess)
-    exponent = guess + F.when(quotient >= 2, 1).when(quotient < 1, -1).otherwise(0)
-    mantissa = F.when(quotient >= 2, quotient / 2).when(quotient < 1, quotient * 2).otherwise(quotient)
-    normal = (exponent + 1023) * F.lit(1 << _CELL_BITS) + ((mantissa - 1) * float(1 << _CELL_BITS)).cast("long")
-    tiny = (size * float(1 << 537) * float(1 << 537)).cast("long")
-    bits = (
-        F.when(size == float("inf"), F.lit(2047 << _CELL_BITS))
-        .when(size >= 2.0**-1022, normal)
-        .when(size > 0, tiny)
-        .otherwise(F.lit(0))
-        .cast("long")
-    )
-    return F.coalesce(F.when(value < 0, -bits).otherwise(bits), F.lit(0).cast("long"))
+# The bits of a double as an integer of its magnitude with its sign.  A logarithm may be off by one beside a
+# power of two; the quotient, which is exact, tells.  Written as text: a few expressions to parse, not some hundred calls.
+_EXPONENT = "__e + CASE WHEN __q >= 2 THEN 1 WHEN __q < 1 THEN -1 ELSE 0 END"
+_MANTISSA = "CASE WHEN __q >= 2 THEN __q / 2 WHEN __q < 1 THEN __q * 2 ELSE __q END"
+_BITS = f"""CASE WHEN value < 0 THEN -1L ELSE 1L END * CASE WHEN abs(value) = double('Infinity') THEN {2047 << _MANTISSA_BITS}L
+    WHEN abs(value) >= power(2.0D, -1022) THEN ({_EXPONENT} + 1023) * {1 << _MANTISSA_BITS}L + bigint(({_MANTISSA} - 1) * {1 << _MANTISSA_BITS}L)
+    WHEN abs(value) > 0 THEN bigint(abs(value) * power(2.0D, 537) * power(2.0D, 537)) ELSE 0L END"""
+
+
+def with_bits(rows: DataFrame) -> DataFrame:
+    """``rows`` plus ``__bits``: a 64-bit integer in the order of ``value`` (double, neither NULL nor NaN)."""
+    guessed = rows.selectExpr("*", "least(floor(log2(abs(value))), 1023) AS __e").selectExpr("*", "abs(value) / power(2.0D, __e) AS __q")
+    return guessed.selectExpr(*rows.columns, f"{_BITS} AS __bits")
 
 
 def _splitters(rows: DataFrame, key: list[str], bucket_values: int) -> DataFrame:
-    """(key, __cell, __starts): ascending first integers of the buckets of each overfull cell; ``rows`` has key and ``__bits``.
+    """(key, __starts): ascending first integers of the buckets of each overfull cell; ``rows`` has ``key`` (with the cell) and ``value``.
 
     Children up to half a bucket are joined until they pass a multiple of that half, so that a bucket stays below the whole; larger
     ones are open and cut at the next level.  A child of the last level cannot be larger than half a bucket.
@@ -82,72 +78,53 @@ def _splitters(rows: DataFrame, key: list[str], bucket_values: int) -> DataFrame
     half = max(bucket_values // 2, 1)
     levels = [b for b in _LEVEL_BITS if (1 << b) > half]
     levels.append(max((b for b in _LEVEL_BITS if (1 << b) <= half), default=0))
-    found, narrowed = None, rows
-    above = _CELL_BITS
+    # At most one open cell or child for each half bucket of distinct values.
+    opened = rows.groupBy(*key).agg(F.count("*").alias("__n")).where(f"__n > {bucket_values}").drop("__n")
+    found, on, by = None, key, ", ".join(key)
     for bits in levels:
-        children = narrowed.groupBy(
-            *key, F.shiftright("__bits", above).alias("__parent"), F.shiftright("__bits", bits).alias("__child")
-        ).agg(F.count("*").alias("__n"))
-        parent = Window.partitionBy(*key, "__parent")
-        ordered = parent.orderBy("__child")
-        before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-        split = children.select(
-            *key,
-            "__parent",
+        inside = with_bits(rows).selectExpr(*key, "__bits", *([f"shiftright(__bits, {above}) AS __opened"] if on != key else []))
+        narrowed = inside.join(F.broadcast(opened), on, "left_semi")
+        children = narrowed.selectExpr(*on, f"shiftright(__bits, {bits}) AS __child").groupBy(*on, "__child").agg(F.count("*").alias("__n"))
+        ordered = f"(PARTITION BY {by} ORDER BY __child"
+        split = children.selectExpr(
+            *on,
             "__child",
-            (F.col("__n") > half).alias("__open"),
-            F.floor(F.coalesce(F.sum("__n").over(before), F.lit(0)) / half).alias("__number"),
-            F.sum("__n").over(parent).alias("__all"),
+            f"__n > {half} AS __open",
+            f"floor(coalesce(sum(__n) OVER {ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / {half}) AS __number",
         )
-        if above == _CELL_BITS:  # a cell that one bucket can hold is one
-            split = split.where(F.col("__all") > bucket_values)
-        last_number, last_open = F.lag("__number").over(ordered), F.lag("__open").over(ordered)
-        first = F.col("__open") | last_number.isNull() | last_open | (last_number != F.col("__number"))
-        starts = split.select(
+        starts = split.selectExpr(
             *key,
-            F.shiftright("__child", _CELL_BITS - bits).alias("__cell"),
-            F.shiftleft("__child", bits).alias("__start"),
-            "__child",
+            f"shiftleft(__child, {bits}) AS __start",
+            "__child AS __opened",
             "__open",
-            first.alias("__first"),
+            f"__open OR coalesce(lag(__open) OVER {ordered}) OR lag(__number) OVER {ordered}) != __number, true) AS __first",
         )
-        mine = starts.where("__first").select(*key, "__cell", "__start")
+        mine = starts.where("__first").select(*key, "__start")
         found = mine if found is None else found.unionByName(mine)
-        # At most one open child for each half bucket of distinct values.
-        opened = F.broadcast(starts.where("__open").select(*key, F.col("__child").alias("__opened")))
-        on = [narrowed[k] == opened[k] for k in key] + [F.shiftright(narrowed["__bits"], bits) == opened["__opened"]]
-        narrowed = narrowed.join(opened, on, "left_semi")
-        above = bits
+        opened, above = starts.where("__open").select(*key, "__opened"), bits
+        on, by = [*key, "__opened"], ", ".join([*key, "__opened"])
     # Where an open child was cut, its start is there twice.
-    return found.groupBy(*key, "__cell").agg(F.array_sort(F.collect_set("__start")).alias("__starts"))
-
-
-def _bucket_of(bits: Column, cell: Column, starts: Column) -> Column:
-    """The last of ``starts`` that is not above ``bits``, by bisection; the cell's own first integer without any."""
-    state = F.struct(F.lit(0).alias("lo"), F.size(starts).alias("hi"))
+    return found.groupBy(*key).agg(F.expr("array_sort(collect_set(__start))").alias("__starts"))
 
-    def halve(s: Column, _: Column) -> Column:
-        middle = F.shiftright(s["lo"] + s["hi"], 1)
-        up = F.get(starts, middle) <= bits
-        return F.struct(F.when(up, middle).otherwise(s["lo"]).alias("lo"), F.when(up, s["hi"]).otherwise(middle).alias("hi"))
 
-    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(starts) + 1)).cast("int"))
-    return F.when(starts.isNull(), F.shiftleft(cell, _CELL_BITS)).otherwise(F.aggregate(steps, state, halve, lambda s: F.get(starts, s["lo"])))
+# The last of ``__starts`` that is not above ``__bits``, by bisection; zero in a cell that is one bucket.
+_START = """CASE WHEN __starts IS NULL THEN 0L ELSE aggregate(
+    sequence(0, int(ceil(log2(size(__starts) + 1)))), struct(0 AS lo, size(__starts) AS hi),
+    (s, step) -> CASE WHEN get(__starts, shiftright(s.lo + s.hi, 1)) <= __bits THEN struct(shiftright(s.lo + s.hi, 1) AS lo, s.hi AS hi)
+                      ELSE struct(s.lo AS lo, shiftright(s.lo + s.hi, 1) AS hi) END,
+    s -> get(__starts, s.lo)) END"""
+_BUCKET = ["__cell", "__start"]
 
 
 def bucketed(rows: DataFrame, key: Sequence[str], bucket_values: int = BUCKET_VALUES) -> DataFrame:
-    """``rows`` (key, ``value``, others) plus ``__bucket``, a number in the order of the values.
+    """``rows`` (key, ``value``, others) plus ``__cell`` and ``__start``, which together name a bucket and order buckets as the values are.
 
-    Rows of a key and bucket hold at most ``bucket_values`` values if values are distinct.
+    Rows of a key and bucket hold at most ``bucket_values`` values if values are distinct.  Where no cell is overfull, only the cell is computed.
     """
-    key = list(key)
-    placed = rows.withColumn("__bits", ordered_bits(F.col("value")))
-    cells = _splitters(placed.select(*key, "__bits"), key, bucket_values)
-    cells = F.broadcast(cells.withColumnsRenamed({c: f"__r{c}" for c in [*key, "__cell"]}))
-    cell = F.shiftright("__bits", _CELL_BITS)
-    on = [F.col(k) == F.col(f"__r{k}") for k in key] + [cell == F.col("__r__cell")]
-    met = placed.join(cells, on, "left")
-    return met.withColumn("__bucket", _bucket_of(F.col("__bits"), cell, F.col("__starts"))).select(*rows.columns, "__bucket")
+    placed = rows.selectExpr("*", f"{_CELL} AS __cell")
+    key = [*key, "__cell"]
+    cells = _splitters(placed.select(*key, "value"), key, bucket_values)
+    return with_bits(placed.join(F.broadcast(cells), key, "left")).selectExpr(*placed.columns, f"{_START} AS __start")
 
 
 def collapse(
@@ -180,7 +157,7 @@ def ordered_prefix(
     weight = sum((F.col(w) for w in weights), F.lit(0))
     rows = collapsed.where(weight > 0).select(*([F.struct(*groups).alias("__g")] if groups else []), "value", *weights)
     split = bucketed(rows, key, bucket_values)
-    bucket = ["__bucket"]
+    bucket = _BUCKET
     in_group = Window.partitionBy(*key).orderBy(*bucket)
     before = in_group.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*key)
