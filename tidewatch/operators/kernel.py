@@ -144,31 +144,39 @@ def ordered_prefix(
     groups: Sequence[str],
     weights: Sequence[str],
     bucket_values: int = BUCKET_VALUES,
+    sums: Sequence[str] = (),
+    latest: Sequence[str] = (),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Add to every collapsed row ``<w>_below``, ``<w>_total``, ``next_value`` and ``min_value``.
 
     ``<w>_below`` is the weight of strictly smaller values, ``next_value`` the next larger distinct
-    value of the group (NULL for the largest).  Values that carry no weight are left out.
+    value of the group (NULL for the largest).  Values that carry no weight are left out.  Columns in ``sums``
+    (any numbers) get the same sums; those in ``latest``, which never fall as values rise and may be NULL, get ``<c>_latest``, the last one up to
+    and with the row; those in ``keep`` are passed on.
     """
     groups = list(groups)
     # One struct key: NULL group values match each other and the joins below stay plain equalities,
     # so they reuse the partitioning of the windows.
     key = ["__g"] if groups else []
+    added = [*weights, *sums]
     weight = sum((F.col(w) for w in weights), F.lit(0))
-    rows = collapsed.where(weight > 0).select(*([F.struct(*groups).alias("__g")] if groups else []), "value", *weights)
+    chosen = ["value", *added, *latest, *keep]
+    rows = collapsed.where(weight > 0).select(*([F.struct(*groups).alias("__g")] if groups else []), *chosen)
     split = bucketed(rows, key, bucket_values)
     bucket = _BUCKET
     in_group = Window.partitionBy(*key).orderBy(*bucket)
     before = in_group.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*key)
     totals = split.groupBy(*key, *bucket).agg(
-        *[F.sum(w).alias(f"__t_{w}") for w in weights], F.min("value").alias("__first")
+        *[F.sum(w).alias(f"__t_{w}") for w in added], *[F.max(c).alias(f"__m_{c}") for c in latest], F.min("value").alias("__first")
     )
     offsets = totals.select(
         *key,
         *bucket,
-        *[F.coalesce(F.sum(f"__t_{w}").over(before), F.lit(0)).alias(f"__o_{w}") for w in weights],
-        *[F.sum(f"__t_{w}").over(whole).alias(f"{w}_total") for w in weights],
+        *[F.coalesce(F.sum(f"__t_{w}").over(before), F.lit(0)).alias(f"__o_{w}") for w in added],
+        *[F.sum(f"__t_{w}").over(whole).alias(f"{w}_total") for w in added],
+        *[F.max(f"__m_{c}").over(before).alias(f"__b_{c}") for c in latest],
         F.lead("__first").over(in_group).alias("__next_first"),
         F.min("__first").over(whole).alias("min_value"),
     )
@@ -179,17 +187,17 @@ def ordered_prefix(
     local = split.repartition(*key, *bucket).select(
         *key,
         *bucket,
-        "value",
-        *weights,
-        *[F.coalesce(F.sum(w).over(running), F.lit(0)).alias(f"__l_{w}") for w in weights],
+        *chosen,
+        *[F.coalesce(F.sum(w).over(running), F.lit(0)).alias(f"__l_{w}") for w in added],
+        *[F.max(c).over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)).alias(f"__u_{c}") for c in latest],
         F.lead("value").over(in_bucket).alias("__next_local"),
     )
     return local.join(offsets, [*key, *bucket]).select(
         *[F.col(f"__g.{g}").alias(g) for g in groups],
-        "value",
-        *weights,
-        *[(F.col(f"__l_{w}") + F.col(f"__o_{w}")).alias(f"{w}_below") for w in weights],
-        *[F.col(f"{w}_total") for w in weights],
+        *chosen,
+        *[(F.col(f"__l_{w}") + F.col(f"__o_{w}")).alias(f"{w}_below") for w in added],
+        *[F.col(f"{w}_total") for w in added],
+        *[F.greatest(f"__u_{c}", f"__b_{c}").alias(f"{c}_latest") for c in latest],
         F.coalesce("__next_local", "__next_first").alias("next_value"),
         "min_value",
     )
