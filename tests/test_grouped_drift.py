@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections import Counter
 
@@ -9,7 +10,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators import drift, grouped_drift, kernel
+from tidewatch.operators import drift, grouped_drift, kernel, lineage, verdict
+from tidewatch.operators.verdict import VERDICT_SCHEMA
+from tidewatch.plans import drift_check
 
 GROUPS = ["endpoint_name", "day"]
 
@@ -114,3 +117,55 @@ def test_infinite_values_have_no_area(spark):
     c = spark.createDataFrame([("g", "f", float("inf")), ("g", "f", 2.0), ("h", "f", 2.0)], "g string, feature string, value double")
     got = {r["g"]: r for r in grouped_drift.grouped_distances(b, c, ["g"]).collect()}
     assert got["g"]["wasserstein"] is None and got["g"]["ks_statistic"] == pytest.approx(0.5) and got["h"]["wasserstein"] == pytest.approx(2 / 3)
+
+
+def odd_groups(spark):
+    """``a`` serves one row, ``b`` NULL only, ``c`` NaN only, ``d`` enough; labels for ``a`` (two) and ``d``."""
+    rng = np.random.default_rng(12)
+    base = spark.createDataFrame([(float(v), str(c)) for v, c in zip(rng.normal(0, 1, 500), rng.choice(list("pq"), 500))], "amount double, kind string")
+    rows = [("a", 9.0, "z"), ("b", None, None), ("b", None, None), ("c", float("nan"), None)]
+    rows += [("d", float(v) + 3, "p") for v in rng.normal(0, 1, 200)] + [(None, 9.0, "z")]
+    served = spark.createDataFrame(rows, "endpoint_name string, amount double, kind string")
+    marks = [("a", 1, 0, 0.1), ("a", 0, 1, 0.9)] + [("d", i % 2, i % 2, 0.2 + 0.6 * (i % 2)) for i in range(150)]
+    labelled = spark.createDataFrame(marks, "endpoint_name string, ground_truth int, prediction int, probability_fraud double")
+    return base, served, labelled, spark.createDataFrame([("a", 0.9), ("d", 0.9)], "endpoint_name string, baseline_roc_auc double")
+
+
+@pytest.mark.parametrize("test", ["psi", "auto"])
+def test_small_and_empty_groups_are_rows_without_alerts(spark, test):
+    base, served, labelled, known = odd_groups(spark)
+    runs = drift_check.monitoring_runs(base, served, labelled, ["amount"], ["endpoint_name"], known, categorical=["kind"] if test == "auto" else [], test=test)
+    got = {r["endpoint_name"]: r for r in runs.collect()}
+    assert set(got) == {"a", "b", "c", "d", None}
+    assert {g: (r["logged_rows"], r["data_sample_size"], r["model_sample_size"]) for g, r in got.items()} == {
+        "a": (1, 1, 2), "b": (2, 0, 0), "c": (1, 0, 0), "d": (200, 200, 150), None: (1, 1, 0),
+    }
+    for g in ("a", "b", "c", None):
+        r = got[g]
+        assert (r["data_status"], r["model_status"]) == ("insufficient_samples", "insufficient_samples")
+        assert not r["data_drift_detected"] and not r["model_drift_detected"] and not r["alert_sent"]
+    assert got["b"]["features_analyzed"] == 0 and got["b"]["drifted_columns_share"] == 0.0 and got["b"]["per_feature_drift_scores"] is None
+    assert got["d"]["data_status"] == got["d"]["model_status"] == "ok" and got["d"]["data_drift_detected"] and got["d"]["alert_sent"]
+    assert not got["d"]["model_drift_detected"] and got["d"]["current_roc_auc"] == 1.0
+    if test == "auto":
+        assert {v["method"] for v in json.loads(got["d"]["per_feature_drift_scores"]).values()} == {drift.KS, drift.CHI_SQUARE}
+
+
+def test_run_records_have_all_columns(spark):
+    base, served, labelled, known = odd_groups(spark)
+    checked = drift_check.monitoring_runs(base, served, labelled, ["amount"], ["endpoint_name"], known)
+    rows = drift_check.run_records(checked, F.lit("2024-02-01 03:04:05"), F.lit("v3"), {"training_snapshot_id": F.lit("s1")})
+    assert [(f.name, f.dataType) for f in rows.schema] == [(f.name, f.dataType) for f in VERDICT_SCHEMA]
+    d = rows.where("endpoint_name = 'd'").first()
+    assert (d["monitoring_run_id"], d["model_version"], d["training_snapshot_id"], d["detection_engine"]) == ("drift-20240201-030405-d", "v3", "s1", "spark")
+    assert d["alert_sent"] and d["data_sample_size"] == 200
+
+
+def test_alert_payload_tells_everything(spark):
+    base, served, labelled, known = odd_groups(spark)
+    runs = drift_check.run_records(drift_check.monitoring_runs(base, served, labelled, ["amount"], ["endpoint_name"], known), F.lit("2024-02-01 03:04:05"), F.lit("v3"))
+    (row,) = verdict.alerts(runs, lineage.feature_drift_detail(runs)).collect()
+    payload = json.loads(row["payload"])
+    assert payload["alert_type"] == "DATA_DRIFT_DETECTED" and payload["severity"] == "HIGH" and payload["endpoint_name"] == "d"
+    assert payload["check_timestamp"] == "2024-02-01T03:04:05" and payload["drift_share"] == 1.0
+    assert [f["feature"] for f in payload["drifted_features"]] == ["amount"] and payload["recommended_action"] == row["recommended_action"]

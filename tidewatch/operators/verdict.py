@@ -121,7 +121,7 @@ ACTION_MODEL = "Compare with the registered baseline and consider retraining"
 
 
 def alerts(runs: DataFrame, details: DataFrame, top: int = 5) -> DataFrame:
-    """One row per (run, kind of drift) with message and structured payload; no drift, no alert."""
+    """One row per (run, kind of drift) with its columns and, for receivers, all of them as a JSON payload; no drift, no alert."""
     drifted = details.where("drift_detected")
     best = F.slice(
         F.sort_array(
@@ -144,6 +144,7 @@ def alerts(runs: DataFrame, details: DataFrame, top: int = 5) -> DataFrame:
         )
     )
     rows = hit.select("*", kinds.alias("alert_type"))
+    stamp = F.date_format("monitoring_timestamp", "yyyy-MM-dd'T'HH:mm:ss")
     is_data = F.col("alert_type") == "DATA_DRIFT_DETECTED"
     message = F.when(
         is_data,
@@ -157,17 +158,24 @@ def alerts(runs: DataFrame, details: DataFrame, top: int = 5) -> DataFrame:
             "current_roc_auc", "baseline_roc_auc", "roc_auc_degradation_pct",
         )
     )
+    severity = F.when(is_data, run_severity("drifted_columns_share")).otherwise("HIGH")
+    action = F.when(is_data, ACTION_DATA).otherwise(ACTION_MODEL)
+    payload = F.struct(
+        "alert_type", severity.alias("severity"), "endpoint_name", "monitoring_run_id", stamp.alias("check_timestamp"),
+        F.col("drifted_columns_share").alias("drift_share"), F.col("top_features").alias("drifted_features"),
+        message.alias("message"), action.alias("recommended_action"),
+    )
     return rows.select(
         "monitoring_run_id",
         F.col("monitoring_timestamp").alias("check_timestamp"),
         "endpoint_name",
         "alert_type",
-        F.when(is_data, run_severity("drifted_columns_share")).otherwise("HIGH").alias("severity"),
+        severity.alias("severity"),
         F.col("drifted_columns_share").alias("drift_share"),
         F.when(is_data, F.transform("top_features", lambda s: s["feature"])).alias("drifted_features"),
         message.alias("message"),
-        F.when(is_data, ACTION_DATA).otherwise(ACTION_MODEL).alias("recommended_action"),
-        F.to_json(F.struct("alert_type", F.col("drifted_columns_share").alias("drift_share"), F.col("top_features").alias("drifted_features"))).alias("payload"),
+        action.alias("recommended_action"),
+        F.to_json(payload).alias("payload"),
     )
 
 

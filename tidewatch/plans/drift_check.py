@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.config import FeatureSchema
-from tidewatch.operators import drift, labels, prep, quality, sampling, verdict, windows
+from tidewatch.operators import drift, grouped_drift, labels, prep, quality, sampling, verdict, windows
 from tidewatch.operators.kernel import join_on
 
 MIN_SAMPLES = 100
@@ -139,6 +140,44 @@ def classification_comparison(baseline: DataFrame, current: DataFrame) -> tuple[
     return quality.degenerate_columns(both, columns), quality.compare_sides(both, *columns)
 
 
+def group_verdicts(
+    baseline: DataFrame,
+    served: DataFrame,
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    groups: Sequence[str],
+    test: str = "auto",
+    threshold: float = 0.1,
+    small_sample: int = 1000,
+    thresholds: dict[str, float] | None = None,
+) -> DataFrame:
+    """Per-feature verdicts of every group.
+
+    ``auto`` picks the test by column type and baseline size, as the single check does; ``psi`` compares numeric
+    features by PSI with ``threshold``.  A feature without a value in a group has no row there.
+    """
+    keys = list(groups)
+    if test == "auto":
+        return grouped_drift.grouped_feature_drift(baseline, served, numeric, categorical, keys, small_sample, thresholds)
+    if test != "psi" or categorical:
+        raise ValueError("test is auto, or psi for numeric features only")
+    psi = drift.period_psi(baseline, served, list(numeric), keys)
+    return drift.with_verdict(
+        psi.select(
+            *keys, "feature", "n_current", F.col("psi").alias("drift_score"), F.lit(drift.PSI).alias("method"),
+            F.lit(float(threshold)).alias("threshold"),
+        )
+    )
+
+
+def served_counts(served: DataFrame, features: Sequence[str], groups: Sequence[str]) -> DataFrame:
+    """(groups, logged_rows, data_sample_size): rows of a group, and those with a value in any feature; NaN is no value."""
+    numeric = {f.name for f in served.schema.fields if f.dataType.typeName() in ("double", "float")}
+    held = [F.col(f).isNotNull() & (~F.isnan(f) if f in numeric else F.lit(True)) for f in features]
+    any_held = reduce(lambda a, b: a | b, held, F.lit(False))
+    return served.groupBy(*groups).agg(F.count("*").alias("logged_rows"), F.count_if(any_held).alias("data_sample_size"))
+
+
 def monitoring_runs(
     baseline: DataFrame,
     served: DataFrame,
@@ -149,42 +188,72 @@ def monitoring_runs(
     threshold: float = 0.1,
     drift_share: float = 0.5,
     limit_pct: float = 5.0,
+    min_samples: int = MIN_SAMPLES,
+    categorical: Sequence[str] = (),
+    test: str = "psi",
+    small_sample: int = 1000,
+    thresholds: dict[str, float] | None = None,
 ) -> DataFrame:
     """Both checks for every group (day and endpoint, say) in one pass: one row per group that served anything.
 
-    ``served`` holds the groups and the feature values, ``labelled`` the groups, truth, prediction and score; features
-    are compared with ``baseline`` by PSI.  ``baselines`` (groups, ``baseline_roc_auc``) may leave groups out: their
-    degradation is NULL.  Columns are those of a verdict that the checks fill, plus ``per_feature_drift_scores`` as
-    objects and ``__scalars`` as plain numbers.
+    ``served`` holds the groups and the feature values (``features`` numeric, ``categorical`` text), ``labelled`` the groups, truth, prediction
+    and score; features are compared with ``baseline`` (see :func:`group_verdicts`).  ``baselines`` (groups,
+    ``baseline_roc_auc``) may leave groups out: their degradation is NULL.
+
+    A group below ``min_samples`` rows, or rows with a value, has ``data_status`` ``insufficient_samples`` and no data drift; below
+    ``min_samples`` labelled rows ``model_status`` says the same and there is no model drift.  A group without any valid value is a row with
+    no feature analysed.  Columns are those of a verdict that the checks fill, ``logged_rows``, both statuses,
+    ``per_feature_drift_scores`` as objects and ``__scalars`` as plain numbers.
     """
     keys = list(groups)
-    psi = drift.period_psi(baseline, served, list(features), keys)
-    per_feature = drift.with_verdict(
-        psi.select(
-            *keys, "feature", "n_current", F.col("psi").alias("drift_score"), F.lit(drift.PSI).alias("method"),
-            F.lit(float(threshold)).alias("threshold"),
-        )
-    )
+    per_feature = group_verdicts(baseline, served, features, categorical, keys, test, threshold, small_sample, thresholds)
     # One entry per feature: bounded by the schema.
-    scalars = F.to_json(F.map_from_entries(F.collect_list(F.struct("feature", "drift_score"))))
-    counted = per_feature.groupBy(*keys).agg(
+    scalars = F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "drift_score")))))
+    checked = per_feature.groupBy(*keys).agg(
         F.count("*").alias("features_analyzed"),
         F.sum(F.col("drifted").cast("int")).alias("drifted_columns_count"),
-        F.max("n_current").alias("data_sample_size"),
         scalars.alias("__scalars"),
     )
     model = quality.performance_metrics(
         labelled.select(*keys, "ground_truth", "prediction", "probability_fraud"), groups=keys
     ).withColumnsRenamed({"roc_auc": "current_roc_auc", "sample_count": "model_sample_size"})
-    joined = join_on(counted, verdict.scores_json(per_feature, keys), keys)
-    joined = join_on(join_on(joined, model, keys, "left"), baselines.select(*keys, "baseline_roc_auc"), keys, "left")
-    share = F.col("drifted_columns_count") / F.col("features_analyzed")
-    return joined.select(
+    rows = served_counts(served, [*features, *categorical], keys)
+    for part in (checked, verdict.scores_json(per_feature, keys), model, baselines.select(*keys, "baseline_roc_auc")):
+        rows = join_on(rows, part, keys, "left")
+    none = F.lit(0).cast("long")
+    rows = rows.withColumns(
+        {c: F.coalesce(c, none) for c in ("features_analyzed", "drifted_columns_count", "model_sample_size")}
+    )
+    share = F.coalesce(F.col("drifted_columns_count") / F.nullif(F.col("features_analyzed"), none), F.lit(0.0))
+    data_enough = (F.col("logged_rows") >= min_samples) & (F.col("data_sample_size") >= min_samples)
+    model_enough = F.col("model_sample_size") >= min_samples
+    judged = rows.select(
         "*",
         share.alias("drifted_columns_share"),
-        (share >= drift_share).alias("data_drift_detected"),
+        ((F.col("features_analyzed") > 0) & (share >= drift_share) & data_enough).alias("data_drift_detected"),
+        F.when(data_enough, "ok").otherwise("insufficient_samples").alias("data_status"),
+        F.when(model_enough, "ok").otherwise("insufficient_samples").alias("model_status"),
         *verdict.degradation(F.col("baseline_roc_auc"), F.col("current_roc_auc"), limit_pct),
-    ).withColumn("alert_sent", F.col("data_drift_detected") | F.col("model_drift_detected"))
+    ).withColumn("model_drift_detected", F.col("model_drift_detected") & model_enough)
+    return judged.withColumn("alert_sent", F.col("data_drift_detected") | F.col("model_drift_detected"))
+
+
+def run_records(
+    checked: DataFrame, as_of: Column, model_version: Column, lineage: dict[str, Column] | None = None, engine: str = verdict.DETECTION_ENGINE
+) -> DataFrame:
+    """Verdict rows, all columns, of :func:`monitoring_runs`: a run per group, named by the time of the check and the endpoint."""
+    stamp = as_of.cast("timestamp_ntz")
+    return verdict.conform_verdicts(
+        checked.select(
+            "*",
+            F.concat_ws("-", F.lit("drift"), F.date_format(stamp, "yyyyMMdd-HHmmss"), "endpoint_name").alias("monitoring_run_id"),
+            stamp.alias("monitoring_timestamp"),
+            stamp.alias("created_at"),
+            model_version.alias("model_version"),
+            F.lit(engine).alias("detection_engine"),
+            *[c.alias(n) for n, c in (lineage or {}).items()],
+        )
+    )
 
 
 def incremental_check(
@@ -193,16 +262,18 @@ def incremental_check(
     """Both checks over what one drained batch of the log brought, for ``monitor.incremental_runs``.
 
     The result has a row per endpoint of the batch: ``batch_id``, the span ``window_start`` to ``window_end`` of its
-    predictions, ``logged_rows``, and the columns of :func:`monitoring_runs`.  Labels known by then are taken from
+    predictions, and the columns of :func:`monitoring_runs`.  Labels known by then are taken from
     ``updates``.
     """
 
     def run(batch: DataFrame, batch_id: int) -> DataFrame:
         keys = ["endpoint_name"]
-        served = prep.payload_features(batch, "input_features", list(features), keys)
+        served = prep.payload_features(batch, "input_features", list(features), keys, flag="__valid")
+        # A row whose payload does not parse was served, but says nothing.
+        served = served.select(*keys, *[F.when(F.col("__valid"), F.col(f)).alias(f) for f in features])
         labelled = labels.merge_labels(batch, updates).where("ground_truth is not null")
         span = batch.groupBy(*keys).agg(
-            F.count("*").alias("logged_rows"), F.min("request_timestamp").alias("window_start"), F.max("request_timestamp").alias("window_end")
+            F.min("request_timestamp").alias("window_start"), F.max("request_timestamp").alias("window_end")
         )
         checked = monitoring_runs(baseline, served, labelled, features, keys, baselines, **options).drop("__scalars")
         return join_on(span, checked, keys, "left").select(F.lit(batch_id).cast("bigint").alias("batch_id"), "*")

@@ -24,6 +24,8 @@ from tidewatch.sources.writers import conform_log, write_table
 AS_OF = "2024-01-31 00:00:00"
 SWITCH = "2024-01-16 00:00:00"
 BASE_END = "2024-01-08 00:00:00"
+# Rows of a group from which the stored runs judge: days of the smallest tables hold some ten.
+RUN_MINIMUM = 5
 TREND_FEATURES = ["transaction_amount", "transaction_hour", "k"]
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 CATEGORICAL = ["l_returnflag", "l_linestatus"]
@@ -226,7 +228,7 @@ class Tables:
         version = F.when(F.col("day") < F.lit(SWITCH).cast("timestamp_ntz").cast("date"), "v1").otherwise("v2").alias("model_version")
         baselines = served.select(*keys).distinct().select(*keys, version).join(by_version, "model_version", "left")
         labelled = self.labelled.select("*", F.to_date("request_timestamp").alias("day"))
-        joined = monitoring_runs(base, served, labelled, TREND_FEATURES, keys, baselines).select("*", version)
+        joined = monitoring_runs(base, served, labelled, TREND_FEATURES, keys, baselines, min_samples=RUN_MINIMUM).select("*", version)
         stamp = F.date_add("day", 1).cast("timestamp_ntz")
         rows = joined.select(
             "*",
@@ -448,20 +450,20 @@ SQL_TABLES = {
                CAST(features_analyzed AS INTEGER) AS features_analyzed, CAST(drifted AS INTEGER) AS drifted_columns_count,
                CAST(drifted AS DOUBLE) / features_analyzed AS drifted_columns_share,
                CAST(data_sample_size AS INTEGER) AS data_sample_size, auc AS current_roc_auc,
-               CAST(n AS INTEGER) AS model_sample_size,
+               CAST(coalesce(n, 0) AS INTEGER) AS model_sample_size,
                CAST(tp + tn AS DOUBLE) / n AS accuracy,
                CASE WHEN n > 0 THEN coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0) END AS "precision",
                CASE WHEN n > 0 THEN coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0) END AS recall,
                CASE WHEN n > 0 THEN coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0) END AS f1_score
         FROM rdata LEFT JOIN rconf USING (day, endpoint_name) LEFT JOIN rauc USING (day, endpoint_name)""",
-    "runs": """
+    "runs": f"""
         SELECT runs0.*, 'package/' || model_version AS model_package_arn, 'eval-' || model_version AS evaluation_snapshot_id,
-               'train-' || model_version AS training_snapshot_id, drifted_columns_share >= 0.5 AS data_drift_detected,
+               'train-' || model_version AS training_snapshot_id, drifted_columns_share >= 0.5 AND data_sample_size >= {RUN_MINIMUM} AS data_drift_detected,
                baseline_auc AS baseline_roc_auc, baseline_auc - current_roc_auc AS roc_auc_degradation,
                (baseline_auc - current_roc_auc) / baseline_auc * 100 AS roc_auc_degradation_pct,
-               coalesce((baseline_auc - current_roc_auc) / baseline_auc * 100 >= 5, false) AS model_drift_detected,
-               drifted_columns_share >= 0.5
-                 OR coalesce((baseline_auc - current_roc_auc) / baseline_auc * 100 >= 5, false) AS alert_sent,
+               coalesce((baseline_auc - current_roc_auc) / baseline_auc * 100 >= 5, false) AND model_sample_size >= {RUN_MINIMUM} AS model_drift_detected,
+               (drifted_columns_share >= 0.5 AND data_sample_size >= {RUN_MINIMUM})
+                 OR (coalesce((baseline_auc - current_roc_auc) / baseline_auc * 100 >= 5, false) AND model_sample_size >= {RUN_MINIMUM}) AS alert_sent,
                CASE WHEN endpoint_name = 'ep-a' THEN 'track-' || strftime(day, '%Y%m%d') END AS mlflow_run_id,
                CASE WHEN drifted_columns_share > 0.3 THEN 'HIGH' WHEN drifted_columns_share > 0.15 THEN 'MEDIUM'
                     ELSE 'LOW' END AS drift_severity,
