@@ -61,12 +61,12 @@ def test_prediction_days_prune_the_merge(spark, tmp_path):
 def test_late_and_repeated_messages_are_stored_once(spark, tmp_path):
     out = str(tmp_path / "out")
     new = lambda ids, day: spark.createDataFrame([(i, day, "v") for i in ids], "id string, day date, v string")
-    ingest.append_new(new(["a", "b", "b", None], DAY), out, "id", ["day"])
-    ingest.append_new(new(["c", "c"], DAY - datetime.timedelta(days=40)), out, "id", ["day"])
-    ingest.append_new(new(["b", "d"], DAY), out, "id", ["day"])
-    ingest.append_new(new(["e", "e"], None), out, "id", ["day"])
-    ingest.append_new(new(["e"], None), out, "id", ["day"])
-    ingest.append_new(new([], DAY), out, "id", ["day"])
+    ingest.append_new(new(["a", "b", "b", None], DAY), out, "id", ["day"], "batch 1")
+    ingest.append_new(new(["c", "c"], DAY - datetime.timedelta(days=40)), out, "id", ["day"], "batch 2")
+    ingest.append_new(new(["b", "d"], DAY), out, "id", ["day"], "batch 3")
+    ingest.append_new(new(["e", "e"], None), out, "id", ["day"], "batch 4")
+    ingest.append_new(new(["e"], None), out, "id", ["day"], "batch 5")
+    ingest.append_new(new([], DAY), out, "id", ["day"], "batch 6")
     assert sorted(str(r["id"]) for r in spark.read.parquet(out).collect()) == ["None", "a", "b", "c", "d", "e"]
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -161,21 +161,26 @@ def merge_labels_into(
     as_of: datetime | str | None = None,
     window_hours: int | None = None,
     dry_run: bool = False,
+    days_of: Callable[[DataFrame], list] | None = None,
 ) -> int:
     """Merge labels into a partitioned prediction log; returns the number of changed predictions.
 
     Only partitions that hold a changed prediction are rewritten; NULL is a partition value like any
     other.  What is collected is the list of those partitions.  If every update carries a
-    ``prediction_timestamp``, only the days they name are searched; else the whole log is.
+    ``prediction_timestamp``, only the days they name are searched; else those that ``days_of`` finds for the ids of the
+    updates (see ``streaming.locator.partitions_of``), and without it the whole log.
     """
     table = spark.read.parquet(path)
     recent = labels.recent_updates(updates, as_of, window_hours)
     latest = labels.latest_labels(recent)
     candidates = table if force else table.where("ground_truth is null")
+    named = [None]
     if "prediction_timestamp" in recent.columns:
         named = [r["day"] for r in recent.select(F.to_date("prediction_timestamp").alias("day")).distinct().collect()]
-        if None not in named:
-            candidates = candidates.where(F.col(partition_by[0]).isin(named) | F.col(partition_by[0]).isNull())
+    if None in named and days_of is not None:
+        named = [day for day in days_of(latest) if day is not None]
+    if None not in named:
+        candidates = candidates.where(F.col(partition_by[0]).isin(named) | F.col(partition_by[0]).isNull())
     hit = candidates.join(latest.select("inference_id"), "inference_id", "left_semi")
     touched = hit.groupBy(*partition_by).agg(F.count("*").alias("__n")).collect()
     changed = sum(r["__n"] for r in touched)

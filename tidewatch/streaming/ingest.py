@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewatch.operators.verdict import VERDICT_SCHEMA
 from tidewatch.sources.lake import path_exists
 from tidewatch.sources.writers import LOG_SCHEMA
+from tidewatch.streaming import locator
 
 MICRO_BATCH = "30 seconds"
 
@@ -60,26 +61,41 @@ def verdict_messages(messages: DataFrame) -> DataFrame:
     return good
 
 
-def append_new(batch: DataFrame, path: str, key: str, partition_by: Sequence[str]) -> None:
+def append_new(batch: DataFrame, path: str, key: str, partition_by: Sequence[str], name: str) -> None:
     """Append the rows of a micro-batch whose ``key`` is not stored yet; rows without a key are all kept.
 
-    A repeat carries the same values, so only partitions that the batch touches are searched (the list of
-    values of the first partition column is collected).  No row is too late, and a batch that is
-    replayed after a failure adds nothing twice.
+    Stored ids are looked up in the table's locator (``<path>-ids``, see :mod:`tidewatch.streaming.locator`), so what is read follows
+    the batch.  No row is too late.  ``name`` tells the batch from all others: a replay after a failure finds it in the locator and takes up
+    what the first try left, so it adds nothing twice and loses nothing.  A table without a locator gets one first.
     """
     spark = batch.sparkSession
+    ids_path = f"{path.rstrip('/')}-ids"
     batch = batch.persist()
     try:
-        first = partition_by[0]
-        values = {r[0] for r in batch.select(first).distinct().collect()}
-        if not values:
+        if batch.isEmpty():
             return
+        if path_exists(spark, path) and not path_exists(spark, ids_path):
+            locator.build(spark, path, ids_path, key, partition_by)
         new = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
-        if path_exists(spark, path):
-            chosen = F.col(first).isin(sorted(values - {None}))
-            stored = spark.read.schema(batch.schema).parquet(path).where(chosen | F.col(first).isNull() if None in values else chosen)
-            new = new.join(stored.select(key), key, "left_anti").select(batch.columns)
-        new.unionByName(batch.where(F.col(key).isNull())).write.mode("append").partitionBy(*partition_by).parquet(path)
+        loose = batch.where(F.col(key).isNull())
+        held = locator.known(spark, ids_path, new, key)
+        replayed = held is not None and not held.where(F.col("batch") == name).isEmpty()
+        if held is not None:
+            new = new.join(held.where(F.col("batch") != name).select(F.col("id").alias(key)), key, "left_anti").select(batch.columns)
+        if replayed:
+            # Some of this batch may be stored: look into the days it went to. Its keyless rows were written with the others.
+            if path_exists(spark, path):
+                days = [r[0] for r in held.where(F.col("batch") == name).select(partition_by[0]).distinct().collect()]
+                stored = spark.read.schema(batch.schema).parquet(path).where(F.col(partition_by[0]).isin(days) | F.col(partition_by[0]).isNull())
+                here = stored.select(key).join(new.select(key), key, "left_semi")
+                new = new.join(here, key, "left_anti").select(batch.columns)
+                if not here.isEmpty():
+                    loose = loose.limit(0)
+        else:
+            new = new.persist()
+            locator.add(ids_path, new, key, partition_by, name)
+        new.unionByName(loose).write.mode("append").partitionBy(*partition_by).parquet(path)
+        new.unpersist()
     finally:
         batch.unpersist()
 
@@ -88,7 +104,7 @@ def start_once_sink(
     rows: DataFrame, path: str, checkpoint: str, key: str, partition_by: Sequence[str], once: bool = False, interval: str = MICRO_BATCH
 ) -> StreamingQuery:
     """Append to parquet, each ``key`` once, although delivery is at least once (see :func:`append_new`)."""
-    writer = rows.writeStream.foreachBatch(lambda batch, _: append_new(batch, path, key, partition_by))
+    writer = rows.writeStream.foreachBatch(lambda batch, number: append_new(batch, path, key, partition_by, f"{checkpoint}#{number}"))
     trigger = {"availableNow": True} if once else {"processingTime": interval}
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
@@ -120,10 +136,11 @@ def ingest_predictions(messages: DataFrame, path: str, bad_path: str, checkpoint
 
 
 def ingest_verdicts(messages: DataFrame, path: str, bad_path: str, checkpoint: str, once: bool = False) -> list[StreamingQuery]:
+    """Verdict rows by date, each run once although delivery is at least once; malformed messages go to a side table."""
     good, bad = split_messages(parse_messages(messages, VERDICT_SCHEMA))
     dated = good.withColumn("monitoring_date", F.to_date("monitoring_timestamp"))
     return [
-        start_sink(dated, path, f"{checkpoint}/rows", ("monitoring_date",), once),
+        start_once_sink(dated, path, f"{checkpoint}/rows", "monitoring_run_id", ("monitoring_date",), once),
         start_sink(bad, bad_path, f"{checkpoint}/bad", (), once),
     ]
 

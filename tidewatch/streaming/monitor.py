@@ -2,47 +2,147 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
-from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.functions.stats import safe_ratio
 from tidewatch.sources import lake
+from tidewatch.streaming import locator
+
+LABEL_DELAY_DAYS = 30
+#: Days that a row waits in the state for its partner, from its arrival: the label delay and some for late delivery.
+KEEP_DAYS = 32
+DAY_US = 86_400_000_000
+
+_MATCHED = "inference_id string, prediction int, probability_fraud double, p_us long, u_us long, ground_truth int, status string"
+
+
+def _matcher(delay_us: int, keep_us: int):
+    """Match the rows of one id; the state is the prediction, labels that wait for it, and what was seen."""
+
+    def run(key, batches, state):
+        held = json.loads(state.get[0]) if state.exists else {"p": None, "u": [], "seen": []}
+        out = []
+
+        def emit(p, u, status):
+            out.append((key[0], *((p[1], p[2], p[0]) if p else (None, None, None)), u[0], u[1], status))
+
+        def close(p, u):
+            emit(p, u, "joined" if p[0] <= u[0] <= p[0] + delay_us else "outside")
+
+        def forget(now):
+            if held["p"] and now > held["p"][3] + keep_us:
+                held.update(p=None, seen=[])
+            for u in [u for u in held["u"] if now > u[2] + keep_us]:
+                emit(None, u, "unmatched")
+                held["u"].remove(u)
+
+        if state.hasTimedOut:
+            forget(max([r[-1] for r in held["u"]] + ([held["p"][3]] if held["p"] else [0])) + keep_us + 1)
+        else:
+            rows = [r for pdf in batches for r in pdf.itertuples(index=False)]
+            for r in sorted(rows, key=lambda r: (r.arrived_us, r.kind, r.at_us)):
+                forget(r.arrived_us)
+                if r.kind == "p":
+                    if held["p"] is None:
+                        score = None if r.probability_fraud != r.probability_fraud else r.probability_fraud
+                        held["p"] = [int(r.at_us), None if r.prediction != r.prediction else int(r.prediction), score, int(r.arrived_us)]
+                        for u in held["u"]:
+                            close(held["p"], u)
+                        held["u"] = []
+                    continue
+                truth = None if r.ground_truth != r.ground_truth else int(r.ground_truth)
+                if [int(r.at_us), truth] in held["seen"]:
+                    continue
+                held["seen"].append([int(r.at_us), truth])
+                u = [int(r.at_us), truth, int(r.arrived_us)]
+                if held["p"]:
+                    close(held["p"], u)
+                else:
+                    held["u"].append(u)
+        if held["p"] or held["u"]:
+            state.update((json.dumps(held),))
+            last = max([u[2] for u in held["u"]] + ([held["p"][3]] if held["p"] else []))
+            state.setTimeoutTimestamp(max((last + keep_us) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        else:
+            state.remove()
+        frame = pd.DataFrame(out, columns=["inference_id", "prediction", "probability_fraud", "p_us", "u_us", "ground_truth", "status"])
+        yield frame.astype({"prediction": "Int32", "probability_fraud": "Float64", "p_us": "Int64", "u_us": "Int64", "ground_truth": "Int32"})
+
+    return run
+
+
+def label_stream_join(
+    predictions: DataFrame, updates: DataFrame, delay_days: int = LABEL_DELAY_DAYS, keep_days: int = KEEP_DAYS, arrived: str | None = None
+) -> DataFrame:
+    """Confirmations joined with their predictions where they follow within ``delay_days``; ``status`` tells what became of each.
 
-LABEL_DELAY = "30 days"
+    Rows of an id meet in keyed state.  A row waits ``keep_days`` from its arrival and leaves with an event-time timer, so the state holds what
+    arrived in that time and no more.  The clock is the arrival (``arrived``, a timestamp column of both streams that never falls; the time of the
+    micro-batch by default), so no row is too late to be seen, however old its event: a confirmation is ``joined``, or ``outside`` the delay, or
+    ``unmatched`` when its prediction did not arrive, or had left.  What is not joined belongs to a side table and the batch merge
+    (:func:`start_label_join`).  Repeats change nothing while their id is in the state.  Rows without an id are left out.
+    """
+    clock = F.col(arrived) if arrived else F.current_timestamp()
+
+    def rows(df: DataFrame, kind: str, at: str, **columns: Column) -> DataFrame:
+        wanted = {"prediction": "int", "probability_fraud": "double", "ground_truth": "int"}
+        return df.where("inference_id IS NOT NULL").select(
+            F.col("inference_id").cast("string").alias("inference_id"),
+            F.lit(kind).alias("kind"),
+            F.unix_micros(F.col(at).cast("timestamp")).alias("at_us"),
+            *[columns.get(n, F.lit(None)).cast(t).alias(n) for n, t in wanted.items()],
+            clock.cast("timestamp").alias("arrived"),
+        )
+
+    p = rows(predictions, "p", "request_timestamp", prediction=F.col("prediction"), probability_fraud=F.col("probability_fraud"))
+    u = rows(updates, "u", "confirmation_timestamp", ground_truth=F.col("actual_fraud").cast("int"))
+    both = p.unionByName(u).withWatermark("arrived", "0 seconds").withColumn("arrived_us", F.unix_micros("arrived"))
+    matched = both.groupBy("inference_id").applyInPandasWithState(
+        _matcher(delay_days * DAY_US, keep_days * DAY_US), _MATCHED, "held string", "append", "EventTimeTimeout"
+    )
+    stamp = lambda c: F.timestamp_micros(c)
+    return matched.select("inference_id", "prediction", "probability_fraud", stamp("p_us").alias("p_ts"), stamp("u_us").alias("u_ts"), "ground_truth", "status")
 
 
-def label_stream_join(predictions: DataFrame, updates: DataFrame, late: str | None = None, delay: str = LABEL_DELAY) -> DataFrame:
-    """Predictions joined with confirmations that follow within ``delay``.
+def start_label_join(joined: DataFrame, path: str, side_path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Store what :func:`label_stream_join` returns: joined rows, and the confirmations that found no prediction.
 
-    Nothing is too late by default, so all rows stay in the state.  ``late`` bounds the state by watermarks and
-    gives up whatever arrives after it.  The batch merge (:func:`label_upserts`) loses nothing, keeps no state and is
-    the cheaper choice when minutes do not matter.
+    A micro-batch writes folders named by its number, which a replay replaces.
     """
-    p = predictions.select("inference_id", F.col("request_timestamp").cast("timestamp").alias("p_ts"), "prediction", "probability_fraud")
-    u = updates.select(
-        F.col("inference_id").alias("u_id"),
-        F.col("confirmation_timestamp").cast("timestamp").alias("u_ts"),
-        F.col("actual_fraud").cast("int").alias("ground_truth"),
-    )
-    if late:
-        p, u = p.withWatermark("p_ts", late), u.withWatermark("u_ts", late)
-    on = (F.col("inference_id") == F.col("u_id")) & (F.col("u_ts") >= F.col("p_ts")) & (F.col("u_ts") <= F.col("p_ts") + F.expr(f"interval {delay}"))
-    return p.join(u, on).drop("u_id")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            batch.where("status = 'joined'").drop("status").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            side = batch.where("status != 'joined'").select(
+                "inference_id", (F.col("ground_truth") == 1).alias("actual_fraud"), F.col("u_ts").alias("confirmation_timestamp"), "status"
+            )
+            side.write.mode("overwrite").parquet(f"{side_path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = joined.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return writer.trigger(**({"availableNow": True} if once else {"processingTime": "1 minute"})).start()
 
 
 def label_upserts(updates: DataFrame, log_path: str, checkpoint: str, once: bool = False, force: bool = False) -> StreamingQuery:
     """Merge arriving confirmations into the prediction log, micro-batch by micro-batch.
 
     Replaying a batch is harmless: only missing labels are filled, and within a batch the latest
-    confirmation wins.
+    confirmation wins.  Days are found in the log's locator, where ingest left one.
     """
+    ids_path = f"{log_path.rstrip('/')}-ids"
 
     def merge(batch: DataFrame, _: int) -> None:
-        lake.merge_labels_into(batch.sparkSession, log_path, batch, force=force)
+        spark = batch.sparkSession
+        found = (lambda ids: locator.partitions_of(spark, ids_path, ids, "inference_id", "request_date")) if lake.path_exists(spark, ids_path) else None
+        lake.merge_labels_into(spark, log_path, batch, force=force, days_of=found)
 
     writer = updates.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(**({"availableNow": True} if once else {"processingTime": "1 minute"})).start()

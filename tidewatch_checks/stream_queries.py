@@ -116,9 +116,44 @@ def label_upserts(t: Tables):
 )
 def label_stream_join(t: Tables):
     s = StreamTables(t)
-    joined = monitor.label_stream_join(s.pred, s.upd)
-    rows = _drain(t, joined, "stream-join")
-    return rows.withColumns({"p_ts": F.col("p_ts").cast("timestamp_ntz"), "u_ts": F.col("u_ts").cast("timestamp_ntz")})
+    return _joined(t, monitor.label_stream_join(s.pred, s.upd))[0]
+
+
+def _joined(t: Tables, joined, then=None):
+    """(joined rows, side table) of a drained stream join, with plain timestamps; ``then`` is called before it is drained once more."""
+    out, side, state = (scratch_path(t.spark, n) for n in ("joined", "side", "state"))
+    for step in [None] if then is None else [None, then]:
+        if step:
+            step()
+        ingest.wait([monitor.start_label_join(joined, out, side, state, once=True)])
+    plain = {"p_ts": F.col("p_ts").cast("timestamp_ntz"), "u_ts": F.col("u_ts").cast("timestamp_ntz")}
+    kept = t.spark.read.schema(joined.drop("status").schema).parquet(f"{out}/*").withColumns(plain)
+    late = "inference_id string, actual_fraud boolean, confirmation_timestamp timestamp, status string"
+    return kept, t.spark.read.schema(late).parquet(f"{side}/*").withColumn("confirmation_timestamp", F.col("confirmation_timestamp").cast("timestamp_ntz"))
+
+
+@check(
+    "r3_late_labels",
+    """SELECT inference_id, u_ts, CASE WHEN late THEN 'unmatched' WHEN u_ts <= request_timestamp + INTERVAL 30 DAY THEN 'joined' ELSE 'outside' END AS status
+       FROM (SELECT pred.inference_id, request_timestamp, confirmation_timestamp AS u_ts, event_id % 7 = 0 AS late FROM pred JOIN upd USING (inference_id))""",
+)
+def late_labels(t: Tables):
+    """Every seventh id is labelled two months after its prediction arrived, when the state has let it go: those labels go to the side table, none is lost."""
+    p, u = scratch_path(t.spark, "arriving-predictions"), scratch_path(t.spark, "arriving-labels")
+    first, second = F.lit("2024-03-01 00:00:00").cast("timestamp"), F.lit("2024-05-01 00:00:00").cast("timestamp")
+    columns = ["inference_id", "request_timestamp", "prediction", "probability_fraud"]
+    t.pred.select(*columns, first.alias("arrived")).write.parquet(p)
+    late = F.col("inference_id").cast("long") % 7 == 0
+    t.upd.withColumn("arrived", F.when(late, second).otherwise(first)).write.parquet(u)
+    read = lambda path: t.spark.readStream.schema(t.spark.read.parquet(path).schema).parquet(path)
+
+    def months_later():
+        """One more label moves the clock on, which lets go of those that wait."""
+        clock = F.lit("2024-08-01 00:00:00").cast("timestamp")
+        t.upd.limit(1).select(*[F.lit("none").alias(c) if c == "inference_id" else F.col(c) for c in t.upd.columns], clock.alias("arrived")).write.mode("append").parquet(u)
+
+    joined, side = _joined(t, monitor.label_stream_join(read(p), read(u), arrived="arrived"), months_later)
+    return joined.select("inference_id", "u_ts", F.lit("joined").alias("status")).unionByName(side.select("inference_id", F.col("confirmation_timestamp").alias("u_ts"), "status"))
 
 
 @check(
