@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import pathlib
 import random
 import re
 from collections import Counter, defaultdict
@@ -513,3 +514,34 @@ def test_neighbours_in_a_tight_cluster(spark):
         d[q] = np.inf
         hits += len(got[q] & set(np.argsort(d)[:10].tolist()))
     assert hits >= 0.95 * 400
+
+
+# --- columns of any name ---
+
+
+def names_in_use() -> list[str]:
+    """Every name that the operators' modules put in quotes, as columns of a table could be named."""
+    folder = pathlib.Path(simhash.__file__).parent
+    text = "\n".join(p.read_text() for p in [*folder.glob("*.py"), pathlib.Path(corpus_pipeline.__file__)])
+    found = {n.lower() for n in re.findall(r"[\"'`.]([A-Za-z_][A-Za-z0-9_]{0,20})[\"'`]", text)}
+    return sorted(found - {"doc_id", "text", "source", "lang", "shard", "slot"})
+
+
+def test_stages_keep_columns_of_any_name(spark, sf_dir):
+    extra = names_in_use()
+    assert {"digest", "__hit", "at", "kept", "late", "leaf", "__quality", "__at", "mix_size"} <= set(extra)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
+    docs = docs.select("*", *[F.col("doc_id").alias(n) for n in extra])
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, sf_dir)
+        assert got.columns == docs.columns + (["shard", "slot"] if name == "sharding" else []), name
+        rows = got.select("doc_id", F.forall(F.array(*extra), lambda x: x == F.col("doc_id")).alias("same")).collect()
+        assert rows and all(r["same"] for r in rows), name
+
+
+def test_one_of_rows_that_differ_in_source_only(spark):
+    rows = [(1, "a b c d e f g", s, n) for s in ("z", "b", "k") for n in (3, 2)] + [(2, "h i j k l m n o p", None, 1)]
+    schema = "doc_id long, text string, source string, n int"
+    first = simhash.keep_one(spark.createDataFrame(rows, schema)).collect()
+    again = simhash.keep_one(spark.createDataFrame(rows[::-1], schema).repartition(5)).collect()
+    assert sorted((r["doc_id"], r["source"] or "", r["n"]) for r in first) == sorted((r["doc_id"], r["source"] or "", r["n"]) for r in again) == [(1, "b", 2), (2, "", 1)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.session import cut_lineage, scratch_path
 
-__all__ = ["attach", "bitmap", "cut_lineage", "in_bitmap", "is_few", "read_table", "scratch_path", "ship", "text_or_empty", "texts_of", "words", "WORD"]
+__all__ = ["aside", "attach", "bitmap", "cut_lineage", "in_bitmap", "is_few", "read_table", "scratch_path", "ship", "text_or_empty", "texts_of", "words", "WORD"]
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,6 +56,24 @@ def words(column: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(column), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+#: Name of the column that carries columns an operator has no use for.
+ASIDE = "__aside"
+
+
+def aside(rows: DataFrame, needed: Sequence[str]) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """(``rows`` with ``needed`` and all other columns in one struct, so that no name can clash with an operator's own; the way back).
+
+    The way back takes a frame that still has both, and columns to add.
+    """
+    others = [c for c in rows.columns if c not in needed]
+    held = [F.struct(*[F.col(f"`{c}`") for c in others]).alias(ASIDE)] if others else []
+
+    def back(df: DataFrame, *added: Column | str) -> DataFrame:
+        return df.select(*[F.col(f"{ASIDE}.`{c}`").alias(c) if c in others else F.col(f"`{c}`") for c in rows.columns], *added)
+
+    return rows.select(*needed, *held), back
+
+
 def is_few(rows: DataFrame) -> bool:
     """Whether ``rows`` are so few that they may be broadcast; counts them."""
     return rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS

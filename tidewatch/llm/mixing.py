@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 from pyspark.sql.window import Window
 
-from tidewatch.llm.common import attach, cut_lineage
+from tidewatch.llm.common import ASIDE, attach, cut_lineage
 
 WEIGHTS = (5, 2, 1)
 SHARE, CEILING = 1.5, 2.0
@@ -148,12 +148,15 @@ def copies(docs: DataFrame, size: Column, order: Sequence[Column], weights: Sequ
 
     ``order`` makes rows distinct for draws and order; equal rows are interchangeable. NULL is a source like
     any other. A document of size 0 weighs nothing and is drawn by itself; a source of size 0 is not taken.
-    An empty table gives an empty result. Columns of ``docs`` with other names are kept.
+    An empty table gives an empty result. Columns of ``docs`` with other names are kept, whatever their names.
     """
-    sized = docs.withColumn("mix_size", size)
-    if sized.isEmpty():
-        empty = {n: F.lit(None).cast(t) for n, t in (("mix_source_size", "long"), ("mix_target", "double"), ("mix_copies", "int"))}
-        return sized.withColumns(empty)
+    results = {"mix_size": "long", "mix_source_size": "long", "mix_target": "double", "mix_copies": "int"}
+    kept = [c for c in docs.columns if c not in results]
+    if docs.isEmpty():
+        return docs.select(*[F.col(f"`{c}`") for c in kept], *[F.lit(None).cast(t).alias(n) for n, t in results.items()])
+    carried = F.struct(*[F.col(f"`{c}`") for c in kept]).alias(ASIDE)
+    sized = docs.select(carried, "source", size.alias("mix_size"), *[o.alias(f"__o{i}") for i, o in enumerate(order)])
+    order = [F.col(f"__o{i}") for i in range(len(order))]
     targets = cut_lineage(source_targets(sized.select("source", F.col("mix_size").alias("size")), weights, share, ceiling), "targets")
     wanted = F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")).otherwise(F.lit(0.0))
     named = targets.select("source", F.col("n").alias("__n"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"))
@@ -188,4 +191,5 @@ def copies(docs: DataFrame, size: Column, order: Sequence[Column], weights: Sequ
         leaves.where("__left IS NOT NULL").withColumn("leaf", F.col("__block")), last, ["source", "leaf"], F.col("__id")
     ).select(*[c for c in leaves.columns if c != "__up"], F.col("late").alias("__up"))
     rounded = leaves.where("__left IS NULL").unionByName(decided)
-    return rounded.withColumn("mix_copies", F.col("__whole") + F.col("__up")).drop("__whole", "__id", "__block", "__up", "__left")
+    mixed = rounded.withColumn("mix_copies", F.col("__whole") + F.col("__up"))
+    return mixed.select(*[F.col(f"{ASIDE}.`{c}`").alias(c) for c in kept], *results)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from tidewatch.llm.common import cut_lineage, text_or_empty, texts_of
+from tidewatch.llm.common import ASIDE, aside, cut_lineage, text_or_empty, texts_of
 from tidewatch.llm.components import components
 
 SEED = 42
@@ -461,8 +461,10 @@ def keep_one(
     Texts are linked if their sets of ``k``-word shingles have a Jaccard similarity of ``similarity`` or more; a group is what
     links connect. First pairs to compare come from fingerprints of ``64 * lanes`` bits that are within ``limit`` bits and share a covering
     bucket of some block; ``rare_pairs`` adds all others that can be similar, so every group is whole. The fingerprints are of ``print_k``-word shingles, of which a changed word touches fewer: texts that are similar in longer
-    shingles are then some ten bits of 128 apart. NULL text is empty; texts without words are equal to each other only if they are the same. All columns are kept.
+    shingles are then some ten bits of 128 apart. NULL text is empty; texts without words are equal to each other only if they are the same. All columns are
+    kept, whatever their names; of rows with the same id and text the first by its other columns stays, in every run.
     """
+    whole, back = aside(docs, ["doc_id", "text"])
     held = docs.select("doc_id", text_or_empty().alias("text")).withColumn("tid", F.xxhash64("text"))
     prints = [f"fp{i}" for i in range(lanes)]
     digest = F.unhex(F.md5("text")).alias("digest")
@@ -479,8 +481,8 @@ def keep_one(
     roots = components(near.unionByName(rest))
     placed = nodes.select("node", "at", "digest").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = placed.groupBy("root").agg(F.min(F.struct(F.col("at").isNull().alias("none"), "at", "digest")).alias("one")).select("one.at", F.col("one.digest").alias("kept"))
-    mine = docs.withColumn("__digest", F.unhex(F.md5(text_or_empty())))
+    mine = whole.withColumn("__digest", F.unhex(F.md5(text_or_empty())))
     chosen = mine.join(first.hint("shuffle_hash"), (F.col("__digest") == F.col("kept")) & F.col("doc_id").eqNullSafe(F.col("at"))).drop("at", "kept")
-    # Rows with the same id and text are told apart by nothing: one stays.
-    order = Window.partitionBy("__digest", "doc_id").orderBy(F.lit(0))
-    return chosen.withColumn("__row", F.row_number().over(order)).where("__row = 1").drop("__digest", "__row")
+    others = F.to_json(ASIDE) if ASIDE in whole.columns else F.lit("")
+    order = Window.partitionBy("__digest", "doc_id").orderBy(others)
+    return back(chosen.withColumn("__row", F.row_number().over(order)).where("__row = 1"))
