@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,3 +160,19 @@ def test_previous_event_crosses_blocks(spark):
     df = spark.createDataFrame(rows, "id int, u string, t string").withColumn("ts", F.to_timestamp_ntz("t"))
     got = {r["id"]: r["time_since_last_transaction_min"] for r in features.minutes_since_previous(df, "u", "ts", "id").collect()}
     assert got == {1: None, 2: 30.0, 3: 2880.0, 4: 0.0, 5: None}
+
+
+def test_stratified_sample_of_exactly_n_rows(spark):
+    rows = [(f"k{i}", "a" if i % 10 else ("b" if i % 20 else None)) for i in range(1000)] + [("only", "rare")]
+    df = spark.createDataFrame(rows, "k string, c string")
+    for n in (1, 7, 100, 333, 1000, 1001, 5000):
+        got = sampling.stratified_sample(df, "k", "c", n).collect()
+        assert len(got) == len({r["k"] for r in got}) == min(n, 1001)
+        counts = {c: sum(r["c"] == c for r in got) for c in ("a", "b", None, "rare")}
+        for c, size in (("a", 900), ("b", 50), (None, 50), ("rare", 1)):
+            assert abs(counts[c] - size * min(n, 1001) / 1001) < 1
+        # The rows of least hash of their class.
+        order = {k: hashlib.md5(f"42-{k}".encode()).hexdigest() for k, _ in rows}
+        for c in counts:
+            assert sorted(r["k"] for r in got if r["c"] == c) == sorted(sorted((k for k, d in rows if d == c), key=lambda k: (order[k], k))[: counts[c]])
+    assert sampling.stratified_sample(df.limit(0), "k", "c", 5).count() == 0

@@ -33,23 +33,24 @@ def tag_runs(predictions: DataFrame, windows: DataFrame) -> DataFrame:
     """Fill ``monitoring_run_id`` of untagged predictions with the run whose window holds them.
 
     A range join made equal: every window is cut into the days it touches, so predictions meet only
-    the runs of their own endpoint and day.  Tagged rows and rows after the last run stay as they are.
+    the runs of their own endpoint and day.  What is older than the first day on which any run ended can belong to first runs only, which
+    have no lower bound: it is looked up under that day, so the log is read once and its own first day does not matter.
+    Tagged rows and rows after the last run stay as they are.
     """
-    first_day = predictions.agg(F.to_date(F.min("request_timestamp")).alias("__first"))
-    days = F.sequence(
-        F.coalesce(F.to_date("lo"), F.least("__first", F.to_date("hi"))), F.to_date("hi"), F.expr("interval 1 day")
-    )
-    per_day = windows.crossJoin(F.broadcast(first_day)).select(
+    begin = windows.agg(F.min(F.to_date("hi"))).scalar()
+    days = F.sequence(F.coalesce(F.to_date("lo"), begin), F.to_date("hi"), F.expr("interval 1 day"))
+    per_day = windows.where("hi IS NOT NULL").select(
         F.col("endpoint_name").alias("__ep"), "run_id", "lo", "hi", F.explode(days).alias("__day")
     )
     ts = F.col("request_timestamp")
+    dated = predictions.withColumn("__at", F.greatest(F.to_date(ts), begin))
     match = (
         (F.col("endpoint_name") == F.col("__ep"))
-        & (F.to_date(ts) == F.col("__day"))
+        & (F.col("__at") == F.col("__day"))
         & (F.col("lo").isNull() | (ts > F.col("lo")))
         & (ts <= F.col("hi"))
     )
-    joined = predictions.join(per_day, match, "left")
+    joined = dated.join(per_day, match, "left")
     return joined.select(
         *[
             F.coalesce("monitoring_run_id", "run_id").alias(c) if c == "monitoring_run_id" else F.col(c)

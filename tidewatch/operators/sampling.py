@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import hash_bucket
@@ -59,6 +59,43 @@ def stratified_fraction(df: DataFrame, key: str, label: str, fractions: dict, se
     return df.where(place < limit)
 
 
+#: Leading hexadecimal digits of the key hash that are counted to find where a class is cut.
+CUT_DIGITS = 4
+
+
+def stratified_sample(df: DataFrame, key: str, label: str, n: int, seed: int = 42) -> DataFrame:
+    """Exactly ``n`` rows (all, if fewer) in which classes have their shares: those of least key hash in each class.
+
+    Shares are rounded by largest remainder, ties by the label; NULL is a class like any other.  Keys should tell rows apart.  A class
+    is cut by counts of its hashes' leading digits, and only rows of the one cell that the cut falls in are ranked, so no
+    class is ever sorted.  What is sent around is a row per class.
+    """
+    cell = F.substring(sample_order(key, seed), 1, CUT_DIGITS)
+    marked = df.withColumn("__cell", cell).withColumn("__class", F.struct(F.col(label).alias("label")))
+    counts = marked.groupBy("__class", "__cell").agg(F.count("*").alias("__n"))
+    per_class = Window.partitionBy("__class")
+    summed = counts.select(
+        "__class", "__cell", "__n", F.sum("__n").over(per_class).alias("__size"),
+        F.coalesce(F.sum("__n").over(per_class.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+    )
+    classes = counts.groupBy("__class").agg(F.sum("__n").alias("__size"))
+    total = F.sum("__size").over(Window.partitionBy())
+    wanted = F.least(total, F.lit(n))
+    whole = F.floor(F.col("__size") * wanted / total)
+    rest = F.pmod(F.col("__size") * wanted, total)
+    shared = classes.select("__class", whole.alias("__whole"), rest.alias("__rest"), wanted.alias("__wanted"))
+    by_rest = F.row_number().over(Window.partitionBy().orderBy(F.desc("__rest"), "__class"))
+    missing = F.col("__wanted") - F.sum("__whole").over(Window.partitionBy())
+    quotas = shared.select("__class", (F.col("__whole") + F.when(by_rest <= missing, 1).otherwise(0)).alias("__quota"))
+    cut = summed.join(quotas, "__class").where("__before < __quota AND __before + __n >= __quota").select(
+        "__class", F.col("__cell").alias("__cut"), (F.col("__quota") - F.col("__before")).alias("__take")
+    )
+    near = marked.join(F.broadcast(cut), "__class").where("__cell <= __cut")
+    below = near.where("__cell < __cut").select(df.columns)
+    ranked = near.where("__cell = __cut").withColumn("__rank", F.row_number().over(per_class.orderBy(sample_order(key, seed), key)))
+    return below.unionByName(ranked.where("__rank <= __take").select(df.columns))
+
+
 def split_statistics(df: DataFrame, label: str) -> DataFrame:
     """(split, class, n)."""
     return df.groupBy("split", F.col(label).cast("string").alias("class")).agg(F.count("*").alias("n"))

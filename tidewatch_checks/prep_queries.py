@@ -375,12 +375,16 @@ def class_imbalance(t: Tables):
 
 @check(
     "d5_missing_values",
-    """SELECT * FROM (SELECT unnest([{'column': 'ground_truth', 'n_missing': count(*) - count(ground_truth)},
-              {'column': 'ground_truth_source', 'n_missing': count(*) - count(ground_truth_source)}, {'column': 'prediction', 'n_missing': count(*) - count(prediction)}], recursive := true)
-       FROM lpred) WHERE n_missing > 0""",
+    """WITH filled AS (SELECT count(*) AS n, count(ground_truth) AS labelled FROM lpred)
+       SELECT "column", n - labelled AS n_missing FROM (SELECT unnest(['ground_truth', 'ground_truth_timestamp', 'ground_truth_source', 'days_to_ground_truth']) AS "column")
+       CROSS JOIN filled WHERE n > labelled
+       UNION ALL
+       SELECT "column", n FROM (SELECT unnest(['model_load_time_ms', 'preprocessing_time_ms', 'request_id', 'response_time', 'error_message', 'monitoring_run_id']) AS "column")
+       CROSS JOIN filled WHERE n > 0""",
 )
 def missing_values(t: Tables):
-    return validate.missing_values(t.lpred, ["ground_truth", "ground_truth_source", "prediction"])
+    """Every column of the labelled log: labels are missing where none has arrived, and what the event table does not tell is missing throughout."""
+    return validate.missing_values(t.lpred)
 
 
 @check("d6_duplicate_rows", "SELECT (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS duplicate_rows")
@@ -485,6 +489,19 @@ def background_sample(t: Tables):
     return sampling.stratified_fraction(t.labelled, "inference_id", "ground_truth", {0: 0.2, 1: 0.5}).select("inference_id", "ground_truth")
 
 
+@check(
+    "l7_background_of_n_rows",
+    """WITH classes AS (SELECT model_version AS c, count(*) AS size FROM pred GROUP BY 1), total AS (SELECT sum(size) AS t, least(sum(size), 501) AS n FROM classes),
+            quotas AS (SELECT c, size * n // t AS whole, (size * n) % t AS rest, n FROM classes CROSS JOIN total),
+            final AS (SELECT c, whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, c) <= n - sum(whole) OVER () THEN 1 ELSE 0 END AS quota FROM quotas)
+       SELECT inference_id, model_version FROM (SELECT inference_id, model_version, row_number() OVER (PARTITION BY model_version ORDER BY md5('42-' || inference_id), inference_id) AS place FROM pred)
+       JOIN final ON c = model_version WHERE place <= quota""",
+)
+def background_of_n_rows(t: Tables):
+    """501 rows, split over the versions as the log is."""
+    return sampling.stratified_sample(t.pred, "inference_id", "model_version", 501).select("inference_id", "model_version")
+
+
 @check(
     "l8_seeded_sample",
     "SELECT inference_id FROM pred ORDER BY md5('42-' || inference_id), inference_id LIMIT 300",
