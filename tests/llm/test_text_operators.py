@@ -229,3 +229,15 @@ def test_native_queries_run_no_python(spark, sf_dir):
 
 def test_scratch_is_shared(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
+
+
+def test_hosts_of_very_many_labels(spark):
+    """50,000 labels: a host enters the sweep as often as the deepest rule has labels, not once a label."""
+    deep = "a." * 50_000 + "www.example.com"
+    urls = [(1, f"http://{deep}/en/x"), (2, f"http://{deep}/de/"), (3, "http://x.example.com/en/"), (4, "http://com/"), (5, "http://" + "." * 20_000 + "net/es/1"), (6, None)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.filter_urls(pages, url_filter.rule_table(spark, queries.URL_RULES)).collect()}
+    assert got == {
+        1: ("www.example.com/en/", "allow"), 2: ("com/", "allow"), 3: ("example.com/en/", "block"), 4: ("com/", "allow"), 5: ("net/es/", "block"), 6: (None, "allow"),
+    }
+    assert url_filter.filter_urls(pages, url_filter.rule_table(spark, [])).where("verdict = 'allow' AND rule IS NULL").count() == 6

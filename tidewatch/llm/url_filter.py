@@ -84,7 +84,9 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow") -> DataFram
     )
     distinct = urls.select("host", "path").distinct()
     labels = F.split("host", r"\.")
-    levels = distinct.withColumn("n", F.explode(F.sequence(F.lit(1), F.size(labels)))).select(
+    # A level deeper than the deepest rule meets none, so a host enters as often as rules have labels at most.
+    deepest = rules.agg(F.coalesce(F.max(F.size(F.split("host", r"\."))), F.lit(1))).scalar()
+    levels = distinct.withColumn("n", F.explode(F.sequence(F.lit(1), F.least(F.size(labels), F.greatest(deepest, F.lit(1)))))).select(
         _key(F.slice(labels, -F.col("n"), F.col("n")), F.col("path")).alias("key"),
         F.lit(1).alias("kind"), "host", "path",
         F.lit(None).cast(events.schema["top"].dataType).alias("top"),
