@@ -241,3 +241,17 @@ def test_hosts_of_very_many_labels(spark):
         1: ("www.example.com/en/", "allow"), 2: ("com/", "allow"), 3: ("example.com/en/", "block"), 4: ("com/", "allow"), 5: ("net/es/", "block"), 6: (None, "allow"),
     }
     assert url_filter.filter_urls(pages, url_filter.rule_table(spark, [])).where("verdict = 'allow' AND rule IS NULL").count() == 6
+
+
+def test_a_text_of_very_many_secrets(spark):
+    """50,000 matches in one text, whose spans are summed in chunks; some fail in between."""
+    parts = [f"{i:032x}" if i % 3 else f"{i:010x}" for i in range(75_000)]
+    text = " ".join(parts)
+    ledger = scratch_path(spark, "ledger")
+    (row,) = secrets.findings(secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), ledger), ledger).collect()
+    expected, at = [], 0
+    for p in parts:
+        if len(p) == 32:
+            expected.append((at, at + 32))
+        at += len(p) + 1
+    assert [(s["start"], s["end"]) for s in row["hex"]] == expected

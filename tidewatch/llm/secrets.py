@@ -45,6 +45,9 @@ BASE_RULES = (
 )
 
 SPANS = "array<struct<start:int,end:int>>"
+#: Matches whose offsets are summed by themselves before their place in the text is added: appending to one long array would
+#: cost the square of the matches.
+CHUNK = 128
 
 
 def spans(text: Column, rule: Rule) -> Column:
@@ -53,7 +56,8 @@ def spans(text: Column, rule: Rule) -> Column:
     pieces = F.transform(F.split(text, rule.pattern, -1), F.length)
     whole = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
     judged = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length) if rule.group else whole
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("found"))
+    none = F.array().cast(SPANS)
+    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
 
     def step(state: Column, x: Column) -> Column:
         begin = state["at"] + x["gap"]
@@ -63,7 +67,19 @@ def spans(text: Column, rule: Rule) -> Column:
 
     # The piece after the last match has no match beside it.
     matches = F.filter(F.arrays_zip(pieces.alias("gap"), whole.alias("whole"), judged.alias("judged")), lambda x: x["whole"].isNotNull())
-    return F.when(text.rlike(rule.pattern), F.aggregate(matches, start, step, lambda s: s["found"])).otherwise(F.array().cast(SPANS))
+
+    def chunks(held: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(held), F.lit(CHUNK)), lambda first: F.aggregate(F.slice(held, first, F.lit(CHUNK)), start, step))
+
+    # An array of one element binds the matches to a name: they are found once, not once a chunk.
+    summed = F.get(F.transform(F.array(matches), chunks), 0)
+
+    def place(state: Column, chunk: Column) -> Column:
+        moved = F.transform(chunk["found"], lambda s: F.struct((s["start"] + state["at"]).alias("start"), (s["end"] + state["at"]).alias("end")))
+        return F.struct((state["at"] + chunk["at"]).alias("at"), F.concat(state["found"], F.array(moved)).alias("found"))
+
+    whole_text = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("found"))
+    return F.when(text.rlike(rule.pattern), F.aggregate(summed, whole_text, place, lambda s: F.flatten(s["found"]))).otherwise(none)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
