@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -70,6 +72,41 @@ def test_one_long_part_does_not_cut_what_stands_around_it(part):
     assert extract(page) == " ".join(["Head", LONG.strip(), *[(LONG * 3).strip()] * 30, "The end, at last."])
 
 
+WRAPPED = f"<h1>Head</h1><p>{LONG * 3}</p><p>{LONG}</p>"
+WRAPPED_TEXT = ("Head " + LONG * 4).strip()
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        *[(f'<body>{MENU}<div {name}>{WRAPPED}</div></body>', WRAPPED_TEXT) for name in ('class="layout has-sidebar"', 'class="page-widget-container"', 'id="search-results-explained"', 'class="sidebar"')],
+        (f"<body>{MENU}<form action='/'>{WRAPPED}<input name='q'><label>Query</label></form></body>", WRAPPED_TEXT),
+        (f'<body><div class="page-widget-container"><p>{LONG * 3}</p></div></body>', (LONG * 3).strip()),
+        (f'<body><article><div class="article-header"><h1>Head</h1></div><p>{LONG * 3}</p><p>{LONG}</p></article></body>', WRAPPED_TEXT),
+        (f'<body><article><h1>Head</h1><p>{LONG * 3}</p><section id="social-policy"><p>{LONG}</p></section></article></body>', WRAPPED_TEXT),
+        (f'<body><article>{WRAPPED}</article><div class="b"><p>Follow us, like us, and buy our things, now, here, and there, today, please, at once.</p></div></body>', WRAPPED_TEXT),
+        # Comments hold more than the article; an advert is all there is beside a very short article, or all there is.
+        (f'<body><div class="text">{WRAPPED}</div><div class="comment-list">{"".join(f"<div><p>{LONG}</p></div>" for _ in range(8))}</div></body>', WRAPPED_TEXT),
+        (f'<body><article><p>Hi.</p></article><div class="ad-slot">{LONG}</div></body>', "Hi."),
+        (f'<body>{MENU}<article></article><div class="ad">{LONG}</div></body>', ""),
+        (f'<article>{WRAPPED}<p class="advert">Buy</p><ul class="share-buttons"><li>Share</li></ul></article>', WRAPPED_TEXT),
+    ],
+)
+def test_class_names_lower_a_score_and_cut_nothing(page, text):
+    assert extract(page) == text
+
+
+@pytest.mark.parametrize("tag", ["div", "div class=x", "span", "section><p", "ul><li"])
+def test_deep_pages_take_linear_time_and_memory(tag):
+    page = f"<{tag}>" * 40_000 + f"<p>{LONG}</p>" + "</b></td>" * 40_000
+    tracemalloc.start()
+    began = time.perf_counter()
+    text = extract(page)
+    seconds, (_, peak) = time.perf_counter() - began, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert text == LONG.strip() and peak < 200e6 and seconds < 30
+
+
 def test_extract_long_page():
     page = "<article>" + "<p>Some words, here.</p>" * 20_000 + "</article>"
     assert extract(page) == " ".join(["Some words, here."] * 20_000)
