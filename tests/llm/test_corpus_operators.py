@@ -6,6 +6,8 @@ import hashlib
 import pathlib
 import random
 import re
+import time
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -273,12 +275,32 @@ def brute_tiles(text: list[str], item: list[str], least: int = 5) -> int:
 
 
 def tokens_of(text: str | None) -> list[str]:
-    return re.findall(r"(?:[a-z0-9]|[^\x00-\x7f])+", (text or "").lower())
+    spaced = []
+    for c in (text or "").lower():
+        kind = unicodedata.category(c)
+        if c.isascii() and not c.isalnum() or not c.isascii() and (kind[0] in "PSZ" or kind == "Cc"):
+            spaced.append(" ")
+        else:
+            spaced.append(f" {c} " if any(x in unicodedata.name(c, "") for x in ("CJK", "HIRAGANA", "KATAKANA", "THAI ", "LAO ")) else c)
+    return "".join(spaced).split()
+
+
+def brute_found(text: str | None, item: str | None) -> int | None:
+    """Covered tokens where a text is contaminated by an item."""
+    a, b = tokens_of(text), tokens_of(item)
+    if len(b) >= decontaminate.SEED:
+        covered = brute_tiles(a, b)
+        return covered if covered / len(b) >= decontaminate.COVERAGE else None
+    if len(b) >= decontaminate.SHORT:
+        return len(b) if any(a[i : i + len(b)] == b for i in range(len(a))) else None
+    return len(b) if b and a == b else None
 
 
 def test_contamination_matches_brute_force(spark, tmp_path, make):
     rng = random.Random(3)
-    items = [" ".join(words_of(rng, rng.randint(14, 50))) for _ in range(6)] + [None, "", "only four tokens here", "la la la la la la la la la la"]
+    prompt = "Answer the question below with one word: "
+    items = [prompt * (k % 2) + " ".join(words_of(rng, rng.randint(14, 50))) for k in range(6)] + [None, "", "only four tokens here", "la la la la la la la la la la"]
+    items += ["今天天气很好，我们一起去公园散步吧。", "wet “quoted–words” and more of them…", "three short tokens", "yes", "two words", "สวัสดีครับ"]
     docs = []
     for i in range(40):
         item = rng.choice(items[:6]).split()
@@ -289,6 +311,8 @@ def test_contamination_matches_brute_force(spark, tmp_path, make):
         }[form]
         docs.append((i, " ".join(words_of(rng, 30)) + ". " + ", ".join(body).upper() + "\n" + " ".join(words_of(rng, 30)), "s"))
     docs += [(90, None, "s"), (91, "", "s"), (92, "la " * 30, "s"), (93, "only four tokens here", "s"), (0, docs[0][1], "t")]
+    docs += [(94, "他说：今天天气很好。然后我们一起去公园散步吧！是的", "s"), (95, "A wet quoted words, and more — of them", "s"), (96, "in all Three, SHORT tokens. Only four", "s")]
+    docs += [(97, "Yes!", "s"), (98, "yes and two words", "s"), (99, "Two words", "s"), (100, prompt * 9, "s"), (101, "บอกสวัสดีครับ", "s"), (102, "天气 only three short", "s")]
     path = make(docs)
     schema = "item_id long, text string"
     spark.createDataFrame(list(enumerate(items)), schema).write.parquet(f"{path}/benchmark.parquet")
@@ -296,16 +320,37 @@ def test_contamination_matches_brute_force(spark, tmp_path, make):
     want = {}
     for d, t, _ in docs:
         for k, item in enumerate(items):
-            tokens = tokens_of(item)
-            if len(tokens) >= 5 and (c := brute_tiles(tokens_of(t), tokens)) / len(tokens) >= decontaminate.COVERAGE:
+            if (c := brute_found(t, item)) is not None:
                 want[d, k] = c
     assert got == want
+    assert {(93, 8), (94, 10), (95, 11), (96, 12), (97, 13), (99, 14), (101, 15)} <= set(want) and not {d for d, _ in want} & {98, 100, 102}
     kept = corpus_pipeline.drop_contaminated(spark, spark.read.parquet(f"{path}/documents.parquet"), path)
     assert {r["doc_id"] for r in kept.collect()} == {d for d, _, _ in docs} - {d for d, _ in want}
     empty = spark.createDataFrame([], schema)
     assert decontaminate.contaminated(spark.read.parquet(f"{path}/documents.parquet"), empty).count() == 0
 
 
+@pytest.mark.parametrize("letters", [1, 2, 4, 40])
+def test_tiles_match_brute_force(letters):
+    rng = random.Random(letters)
+    for _ in range(60):
+        a, b = ([rng.randrange(letters) for _ in range(rng.randint(5, 60))] for _ in range(2))
+        a[9:9] = b[: rng.randint(0, len(b))]
+        sides = [(np.arange(len(x) - 4), decontaminate.seeds(np.array(x, np.uint64))) for x in (a, b)]
+        covered, tiles = decontaminate.tile(*sides)
+        assert covered == brute_tiles(a, b) and 5 * tiles <= covered
+
+
+def test_tiles_of_many_equal_tokens_and_far_places():
+    same = decontaminate.seeds(np.zeros(20_000, np.uint64))
+    began = time.perf_counter()
+    assert decontaminate.tile((np.arange(len(same)), same), (np.arange(len(same)), same)) == (20_000, 1)
+    assert decontaminate.tile((np.arange(len(same)), same), (np.arange(996), same[:996])) == (1_000, 1)
+    # A text of very many tokens with seeds at both ends takes memory for the seeds only.
+    assert decontaminate.tile((np.array([0, 1, 10**9]), same[:3]), (np.arange(996), same[:996])) == (11, 2)
+    assert time.perf_counter() - began < 10
+
+
 # --- mixing ---
 
 
