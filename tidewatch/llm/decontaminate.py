@@ -15,10 +15,8 @@ equal if their seeds are. Its time is that of one sort for each length of a tile
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -38,21 +36,44 @@ _BASE = 0x5851F42D4C957F2D
 UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF))
 
 
-def _breaks() -> str:
-    """Ranges of the punctuation, symbols, spaces and controls beyond ASCII."""
-    ends = [c for c in range(128, 0x20000) if unicodedata.category(chr(c))[0] in "PSZ" or unicodedata.category(chr(c)) == "Cc"]
-    runs = [[c for _, c in run] for _, run in groupby(enumerate(ends), lambda x: x[1] - x[0])]
-    return "".join(f"{re.escape(chr(r[0]))}-{re.escape(chr(r[-1]))}" for r in runs)
+_BREAK, _ALONE, _SLICE = 1, 2, 1 << 20
 
 
-_SPLIT = re.compile(f"[{_breaks()}]+|([{''.join(f'{chr(x)}-{chr(y)}' for x, y in UNSPACED)}])")
+def _kinds() -> np.ndarray:
+    """What each character beyond ASCII does: punctuation, symbols, spaces and controls end a token, unspaced scripts are cut into characters."""
+    kinds = np.zeros(0x110000, np.uint8)
+    for c in range(128, 0x20000):
+        kind = unicodedata.category(chr(c))
+        if kind[0] in "PSZ" or kind == "Cc":
+            kinds[c] = _BREAK
+    for first, last in UNSPACED:
+        part = kinds[first : last + 1]
+        part[part != _BREAK] = _ALONE
+    return kinds
+
+
+_KINDS = _kinds()
+
+
+def _spaced(text: str) -> str:
+    """``text`` with a space for each break and around each character that is a token."""
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32).copy()
+    kinds = _KINDS[points]
+    points[kinds == _BREAK] = 32
+    alone = kinds == _ALONE
+    if alone.any():
+        counts = np.where(alone, 3, 1)
+        at = (np.cumsum(counts) - counts)[alone]
+        points = np.repeat(points, counts)
+        points[at] = points[at + 2] = 32
+    return points.tobytes().decode("utf-32-le")
 
 
 def token_hashes(text: str) -> np.ndarray:
     """Hashes of the tokens of a text: lower-cased runs of letters, digits and their marks; characters of scripts without spaces one by one."""
     text = text.lower()
     if not text.isascii():
-        text = _SPLIT.sub(r" \1 ", text)
+        text = "".join(_spaced(text[i : i + _SLICE]) for i in range(0, len(text), _SLICE))
     data = text.encode()
     found, at = [], 0
     while at < len(data):
