@@ -590,3 +590,13 @@ def test_one_of_rows_that_differ_in_source_only(spark):
     first = simhash.keep_one(spark.createDataFrame(rows, schema)).collect()
     again = simhash.keep_one(spark.createDataFrame(rows[::-1], schema).repartition(5)).collect()
     assert sorted((r["doc_id"], r["source"] or "", r["n"]) for r in first) == sorted((r["doc_id"], r["source"] or "", r["n"]) for r in again) == [(1, "b", 2), (2, "", 1)]
+
+
+@pytest.mark.parametrize("at", [0, 3, 8])
+def test_one_very_long_vector_does_not_blind_its_group(at):
+    rng = np.random.default_rng(at)
+    x = rng.normal(size=(4, 9, 16))
+    x[1, at] *= 1e12
+    want = ((x[:, :, None, :] - x[:, None, :, :]) ** 2).sum(axis=-1)
+    assert np.allclose(neighbours._distances(x), want, rtol=1e-6, atol=1e-9)
+    assert np.allclose(neighbours._distances(x[1]), want[1], rtol=1e-6, atol=1e-9)

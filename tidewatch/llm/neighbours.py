@@ -71,8 +71,12 @@ def _decode(codes: pa.Array) -> np.ndarray:
 
 
 def _distances(x: np.ndarray) -> np.ndarray:
-    """Squared distances within each group of ``x`` (group, member, part), from differences to its first member, so that close ones keep their digits."""
-    x = x - x[..., :1, :]
+    """Squared distances within each group of ``x`` (group, member, part).
+
+    They come from differences to the member of median norm: close ones keep their digits, and so do all others beside a very long vector.
+    """
+    order = np.argsort((x * x).sum(axis=-1), axis=-1)
+    x = x - np.take_along_axis(x, order[..., order.shape[-1] // 2, None, None], axis=-2)
     square = (x * x).sum(axis=-1)
     return np.maximum(square[..., :, None] + square[..., None, :] - 2 * (x @ np.swapaxes(x, -1, -2)), 0)
 
