@@ -68,3 +68,19 @@ def test_null_scores_and_labels(spark, tmp_path):
     assert out == {("a", None)}
     row = spark.read.parquet(f"{tmp_path}/out/*").first()
     assert row["prediction"] is None and row["probability_fraud"] is None
+
+
+def test_calls_are_bounded_by_the_states_not_the_ids(spark, tmp_path):
+    """Two hundred ids share four states and meet their own labels only."""
+    ids = [f"i{n}" for n in range(200)]
+    spark.createDataFrame([(i, day(0), n % 2, 0.5, day(0)) for n, i in enumerate(ids)], P).write.parquet(f"{tmp_path}/p")
+    spark.createDataFrame([(i, n % 2 == 0, day(n / 4), day(0)) for n, i in enumerate(ids)] + [("alone", True, day(1), day(0))], U).write.parquet(f"{tmp_path}/u")
+    read = lambda name, schema: spark.readStream.schema(schema).parquet(f"{tmp_path}/{name}")
+    joined = monitor.label_stream_join(read("p", P), read("u", U), arrived="arrived", states=4)
+    query = monitor.start_label_join(joined, f"{tmp_path}/out", f"{tmp_path}/side", f"{tmp_path}/state", once=True)
+    ingest.wait([query])
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+    out = {(r["inference_id"], r["prediction"], r["ground_truth"]) for r in spark.read.parquet(f"{tmp_path}/out/*").collect()}
+    side = {(r["inference_id"], r["status"]) for r in spark.read.parquet(f"{tmp_path}/side/*").collect()}
+    assert out == {(i, n % 2, int(n % 2 == 0)) for n, i in enumerate(ids) if n <= 120}
+    assert side == {(i, "outside") for n, i in enumerate(ids) if n > 120}

@@ -19,71 +19,79 @@ LABEL_DELAY_DAYS = 30
 KEEP_DAYS = 32
 DAY_US = 86_400_000_000
 
+#: Keyed states that ids are dealt to by their hash. A micro-batch calls Python once for each state that it touches, so at most this often however many
+#: ids it brings, and writes the states it touches anew. A checkpoint holds states of the number it was started with.
+STATES = 4_096
+
 _MATCHED = "inference_id string, prediction int, probability_fraud double, p_us long, u_us long, ground_truth int, status string"
+_ROW = ["inference_id", "kind", "at_us", "prediction", "probability_fraud", "ground_truth", "arrived_us"]
+_TYPES = {"inference_id": "object", "prediction": "Int32", "probability_fraud": "Float64", "p_us": "Int64", "u_us": "Int64", "ground_truth": "Int32", "status": "object"}
 
 
 def _matcher(delay_us: int, keep_us: int):
-    """Match the rows of one id; the state is the prediction, labels that wait for it, and what was seen."""
+    """Match the rows of some ids; the state holds for each its prediction, labels that wait for it, and what was seen."""
 
-    def run(key, batches, state):
-        held = json.loads(state.get[0]) if state.exists else {"p": None, "u": [], "seen": []}
+    def run(_, batches, state):
+        ids = json.loads(state.get[0]) if state.exists else {}
+        now = state.getCurrentWatermarkMs() * 1000
         out = []
 
-        def emit(p, u, status):
-            out.append((key[0], *((p[1], p[2], p[0]) if p else (None, None, None)), u[0], u[1], status))
-
-        def close(p, u):
-            emit(p, u, "joined" if p[0] <= u[0] <= p[0] + delay_us else "outside")
+        def close(i, p, u):
+            status = "joined" if None not in (p[0], u[0]) and p[0] <= u[0] <= p[0] + delay_us else "outside"
+            out.append((i, p[1], p[2], p[0], u[0], u[1], status))
 
-        def forget(now):
-            if held["p"] and now > held["p"][3] + keep_us:
+        def forget(i, held, at):
+            if held["p"] and at > held["p"][3] + keep_us:
                 held.update(p=None, seen=[])
-            for u in [u for u in held["u"] if now > u[2] + keep_us]:
-                emit(None, u, "unmatched")
+            for u in [u for u in held["u"] if at > u[2] + keep_us]:
+                out.append((i, None, None, None, u[0], u[1], "unmatched"))
                 held["u"].remove(u)
 
-        if state.hasTimedOut:
-            forget(max([r[-1] for r in held["u"]] + ([held["p"][3]] if held["p"] else [0])) + keep_us + 1)
-        else:
-            rows = [r for pdf in batches for r in pdf.itertuples(index=False)]
-            for r in sorted(rows, key=lambda r: (r.arrived_us, r.kind, r.at_us)):
-                forget(r.arrived_us)
-                if r.kind == "p":
-                    if held["p"] is None:
-                        score = None if r.probability_fraud != r.probability_fraud else r.probability_fraud
-                        held["p"] = [int(r.at_us), None if r.prediction != r.prediction else int(r.prediction), score, int(r.arrived_us)]
-                        for u in held["u"]:
-                            close(held["p"], u)
-                        held["u"] = []
-                    continue
-                truth = None if r.ground_truth != r.ground_truth else int(r.ground_truth)
-                if [int(r.at_us), truth] in held["seen"]:
-                    continue
-                held["seen"].append([int(r.at_us), truth])
-                u = [int(r.at_us), truth, int(r.arrived_us)]
-                if held["p"]:
-                    close(held["p"], u)
-                else:
-                    held["u"].append(u)
-        if held["p"] or held["u"]:
-            state.update((json.dumps(held),))
-            last = max([u[2] for u in held["u"]] + ([held["p"][3]] if held["p"] else []))
-            state.setTimeoutTimestamp(max((last + keep_us) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        rows = [] if state.hasTimedOut else [
+            [None if v != v else v for v in r] for pdf in batches for r in zip(*[pdf[c].tolist() for c in _ROW])
+        ]
+        for i, kind, at, prediction, score, truth, arrived in sorted(rows, key=lambda r: (r[6], r[1], r[2] is not None, r[2] or 0)):
+            held = ids.setdefault(i, {"p": None, "u": [], "seen": []})
+            forget(i, held, arrived)
+            at, truth, arrived = None if at is None else int(at), None if truth is None else int(truth), int(arrived)
+            if kind == "p":
+                if held["p"] is None:
+                    held["p"] = [at, None if prediction is None else int(prediction), score, arrived]
+                    for u in held["u"]:
+                        close(i, held["p"], u)
+                    held["u"] = []
+                continue
+            if [at, truth] in held["seen"]:
+                continue
+            held["seen"].append([at, truth])
+            if held["p"]:
+                close(i, held["p"], [at, truth])
+            else:
+                held["u"].append([at, truth, arrived])
+        for i in list(ids):
+            forget(i, ids[i], now)
+            if not ids[i]["p"] and not ids[i]["u"]:
+                del ids[i]
+        if ids:
+            state.update((json.dumps(ids, separators=(",", ":")),))
+            first = min(arrived for h in ids.values() for arrived in [u[2] for u in h["u"]] + ([h["p"][3]] if h["p"] else []))
+            state.setTimeoutTimestamp(max((first + keep_us) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         else:
             state.remove()
-        frame = pd.DataFrame(out, columns=["inference_id", "prediction", "probability_fraud", "p_us", "u_us", "ground_truth", "status"])
-        yield frame.astype({"prediction": "Int32", "probability_fraud": "Float64", "p_us": "Int64", "u_us": "Int64", "ground_truth": "Int32"})
+        if out:
+            yield pd.DataFrame({n: pd.array(v, dtype=t) for (n, t), v in zip(_TYPES.items(), zip(*out))})
 
     return run
 
 
 def label_stream_join(
-    predictions: DataFrame, updates: DataFrame, delay_days: int = LABEL_DELAY_DAYS, keep_days: int = KEEP_DAYS, arrived: str | None = None
+    predictions: DataFrame, updates: DataFrame, delay_days: int = LABEL_DELAY_DAYS, keep_days: int = KEEP_DAYS, arrived: str | None = None,
+    states: int = STATES,
 ) -> DataFrame:
     """Confirmations joined with their predictions where they follow within ``delay_days``; ``status`` tells what became of each.
 
-    Rows of an id meet in keyed state.  A row waits ``keep_days`` from its arrival and leaves with an event-time timer, so the state holds what
-    arrived in that time and no more.  The clock is the arrival (``arrived``, a timestamp column of both streams that never falls; the time of the
+    Rows of an id meet in keyed state, which it shares with others of its hash (``states``).  A row waits ``keep_days`` from its arrival and leaves with
+    an event-time timer, so the state holds what arrived in that time and no more.  The clock is the arrival (``arrived``, a timestamp column of both streams that never falls; the time of the
     micro-batch by default), so no row is too late to be seen, however old its event: a confirmation is ``joined``, or ``outside`` the delay, or
     ``unmatched`` when its prediction did not arrive, or had left.  What is not joined belongs to a side table and the batch merge
     (:func:`start_label_join`).  Repeats change nothing while their id is in the state.  Rows without an id are left out.
@@ -102,8 +110,10 @@ def label_stream_join(
 
     p = rows(predictions, "p", "request_timestamp", prediction=F.col("prediction"), probability_fraud=F.col("probability_fraud"))
     u = rows(updates, "u", "confirmation_timestamp", ground_truth=F.col("actual_fraud").cast("int"))
-    both = p.unionByName(u).withWatermark("arrived", "0 seconds").withColumn("arrived_us", F.unix_micros("arrived"))
-    matched = both.groupBy("inference_id").applyInPandasWithState(
+    both = p.unionByName(u).withWatermark("arrived", "0 seconds").withColumns(
+        {"arrived_us": F.unix_micros("arrived"), "state": F.pmod(F.xxhash64("inference_id"), F.lit(states)).cast("int")}
+    )
+    matched = both.groupBy("state").applyInPandasWithState(
         _matcher(delay_days * DAY_US, keep_days * DAY_US), _MATCHED, "held string", "append", "EventTimeTimeout"
     )
     stamp = lambda c: F.timestamp_micros(c)
