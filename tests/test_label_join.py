@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.streaming import ingest, monitor
@@ -84,3 +86,32 @@ def test_calls_are_bounded_by_the_states_not_the_ids(spark, tmp_path):
     side = {(r["inference_id"], r["status"]) for r in spark.read.parquet(f"{tmp_path}/side/*").collect()}
     assert out == {(i, n % 2, int(n % 2 == 0)) for n, i in enumerate(ids) if n <= 120}
     assert side == {(i, "outside") for n, i in enumerate(ids) if n > 120}
+
+
+class Working:
+    """A query that ends after ``ticks`` looks, with a micro-batch done at each if it ``moves``."""
+
+    id = name = "q"
+
+    def __init__(self, ticks, moves):
+        self.ticks, self.moves, self.seen, self.stopped = ticks, moves, 0, False
+
+    def awaitTermination(self, seconds):
+        time.sleep(seconds / 2)
+        self.seen += 1
+        return self.seen > self.ticks
+
+    @property
+    def lastProgress(self):
+        return {"batchId": self.seen if self.moves else 0}
+
+    def stop(self):
+        self.stopped = True
+
+
+def test_wait_ends_a_query_that_stands_still_and_no_other(spark):
+    ingest.wait([Working(6, moves=True)], 1)
+    still = Working(100, moves=False)
+    with pytest.raises(TimeoutError):
+        ingest.wait([still], 1)
+    assert still.stopped

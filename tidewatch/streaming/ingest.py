@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -145,10 +146,21 @@ def ingest_verdicts(messages: DataFrame, path: str, bad_path: str, checkpoint: s
     ]
 
 
+def _moved(query: StreamingQuery) -> tuple:
+    """What changes while a query works: its micro-batch, and the tasks that are done in the stages running now."""
+    tracker = SparkSession.active().sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(i) for i in tracker.getActiveStageIds()]
+    return (query.lastProgress or {}).get("batchId"), sorted((s.stageId, s.numCompletedTasks) for s in stages if s)
+
+
 def wait(queries: list[StreamingQuery], seconds: int = 300) -> None:
-    """Wait for draining queries; raises their error, or stops them and raises on a timeout."""
+    """Wait for draining queries; raises their error, or stops them and raises when nothing has moved for ``seconds``."""
     for query in queries:
-        if not query.awaitTermination(seconds):
-            for q in queries:
-                q.stop()
-            raise TimeoutError(f"streaming query {query.name or query.id} did not drain in {seconds} s")
+        seen, since = None, time.monotonic()
+        while not query.awaitTermination(min(seconds, 5)):
+            if (now := _moved(query)) != seen:
+                seen, since = now, time.monotonic()
+            elif time.monotonic() - since >= seconds:
+                for q in queries:
+                    q.stop()
+                raise TimeoutError(f"streaming query {query.name or query.id} has not moved for {seconds} s")
