@@ -32,3 +32,16 @@ def test_integer_target_of_two_classes_is_binary(rows):
     df = rows.withColumn("y", (F.col("x") > 4).cast("int"))
     scored = scoring.score(df, scoring.train_model(df, "y", FEATURES, "int", iterations=3, step=0.5), FEATURES)
     assert {"probability_fraud", "prediction_bucket"} <= set(scored.columns) and scored.where("prediction = y").count() > 290
+
+
+def test_training_rows_are_computed_once(spark):
+    """The learner goes over its input several times; what the rows come from is read for it once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(v):
+        seen.add(1)
+        return float(v % 7)
+
+    rows = spark.range(500).select((F.col("id") % 2).cast("int").alias("y"), F.udf(counted, "double").asNondeterministic()("id").alias("x"))
+    scoring.train_model(rows, "y", ["x"], iterations=2, max_depth=2)
+    assert seen.value == 500
